@@ -73,24 +73,46 @@ def plan_profiles(inputs: DataFrame, counts: DataFrame, naming: dict[str, Naming
     return name_plan(plan_sheets(inputs, counts, across), naming)
 
 
-def plan_refusals(inputs: DataFrame, counts: DataFrame) -> DataFrame:
+REFUSALS = ("budget-below-one-row", "oversized-period", "null-dates", "no-workbook-count-fits")
+
+
+def possible_refusals(profile: Profile) -> set[str]:
+    """Return the refusals a profile's own options allow, so that the others need no query."""
+    rule = profile.partitioning
+    found = {"budget-below-one-row"}
+    if rule.calendar and rule.oversized == "error":
+        found.add("oversized-period")
+    if rule.calendar and rule.null_dates == "error":
+        found.add("null-dates")
+    if not rule.calendar and rule.balance_across == "workbooks":
+        found.add("no-workbook-count-fits")
+    return found
+
+
+def plan_refusals(inputs: DataFrame, counts: DataFrame, reasons: set[str] | None = None) -> DataFrame:
     """Return why a profile cannot be planned, as rows ``profile, alias, reason, key, rows``."""
+    reasons = reasons or set(REFUSALS)
     sized = with_capacity(inputs)
-    decided = sized.join(one_workbook(inputs).select("profile", "one_workbook"), "profile")
+    rows = F.col("rows").cast("bigint").alias("rows")
     nothing = F.lit(None).cast("int")
-    too_small = decided.where((F.col("capacity") < 1) & (F.col("rows") > 0)).select(
-        "profile", "alias", F.lit("budget-below-one-row").alias("reason"), nothing.alias("key"), F.col("rows").cast("bigint").alias("rows")
+    found = sized.where((F.col("capacity") < 1) & (F.col("rows") > 0)).select(
+        "profile", "alias", F.lit("budget-below-one-row").alias("reason"), nothing.alias("key"), rows
     )
+    if reasons == {"budget-below-one-row"}:
+        return found
+    decided = sized.join(one_workbook(inputs).select("profile", "one_workbook"), "profile")
     split = decided.where(~F.col("one_workbook") & (F.col("capacity") >= 1))
-    strict = split.where((F.col("algorithm") != "balanced") & (F.col("oversized") == "error"))
-    groups = calendar_groups(strict, counts).where(F.col("parts") > 1)
-    oversized = groups.select("profile", "alias", F.lit("oversized-period").alias("reason"), F.col("first").alias("key"), "rows")
-    dated = inputs.where((F.col("algorithm") != "balanced") & (F.col("null_dates") == "error")).select("profile", "alias")
-    nulls = counts.where(F.col("key").isNull()).join(dated, ["profile", "alias"])
-    undated = nulls.select("profile", "alias", F.lit("null-dates").alias("reason"), nothing.alias("key"), "rows")
-    books = split.where((F.col("algorithm") == "balanced") & (F.col("balance_across") == "workbooks"))
-    never = minimum_workbooks(books).where(F.col("workbooks").isNull())
-    no_count = books.join(never, "profile").select(
-        "profile", "alias", F.lit("no-workbook-count-fits").alias("reason"), nothing.alias("key"), F.col("rows").cast("bigint").alias("rows")
-    )
-    return too_small.unionByName(oversized).unionByName(undated).unionByName(no_count)
+    if "oversized-period" in reasons:
+        strict = split.where((F.col("algorithm") != "balanced") & (F.col("oversized") == "error"))
+        groups = calendar_groups(strict, counts).where(F.col("parts") > 1)
+        found = found.unionByName(groups.select("profile", "alias", F.lit("oversized-period").alias("reason"), F.col("first").alias("key"), "rows"))
+    if "null-dates" in reasons:
+        dated = inputs.where((F.col("algorithm") != "balanced") & (F.col("null_dates") == "error")).select("profile", "alias")
+        nulls = counts.where(F.col("key").isNull()).join(dated, ["profile", "alias"])
+        found = found.unionByName(nulls.select("profile", "alias", F.lit("null-dates").alias("reason"), nothing.alias("key"), "rows"))
+    if "no-workbook-count-fits" in reasons:
+        books = split.where((F.col("algorithm") == "balanced") & (F.col("balance_across") == "workbooks"))
+        never = minimum_workbooks(books).where(F.col("workbooks").isNull())
+        hopeless = books.join(never.select("profile"), "profile")
+        found = found.unionByName(hopeless.select("profile", "alias", F.lit("no-workbook-count-fits").alias("reason"), nothing.alias("key"), rows))
+    return found
