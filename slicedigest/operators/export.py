@@ -185,7 +185,8 @@ def export(profile: Profile, sources: dict[str, SourceTable], check: bool = True
         for alias, rows in placed.items()
     ]
     wholes = [digest_frame(a.frame, a.columns).withColumn("alias", F.lit(alias)) for alias, a in arranged.items()]
-    return Export(profile, plan, record_fragments(plan, _union(digests), arranged), _union(wholes), placed, arranged)
+    fragments = materialise(record_fragments(plan, _union(digests), arranged))
+    return Export(profile, plan, fragments, _union(wholes), placed, arranged)
 
 
 def record_fragments(plan: DataFrame, digests: DataFrame, arranged: dict[str, Arranged]) -> DataFrame:

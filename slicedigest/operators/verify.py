@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from slicedigest.functions.columns import named
 from slicedigest.functions.digests import ALGORITHM, VERSION
 from slicedigest.operators.convert import CONVERSION_VERSION
 from slicedigest.operators.digest import combine, digest_by
@@ -32,18 +34,19 @@ def missing_rows(actual: DataFrame, manifest: DataFrame) -> DataFrame:
     )
 
 
-def pad_sheets(sheets: DataFrame, manifest: DataFrame, columns: list[str]) -> DataFrame:
-    """Return sheets as read plus the trailing all-null rows each is short of.
+def blank_rows(missing: DataFrame, schema: T.StructType) -> DataFrame:
+    """Return the all-null rows sheets are short of, one record per missing row."""
+    one = F.lit(1).cast("bigint")
+    rows = missing.where(F.col("missing") > 0).select(*SHEET, F.explode(F.sequence(one, F.col("missing"))).alias("__n"))
+    return rows.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields], *SHEET)
 
-    The padding is made where it is needed, one record per missing row, and never touches the rows that were read.
-    """
+
+def pad_sheets(sheets: DataFrame, manifest: DataFrame, columns: list[str]) -> DataFrame:
+    """Return sheets as read plus the trailing all-null rows each is short of; the rows read are not touched."""
     counted = sheets.groupBy(*SHEET).agg(F.count("*").alias("rows"))
-    short = missing_rows(counted, manifest).where(F.col("missing") > 0)
-    one = F.lit(1).cast("bigint")
-    rows = short.select(*SHEET, F.explode(F.sequence(one, F.col("missing"))).alias("__n"))
-    types = {f.name: f.dataType for f in sheets.schema.fields}
-    blank = rows.select(*[F.lit(None).cast(types[c]).alias(c) for c in columns], *SHEET)
-    return sheets.select(*[F.col(f"`{c}`") for c in columns], *SHEET).unionByName(blank)
+    kept = sheets.select(*[named(c) for c in columns], *SHEET)
+    schema = T.StructType(kept.schema.fields[: len(columns)])
+    return kept.unionByName(blank_rows(missing_rows(counted, manifest), schema))
 
 
 def verdict_kind(expected: Column, actual: Column) -> Column:
