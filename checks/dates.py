@@ -180,7 +180,7 @@ def _flag_totals(spark, sf):
 def year_grid_rows(spark, sf):
     totals = _flag_totals(spark, sf).where(F.col("key").isNotNull())
     grids = totals.select("alias", "key", "months", F.explode(F.array(*[F.lit(g) for g in (6, 4, 3, 2, 1)])).alias("grid"))
-    cells = grids.select("alias", "key", "grid", F.posexplode(grid_sums(F.col("months"), F.col("grid"))).alias("cell", "rows"))
+    cells = grids.select("alias", "key", "grid", F.posexplode(F.expr(grid_sums("months", "grid"))).alias("cell", "rows"))
     return cells.where(F.col("rows") > 0)
 
 

@@ -81,7 +81,7 @@ def cell_lanes(value: Column, kind: str) -> tuple[Column, Column]:
         tagged = F.xxhash64(lane(TAGS[kind], side), normal_form(value, kind))
         if kind == "uint64":
             # Like any other integer where the value fits one, its decimal text above.
-            fits = value < 2**63
+            fits = value <= F.lit(2**63 - 1)
             tagged = F.when(fits, F.xxhash64(lane(TAGS[kind], side), F.when(fits, value).cast("bigint"))).otherwise(tagged)
         lanes.append(F.when(value.isNull(), nothing).otherwise(tagged))
     return lanes[0], lanes[1]

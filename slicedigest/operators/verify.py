@@ -58,6 +58,7 @@ def verdict_kind(expected: Column, actual: Column) -> Column:
     return (
         F.when((expected["algorithm"] != ALGORITHM) | (expected["version"] != VERSION), "unsupported-hasher")
         .when(actual.isNull(), "workbook-missing")
+        .when(F.coalesce(actual["unreadable"], F.lit(False)) & actual["header"].isNull(), "workbook-unreadable")
         .when(~expected["header"].eqNullSafe(actual["header"]), "columns-differ")
         .when(F.coalesce(actual["unreadable"], F.lit(False)), "workbook-unreadable")
         .when(expected["digest"] != actual["digest"], "digest-mismatch")

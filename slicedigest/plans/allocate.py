@@ -7,12 +7,11 @@ themselves, which grow with the data, are laid out in parallel afterwards.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from slicedigest.functions.columns import idiv
 from slicedigest.operators.order import part_rows, part_start
-from slicedigest.plans.capacity import sheet_cells
 
 ORDER = ["__class", "__first", "source_pos", "group_no"]
 
@@ -34,29 +33,19 @@ def with_starts(groups: DataFrame) -> DataFrame:
     return groups.withColumn("group_start", F.coalesce(F.sum("rows").over(before), F.lit(0).cast("bigint")))
 
 
-def next_fit(runs: Column, budget: Column) -> Column:
-    """Place ordered runs of equal sheets: per run the workbook it starts in, how many fit there, how many per further one."""
-    start = F.struct(
-        F.array().cast("array<struct<book:int,fits:bigint,per:bigint>>").alias("placed"),
-        F.lit(1).alias("book"),
-        F.lit(0).cast("bigint").alias("used"),
+def next_fit(runs: str, budget: str) -> str:
+    """Return SQL placing ordered runs of equal sheets: per run its first workbook, how many fit there, how many per further one."""
+    fits = f"least(r.count, ({budget} - acc.used) div r.cost)"
+    per = f"greatest({budget} div r.cost, 1L)"
+    rest = f"(r.count - {fits})"
+    opened = f"(({rest} + {per} - 1) div {per})"
+    used = f"CASE WHEN {rest} = 0 THEN acc.used + r.count * r.cost ELSE ({rest} - ({opened} - 1) * {per}) * r.cost END"
+    return (
+        f"aggregate({runs}, named_struct('placed', cast(array() AS array<struct<book:int,fits:bigint,per:bigint>>), 'book', 1, 'used', 0L), "
+        f"(acc, r) -> named_struct('placed', concat(acc.placed, array(named_struct('book', acc.book, 'fits', {fits}, 'per', {per}))), "
+        f"'book', cast(acc.book + {opened} AS int), 'used', {used}), acc -> acc.placed)"
     )
 
-    def step(acc: Column, run: Column) -> Column:
-        fits = F.least(run["count"], idiv(budget - acc["used"], run["cost"]))
-        rest = run["count"] - fits
-        per = F.greatest(idiv(budget, run["cost"]), F.lit(1).cast("bigint"))
-        opened = idiv(rest + per - 1, per)
-        used = F.when(rest == 0, acc["used"] + run["count"] * run["cost"]).otherwise((rest - (opened - 1) * per) * run["cost"])
-        spot = F.struct(acc["book"].alias("book"), fits.alias("fits"), per.alias("per"))
-        return F.struct(
-            F.concat(acc["placed"], F.array(spot)).alias("placed"),
-            (acc["book"] + opened).cast("int").alias("book"),
-            used.alias("used"),
-        )
-
-    return F.aggregate(runs, start, step, lambda acc: acc["placed"])
-
 
 def pack(groups: DataFrame) -> DataFrame:
     """Lay groups out as sheets with ``workbook_index`` and ``sheet_index``.
@@ -64,22 +53,21 @@ def pack(groups: DataFrame) -> DataFrame:
     Wants ``source_pos, stem, columns, budget, descending`` beside the group columns.
     """
     ordered = with_starts(with_order(groups))
-    base, extra = idiv(F.col("rows"), F.col("parts")), F.pmod(F.col("rows"), F.col("parts"))
-    run = lambda no, first, count, size: F.struct(
-        F.lit(no).alias("run"), first.alias("first_part"), count.alias("count"), sheet_cells(F.col("columns"), size).alias("cost")
+    cost = "cast(columns AS bigint)"
+    sizes = (
+        f"array(struct(0 AS run, 0L AS first_part, rows % parts AS count, {cost} * (rows div parts + 2) AS cost), "
+        f"struct(1 AS run, rows % parts AS first_part, parts - rows % parts AS count, {cost} * (rows div parts + 1) AS cost))"
     )
-    zero = F.lit(0).cast("bigint")
-    runs = ordered.select("*", F.inline(F.array(run(0, zero, extra, base + 1), run(1, extra, F.col("parts") - extra, base)))).where(F.col("count") > 0)
+    runs = ordered.select("*", F.inline(F.expr(sizes))).where(F.col("count") > 0)
     rest = [c for c in runs.columns if c not in (*ORDER, "run", "profile", "budget", "descending")]
     listed = runs.groupBy("profile").agg(
         F.array_sort(F.collect_list(F.struct(*ORDER, "run", *rest))).alias("runs"), F.max("budget").alias("budget")
     )
-    spots = F.arrays_zip(F.col("runs").alias("run"), next_fit(F.col("runs"), F.col("budget")).alias("spot"))
+    spots = F.arrays_zip(F.col("runs").alias("run"), F.expr(next_fit("runs", "budget")).alias("spot"))
     placed = listed.select("profile", F.inline(spots)).select("profile", "run.*", "spot.*")
-    sheets = placed.select("*", F.explode(F.sequence(zero, F.col("count") - 1)).alias("__n"))
-    part = (F.col("first_part") + F.col("__n")).cast("int")
-    book = F.when(F.col("__n") < F.col("fits"), F.col("book")).otherwise(F.col("book") + 1 + idiv(F.col("__n") - F.col("fits"), F.col("per")))
-    sheets = sheets.withColumns({"part": part, "workbook_index": book.cast("int")})
+    sheets = placed.select("*", F.expr("explode(sequence(0L, count - 1)) AS __n"))
+    book = "CASE WHEN __n < fits THEN book ELSE book + 1 + (__n - fits) div per END"
+    sheets = sheets.select("*", F.expr("cast(first_part + __n AS int) AS part"), F.expr(f"cast({book} AS int) AS workbook_index"))
     place = Window.partitionBy("profile", "workbook_index").orderBy(*ORDER, "part")
     return sheets.select(
         "profile",

@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from slicedigest.functions.calendar import coarsen
-from slicedigest.functions.columns import idiv
 from slicedigest.plans.capacity import minimum_sheets, with_capacity
 
 GROUP = "struct<first:int,last:int,precision:string,rows:bigint,sealed:boolean>"
@@ -14,90 +12,66 @@ SOURCE = ["profile", "alias"]
 FACTS = ["source_pos", "stem", "columns", "budget", "descending"]
 
 
-def _zero() -> Column:
-    return F.lit(0).cast("bigint")
-
-
 def base_totals(counts: DataFrame, carried: str | None = None) -> DataFrame:
     """Roll counts of ``profile, alias, base_period, key, rows`` up to the base period.
 
     Adds ``months``, the twelve month counts of a year, which an oversized year is cut by. Undated rows keep a null key.
     """
-    base = F.when(F.col("base_period") == "year", coarsen(F.col("key"), "year")).otherwise(F.col("key"))
-    month = F.pmod(idiv(F.col("key"), 100), F.lit(100))
-    monthly = [F.coalesce(F.sum(F.when(month == m, F.col("rows"))), _zero()) for m in range(1, 13)]
+    base = F.expr("CASE WHEN base_period = 'year' THEN key - key % 10000 ELSE key END").alias("key")
+    monthly = ", ".join(f"coalesce(sum(rows) FILTER (WHERE key div 100 % 100 = {m}), 0L)" for m in range(1, 13))
     extra = [F.first(carried).alias(carried)] if carried else []
-    return counts.groupBy(*SOURCE, "base_period", base.alias("key")).agg(
-        F.sum("rows").alias("rows"), F.array(*monthly).alias("months"), *extra
-    )
+    return counts.groupBy(*SOURCE, "base_period", base).agg(F.sum("rows").alias("rows"), F.expr(f"array({monthly})").alias("months"), *extra)
 
 
-def grid_sums(months: Column, grid: Column) -> Column:
-    """Sum a year's months over each cell of a grid, January first."""
-    cells = F.sequence(F.lit(0), (idiv(F.lit(12), grid) - 1).cast("int"))
-    return F.transform(cells, lambda cell: F.aggregate(F.slice(months, cell * grid + 1, grid), _zero(), lambda a, x: a + x))
+def grid_sums(months: str, grid: str) -> str:
+    """Return SQL for a year's months summed over each cell of a grid, January first."""
+    return f"transform(sequence(0, cast(12 div {grid} - 1 AS int)), c -> aggregate(slice({months}, c * {grid} + 1, {grid}), 0L, (a, x) -> a + x))"
 
 
-def fitting_grid(months: Column, grids: Column, capacity: Column) -> Column:
-    """Return the first grid in which every cell fits, else the last one."""
-    fits = F.filter(grids, lambda g: F.forall(grid_sums(months, g), lambda rows: rows <= capacity))
-    return F.coalesce(F.try_element_at(fits, F.lit(1)), F.element_at(grids, -1))
+def fitting_grid(months: str, grids: str, capacity: str) -> str:
+    """Return SQL for the first grid in which every cell fits, else the last one."""
+    fits = f"filter({grids}, g -> forall({grid_sums(months, 'g')}, n -> n <= {capacity}))"
+    return f"coalesce(try_element_at({fits}, 1), element_at({grids}, -1))"
 
 
-def year_cells(year_key: Column, months: Column, grid: Column) -> Column:
-    """Return an oversized year's nonempty grid cells as sealed groups."""
-    cells = F.transform(
-        grid_sums(months, grid),
-        lambda rows, n: F.struct(
-            (year_key + (n * grid + 1) * 100).cast("int").alias("first"),
-            (year_key + (n + 1) * grid * 100).cast("int").alias("last"),
-            F.lit("month").alias("precision"),
-            rows.alias("rows"),
-            F.lit(True).alias("sealed"),
-        ),
+def year_cells(key: str, months: str, grid: str) -> str:
+    """Return SQL for an oversized year's nonempty grid cells as sealed groups."""
+    cell = (
+        f"named_struct('first', cast({key} + (i * {grid} + 1) * 100 AS int), 'last', cast({key} + (i + 1) * {grid} * 100 AS int), "
+        "'precision', 'month', 'rows', n, 'sealed', true)"
     )
-    return F.filter(cells, lambda cell: cell["rows"] > 0)
+    return f"filter(transform({grid_sums(months, grid)}, (n, i) -> {cell}), cell -> cell.rows > 0)"
 
 
-def base_groups(totals: DataFrame, capacity: Column, grids: Column) -> DataFrame:
+def base_groups(totals: DataFrame, capacity: str, grids: str) -> DataFrame:
     """Explode base totals into groups; an oversized year becomes the cells of its grid."""
-    precision = F.when(F.col("base_period") == "year", "year").when(F.col("base_period") == "year-month", "month").otherwise("day")
-    whole = F.struct(
-        F.col("key").cast("int").alias("first"),
-        F.col("key").cast("int").alias("last"),
-        F.when(F.col("key").isNotNull(), precision).alias("precision"),
-        F.col("rows"),
-        F.col("key").isNull().alias("sealed"),
+    precision = "CASE base_period WHEN 'year' THEN 'year' WHEN 'year-month' THEN 'month' ELSE 'day' END"
+    whole = (
+        f"named_struct('first', cast(key AS int), 'last', cast(key AS int), 'precision', CASE WHEN key IS NOT NULL THEN {precision} END, "
+        "'rows', rows, 'sealed', key IS NULL)"
     )
-    oversized_year = F.col("key").isNotNull() & (F.col("base_period") == "year") & (F.col("rows") > capacity)
-    grid = fitting_grid(F.col("months"), grids, capacity)
-    groups = F.when(oversized_year, year_cells(F.col("key"), F.col("months"), grid)).otherwise(F.array(whole).cast(f"array<{GROUP}>"))
+    oversized = f"key IS NOT NULL AND base_period = 'year' AND rows > {capacity}"
+    grid = F.expr(f"CASE WHEN {oversized} THEN {fitting_grid('months', grids, capacity)} END")
+    groups = F.expr(f"CASE WHEN __grid IS NOT NULL THEN {year_cells('key', 'months', '__grid')} ELSE cast(array({whole}) AS array<{GROUP}>) END")
     kept = [c for c in totals.columns if c not in ("key", "rows", "months")]
-    return totals.select(*kept, F.inline(groups))
+    return totals.withColumn("__grid", grid).select(*kept, F.inline(groups))
 
 
-def greedy_runs(groups: Column, capacity: Column) -> Column:
-    """Number the merged run of each group in an ordered array.
+def greedy_runs(groups: str, capacity: str) -> str:
+    """Return SQL numbering the merged run of each group in an ordered array.
 
     A run takes whole groups while they fit; a sealed or oversized group closes it and stands alone. Nothing fills an
     earlier run. The fold is sequential over the calendar periods of one source, which the calendar itself bounds.
     """
-    start = F.struct(
-        F.array().cast("array<int>").alias("runs"),
-        F.lit(0).alias("run"),
-        _zero().alias("used"),
-        F.lit(False).alias("open"),
+    alone = f"(g.sealed OR g.rows > {capacity})"
+    fresh = f"({alone} OR NOT acc.open OR acc.used + g.rows > {capacity})"
+    run = f"acc.run + cast({fresh} AS int)"
+    return (
+        f"aggregate({groups}, named_struct('runs', cast(array() AS array<int>), 'run', 0, 'used', 0L, 'open', false), "
+        f"(acc, g) -> named_struct('runs', concat(acc.runs, array({run})), 'run', {run}, "
+        f"'used', CASE WHEN {fresh} THEN g.rows ELSE acc.used + g.rows END, 'open', NOT {alone}), acc -> acc.runs)"
     )
 
-    def step(acc: Column, group: Column) -> Column:
-        alone = group["sealed"] | (group["rows"] > capacity)
-        fresh = alone | ~acc["open"] | (acc["used"] + group["rows"] > capacity)
-        run = (acc["run"] + fresh.cast("int")).cast("int")
-        used = F.when(fresh, group["rows"]).otherwise(acc["used"] + group["rows"])
-        return F.struct(F.concat(acc["runs"], F.array(run)).alias("runs"), run.alias("run"), used.alias("used"), (~alone).alias("open"))
-
-    return F.aggregate(groups, start, step, lambda acc: acc["runs"])
-
 
 def merge_groups(groups: DataFrame) -> DataFrame:
     """Merge the groups of greedy profiles and number every source's groups in output order, undated last.
@@ -105,22 +79,15 @@ def merge_groups(groups: DataFrame) -> DataFrame:
     ``groups`` carries ``o`` with ``algorithm, descending, capacity``. A merged span runs from its smallest to its
     largest key whichever way the periods are ordered.
     """
-    sign = F.when(F.col("o.descending"), -1).otherwise(1)
-    stand_alone = F.col("sealed") | (F.col("o.algorithm") != "calendar_greedy")
-    item = F.struct(
-        F.col("first").isNull().alias("undated"),
-        F.coalesce(sign * F.col("first"), F.lit(0)).alias("ord"),
-        "first",
-        "last",
-        "precision",
-        "rows",
-        stand_alone.alias("sealed"),
+    item = F.expr(
+        "struct(first IS NULL AS undated, coalesce(CASE WHEN o.descending THEN -first ELSE first END, 0) AS ord, first, last, precision, rows, "
+        "sealed OR o.algorithm <> 'calendar_greedy' AS sealed)"
     )
     listed = groups.groupBy(*SOURCE).agg(F.array_sort(F.collect_list(item)).alias("items"), F.first("o").alias("o"))
-    runs = greedy_runs(F.col("items"), F.col("o.capacity"))
-    numbered = listed.select(*SOURCE, "o", F.inline(F.arrays_zip(runs.alias("run"), F.col("items").alias("item"))))
+    runs = F.expr(greedy_runs("items", "o.capacity")).alias("run")
+    numbered = listed.select(*SOURCE, "o", F.inline(F.arrays_zip(runs, F.col("items").alias("item"))))
     return numbered.groupBy(*SOURCE, F.col("run").alias("group_no")).agg(
-        F.when(F.bool_or("item.undated"), "undated").otherwise("period").alias("kind"),
+        F.expr("CASE WHEN bool_or(item.undated) THEN 'undated' ELSE 'period' END").alias("kind"),
         F.min("item.first").alias("first"),
         F.max("item.last").alias("last"),
         F.max("item.precision").alias("precision"),
@@ -139,7 +106,7 @@ def calendar_groups(inputs: DataFrame, counts: DataFrame) -> DataFrame:
     option = F.struct("algorithm", "grids", "capacity", *FACTS).alias("o")
     options = usable.select(*SOURCE, "base_period", option)
     totals = base_totals(counts.select(*SOURCE, "key", "rows").join(options, SOURCE), carried="o")
-    merged = merge_groups(base_groups(totals, F.col("o.capacity"), F.col("o.grids")))
+    merged = merge_groups(base_groups(totals, "o.capacity", "o.grids"))
     parts = minimum_sheets(F.col("rows"), F.col("o.capacity"))
     kind = F.when((parts > 1) & (F.col("kind") == "period"), "overflow").otherwise(F.col("kind"))
     return merged.select(

@@ -345,7 +345,7 @@ def cell_value(text: Column, dtype: T.DataType) -> Column:
         return F.when(letter == "s", rest.try_cast("timestamp_ntz")).otherwise(F.timestamp_add("SECOND", seconds, F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'")))
     if isinstance(dtype, T.DoubleType):
         return number
-    return rest.try_cast(dtype)
+    return F.lit(None) if isinstance(dtype, T.NullType) else rest.try_cast(dtype)
 
 
 def sheet_rows(export: Export) -> DataFrame:
@@ -416,12 +416,14 @@ def read_back_sheets(cells: DataFrame, schema: T.StructType, manifest: DataFrame
     )
     total = combine(read.unionByName(blank.select(*key, "rows", "digest", "row_digest", *facts)), key).select(*key, F.col("rows").alias("__rows"), F.col("digest").alias("__digest"))
     broken = seen.where(F.col("broken")).select("workbook").distinct().withColumn("__broken", F.lit(True))
-    unreadable = F.coalesce("__broken", F.lit(False)) | (F.col("dropped") > 0) | (F.col("rows") > F.col("expected"))
+    lost, found = F.coalesce("dropped", F.lit(0)), F.coalesce("rows", F.lit(0))
+    unreadable = F.coalesce("__broken", F.lit(False)) | (lost > 0) | (found > F.col("expected"))
     return (
         manifest.select(*key, F.col("rows").alias("expected"))
-        .join(seen.select(*key, "header", "dropped", "rows"), key)
-        .join(total, key)
+        .join(seen.where(F.col("sheet").isNotNull()).select(*key, "header", "dropped", "rows"), key, "left")
+        .join(total, key, "left")
         .join(broken, "workbook", "left")
+        .where(F.col("__digest").isNotNull() | F.col("__broken"))
         .select(*key, "header", F.col("__rows").alias("rows"), F.col("__digest").alias("digest"), unreadable.alias("unreadable"))
     )
 
