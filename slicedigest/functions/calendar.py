@@ -58,11 +58,6 @@ def two_digit_year(yy: Column, start: int) -> Column:
     return F.lit(start) + F.pmod(yy - start, F.lit(100))
 
 
-def days_in_month(year: Column, month: Column) -> Column:
-    leap = (F.pmod(year, F.lit(4)) == 0) & ((F.pmod(year, F.lit(100)) != 0) | (F.pmod(year, F.lit(400)) == 0))
-    return F.when(month == 2, F.when(leap, 29).otherwise(28)).when(month.isin(4, 6, 9, 11), 30).otherwise(31)
-
-
 def grid_start(month: Column, months: int | Column) -> Column:
     """Return the first month of the grid cell a month falls in; every grid starts in January."""
     size = F.lit(months) if isinstance(months, int) else months
@@ -83,16 +78,11 @@ def require_type(dtype: T.DataType, spec: DateColumn, name: str) -> None:
         raise TypeError(f"column {name!r} is {dtype.simpleString()} and was declared {spec.kind}")
 
 
-def _int_fields(value: Column, spec: DateColumn) -> tuple[Column, Column, Column | None]:
-    width = INT_WIDTHS[spec.fmt]
-    in_range = F.when((value >= 0) & (value < 10**width), value).cast("bigint")
-    tail = width - (2 if spec.window is not None else 4)
-    year = idiv(in_range, 10**tail).cast("int")
-    if spec.window is not None:
-        year = two_digit_year(year, spec.window)
-    month = F.pmod(idiv(in_range, 10 ** (tail - 2)), F.lit(100)).cast("int")
-    day = F.pmod(in_range, F.lit(100)).cast("int") if tail == 4 else None
-    return year, month, day
+def _int_year(value: Column, spec: DateColumn) -> Column:
+    """Return the year of an integer date whose value has already been found in range."""
+    tail = INT_WIDTHS[spec.fmt] - (2 if spec.window is not None else 4)
+    year = idiv(value, 10**tail)
+    return year if spec.window is None else two_digit_year(year, spec.window)
 
 
 def _date_of(value: Column, dtype: T.DataType, spec: DateColumn) -> Column:
@@ -108,17 +98,21 @@ def decode_reason(value: Column, dtype: T.DataType, spec: DateColumn) -> Column:
     if spec.kind != "int":
         year = F.year(_date_of(value, dtype, spec))
         return F.when(value.isNotNull() & ~year.between(MIN_YEAR, MAX_YEAR), "year")
+    # Each test uses the value once where it can: a long predicate would not be compiled.
     width = INT_WIDTHS[spec.fmt]
-    year, month, day = _int_fields(value, spec)
-    reason = (
-        F.when(value < 0, "negative")
-        .when(value >= 10**width, "digits")
-        .when(~year.between(MIN_YEAR, MAX_YEAR), "year")
-        .when(~month.between(1, 12), "month")
-    )
-    if day is not None:
-        reason = reason.when(~day.between(F.lit(1), days_in_month(year, month)), "day")
-    return F.when(value.isNotNull(), reason)
+    tail = width - (2 if spec.window is not None else 4)
+    exact = value.try_cast("bigint")
+    reason = F.when(value < 0, "negative").when(value >= 10**width, "digits")
+    if spec.window is None:
+        reason = reason.when(exact < 10**tail, "year")
+    reason = reason.when(~F.pmod(idiv(exact, 10 ** (tail - 2)), F.lit(100)).isin(list(range(1, 13))), "month")
+    if tail == 4:
+        day = F.pmod(exact, F.lit(100))
+        year = _int_year(exact, spec)
+        leap = (F.pmod(year, F.lit(4)) == 0) & ((F.pmod(year, F.lit(100)) != 0) | (F.pmod(year, F.lit(400)) == 0))
+        longest = F.element_at(F.expr("array(31, 29, 31, 30, 31, 30, 31, 31, 30, 31, 30, 31)"), F.pmod(idiv(exact, 100), F.lit(100)).cast("int"))
+        reason = reason.when((day == 0) | (day > longest), "day").when((F.pmod(exact, F.lit(10_000)) == 229) & ~leap, "day")
+    return reason
 
 
 def decode_key(value: Column, dtype: T.DataType, spec: DateColumn, grain: str) -> Column:
@@ -126,12 +120,14 @@ def decode_key(value: Column, dtype: T.DataType, spec: DateColumn, grain: str) -
     if grain == "day" and spec.precision == "month":
         raise ValueError(f"format {spec.fmt} names months only and cannot be cut by days")
     if spec.kind == "int":
-        year, month, day = _int_fields(value, spec)
+        exact = value.try_cast("bigint")
+        tail = F.pmod(exact, F.lit(10_000)) if spec.precision == "day" else F.pmod(exact, F.lit(100)) * 100
+        key = _int_year(exact, spec) * 10_000 + tail
+        key = (key if grain == "day" else key - F.pmod(key, F.lit(100))).cast("int")
     else:
         date = _date_of(value, dtype, spec)
-        year, month, day = F.year(date), F.month(date), F.dayofmonth(date)
-    key = pack(year, month, day if grain == "day" else None)
-    return F.when(decode_reason(value, dtype, spec).isNull(), key)
+        key = pack(F.year(date), F.month(date), F.dayofmonth(date) if grain == "day" else None)
+    return F.when(value.isNotNull() & decode_reason(value, dtype, spec).isNull(), key)
 
 
 def chronology(value: Column, dtype: T.DataType, spec: DateColumn) -> Column:

@@ -7,9 +7,6 @@ most significant first: one limb sum stays exact in a bigint for 2^31 rows, and
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 ALGORITHM = "xxh64-pair-128"
 VERSION = 1
 LIMBS = 4
@@ -38,79 +35,76 @@ TAGS = {
 ROW_TAG = 16
 
 
-def decimal_text(value: Column) -> Column:
-    """Return plain decimal text without trailing zeros."""
-    text = value.cast("string")
-    return F.when(value == 0, "0").when(text.contains("."), F.rtrim(F.rtrim(text, F.lit("0")), F.lit("."))).otherwise(text)
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
 
-def normal_form(value: Column, kind: str) -> Column:
-    """Return the value a cell is digested as, equal for values that are the same under the kind."""
+def normal_form(value: str, kind: str) -> str:
+    """Return what a cell is digested as, equal for values that are the same under the kind. All here is SQL text."""
     if kind == "float":
         # -0.0 equals 0.0; xxhash64 itself folds every NaN into one.
-        wide = value.cast("double")
-        return F.when(wide == 0, F.lit(0.0)).otherwise(wide)
-    if kind in ("integer", "boolean"):
-        return value.cast("int").cast("bigint") if kind == "boolean" else value.cast("bigint")
+        return f"CASE WHEN {value} = 0 THEN 0.0D ELSE cast({value} AS double) END"
+    if kind == "boolean":
+        return f"cast(cast({value} AS int) AS bigint)"
+    if kind in ("integer", "duration[us]", "duration[ns]", "datetime[ns]"):
+        return f"cast({value} AS bigint)"
+    if kind == "duration[ms]":
+        return f"cast({value} AS bigint) * 1000"
     if kind == "uint64":
-        return value.cast("string")
+        return f"cast({value} AS string)"
     if kind == "date":
-        return F.unix_date(value).cast("bigint")
+        return f"cast(unix_date({value}) AS bigint)"
     if kind == "decimal":
-        return decimal_text(value)
-    if kind == "duration[ms]":
-        return value.cast("bigint") * 1000
-    if kind in ("duration[us]", "duration[ns]", "datetime[ns]"):
-        return value.cast("bigint")
+        # Plain decimal text without trailing zeros.
+        text = f"cast({value} AS string)"
+        return f"CASE WHEN {value} = 0 THEN '0' WHEN contains({text}, '.') THEN rtrim('.', rtrim('0', {text})) ELSE {text} END"
     return value
 
 
-def lane(tag: int, side: int) -> Column:
+def tagged(tag: int, side: int) -> int:
     """Return what is hashed ahead of a value: the type tag and the lane in one literal."""
-    return F.lit(2 * tag + side)
+    return 2 * tag + side
 
 
-def cell_lanes(value: Column, kind: str) -> tuple[Column, Column]:
+def cell_lanes(value: str, kind: str) -> tuple[str, str]:
     """Return both lanes of a cell's digest; every null has one digest whatever its column's type."""
     lanes = []
     for side in (0, 1):
-        nothing = F.xxhash64(lane(TAGS["null"], side))
+        nothing = f"xxhash64({tagged(TAGS['null'], side)})"
         if kind == "null":
             lanes.append(nothing)
             continue
-        tagged = F.xxhash64(lane(TAGS[kind], side), normal_form(value, kind))
+        start = tagged(TAGS[kind], side)
+        hashed = f"xxhash64({start}, {normal_form(value, kind)})"
         if kind == "uint64":
             # Like any other integer where the value fits one, its decimal text above.
-            fits = value <= F.lit(2**63 - 1)
-            tagged = F.when(fits, F.xxhash64(lane(TAGS[kind], side), F.when(fits, value).cast("bigint"))).otherwise(tagged)
-        lanes.append(F.when(value.isNull(), nothing).otherwise(tagged))
+            hashed = f"CASE WHEN {value} <= {2**63 - 1}L THEN xxhash64({start}, try_cast({value} AS bigint)) ELSE {hashed} END"
+        lanes.append(f"CASE WHEN {value} IS NULL THEN {nothing} ELSE {hashed} END")
     return lanes[0], lanes[1]
 
 
-def row_lanes(his: list[Column], los: list[Column]) -> tuple[Column, Column]:
-    return F.xxhash64(lane(ROW_TAG, 0), *his), F.xxhash64(lane(ROW_TAG, 1), *los)
+def row_lanes(his: list[str], los: list[str]) -> tuple[str, str]:
+    return tuple(f"xxhash64({tagged(ROW_TAG, side)}, {', '.join(cells)})" for side, cells in enumerate((his, los)))
 
 
-def limbs_of(hi: Column, lo: Column) -> list[Column]:
-    mask = F.lit(MASK)
-    return [F.shiftrightunsigned(hi, 32), hi.bitwiseAND(mask), F.shiftrightunsigned(lo, 32), lo.bitwiseAND(mask)]
+def limbs_of(hi: str, lo: str) -> list[str]:
+    return [f"shiftrightunsigned({hi}, 32)", f"({hi} & {MASK}L)", f"shiftrightunsigned({lo}, 32)", f"({lo} & {MASK}L)"]
 
 
-def carry(limbs: list[Column]) -> list[Column]:
+def carry(limbs: list[str]) -> list[str]:
     """Bring limb sums back to 32 bits each, dropping what passes 2^128."""
-    out: list[Column] = []
-    over: Column | None = None
+    out: list[str] = []
+    over = "0L"
     for limb in reversed(limbs):
-        total = limb if over is None else limb + over
-        out.append(total.bitwiseAND(F.lit(MASK)))
-        over = F.shiftright(total, 32)
+        out.append(f"(({limb} + {over}) & {MASK}L)")
+        over = f"shiftright({limb} + {over}, 32)"
     return out[::-1]
 
 
-def to_hex(limbs: list[Column]) -> Column:
+def to_hex(limbs: list[str]) -> str:
     """Render carried limbs as 32 lowercase hex digits."""
-    return F.lower(F.concat(*[F.lpad(F.hex(limb), 8, "0") for limb in limbs]))
+    return "lower(concat(" + ", ".join(f"lpad(hex({limb}), 8, '0')" for limb in limbs) + "))"
 
 
-def from_hex(digest: Column) -> list[Column]:
-    return [F.conv(F.substring(digest, 1 + 8 * n, 8), 16, 10).cast("bigint") for n in range(LIMBS)]
+def from_hex(digest: str) -> list[str]:
+    return [f"cast(conv(substring({digest}, {1 + 8 * n}, 8), 16, 10) AS bigint)" for n in range(LIMBS)]

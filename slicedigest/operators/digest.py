@@ -19,6 +19,7 @@ from slicedigest.functions.digests import (
     cell_lanes,
     from_hex,
     limbs_of,
+    quoted,
     row_lanes,
     to_hex,
 )
@@ -33,8 +34,8 @@ def _lanes(df: DataFrame, columns: Sequence[str], keys: Sequence[Column], kinds:
     found = kinds_of(df.select(*[named(c) for c in columns]).schema, {k: v for k, v in (kinds or {}).items() if k in columns})
     cells: list[Column] = []
     for n, name in enumerate(columns):
-        hi, lo = cell_lanes(named(name), found[name])
-        cells += [hi.alias(f"__hi{n}"), lo.alias(f"__lo{n}")]
+        hi, lo = cell_lanes(quoted(name), found[name])
+        cells += [F.expr(f"{hi} AS __hi{n}"), F.expr(f"{lo} AS __lo{n}")]
     key_names = [f"__key{n}" for n in range(len(keys))]
     return df.select(*[key.alias(name) for key, name in zip(keys, key_names)], *cells), key_names
 
@@ -43,25 +44,24 @@ def row_limbs(df: DataFrame, columns: Sequence[str], keys: dict[str, Column], ki
     """Return keys plus ``__f0..3`` (all cells and the row) and ``__r0..3`` (the row) for each row."""
     hashed, key_names = _lanes(df, columns, list(keys.values()), kinds)
     width = len(columns)
-    row_hi, row_lo = row_lanes([F.col(f"__hi{n}") for n in range(width)], [F.col(f"__lo{n}") for n in range(width)])
-    hashed = hashed.withColumns({f"__hi{width}": row_hi, f"__lo{width}": row_lo})
-    parts = [limbs_of(F.col(f"__hi{n}"), F.col(f"__lo{n}")) for n in range(width + 1)]
-    frame_limbs = []
-    for limb in range(LIMBS):
-        total = parts[0][limb]
-        for cell in parts[1:]:
-            total = total + cell[limb]
-        frame_limbs.append(total.alias(f"__f{limb}"))
-    row_only = [parts[width][limb].alias(f"__r{limb}") for limb in range(LIMBS)]
+    row = row_lanes([f"__hi{n}" for n in range(width)], [f"__lo{n}" for n in range(width)])
+    hashed = hashed.select("*", *[F.expr(f"{text} AS __{side}{width}") for text, side in zip(row, ("hi", "lo"))])
+    parts = [limbs_of(f"__hi{n}", f"__lo{n}") for n in range(width + 1)]
+    frame_limbs = [F.expr(" + ".join(cell[limb] for cell in parts) + f" AS __f{limb}") for limb in range(LIMBS)]
+    row_only = [F.expr(f"{parts[width][limb]} AS __r{limb}") for limb in range(LIMBS)]
     return hashed.select(*[F.col(k).alias(name) for k, name in zip(key_names, keys)], *frame_limbs, *row_only)
 
 
 def _sums(prefixes: Sequence[str]) -> list[Column]:
-    return [F.coalesce(F.sum(f"{p}{n}"), F.lit(0).cast("bigint")).alias(f"{p}{n}") for p in prefixes for n in range(LIMBS)]
+    return [F.expr(f"coalesce(sum({p}{n}), 0L) AS {p}{n}") for p in prefixes for n in range(LIMBS)]
 
 
-def _carried(prefix: str) -> list[Column]:
-    return carry([F.col(f"{prefix}{n}") for n in range(LIMBS)])
+def _carried(prefix: str) -> list[str]:
+    return carry([f"{prefix}{n}" for n in range(LIMBS)])
+
+
+def _hex(prefix: str, name: str, only_if: str = "true") -> Column:
+    return F.expr(f"CASE WHEN {only_if} THEN {to_hex(_carried(prefix))} END AS {name}")
 
 
 def sum_row_limbs(limbs: DataFrame, keys: Sequence[str], bounded: bool) -> DataFrame:
@@ -76,8 +76,8 @@ def sum_row_limbs(limbs: DataFrame, keys: Sequence[str], bounded: bool) -> DataF
         limbs = partial.select(
             *keys,
             "rows",
-            *[c.alias(f"__f{n}") for n, c in enumerate(_carried("__f"))],
-            *[c.alias(f"__r{n}") for n, c in enumerate(_carried("__r"))],
+            *[F.expr(f"{c} AS __f{n}") for n, c in enumerate(_carried("__f"))],
+            *[F.expr(f"{c} AS __r{n}") for n, c in enumerate(_carried("__r"))],
         )
         count = F.coalesce(F.sum("rows"), F.lit(0).cast("bigint"))
     else:
@@ -86,8 +86,8 @@ def sum_row_limbs(limbs: DataFrame, keys: Sequence[str], bounded: bool) -> DataF
     return total.select(
         *keys,
         "rows",
-        to_hex(_carried("__f")).alias("digest"),
-        to_hex(_carried("__r")).alias("row_digest"),
+        _hex("__f", "digest"),
+        _hex("__r", "row_digest"),
     )
 
 
@@ -111,17 +111,17 @@ def digest_columns(df: DataFrame, columns: Sequence[str] | None = None, kinds: d
     """Return one row per column: position, name, value and null counts, digest; all from one pass."""
     columns = list(columns or df.columns)
     hashed, _ = _lanes(df, columns, [named(c).isNull().cast("bigint") for c in columns], kinds)
-    cells = F.array(*[F.struct(F.col(f"__key{n}").alias("nil"), F.col(f"__hi{n}").alias("hi"), F.col(f"__lo{n}").alias("lo")) for n in range(len(columns))])
-    cell = hashed.select(F.posexplode(cells).alias("position", "cell"))
-    limbs = limbs_of(F.col("cell.hi"), F.col("cell.lo"))
+    cells = ", ".join(f"struct(__key{n} AS nil, __hi{n} AS hi, __lo{n} AS lo)" for n in range(len(columns)))
+    cell = hashed.select(F.expr(f"posexplode(array({cells}))").alias("position", "cell"))
+    limbs = limbs_of("cell.hi", "cell.lo")
     # Exploded cells meet a partial aggregate in the same task, so only columns x tasks records are shuffled.
     partial = (
-        cell.select("position", F.col("cell.nil").alias("nil"), *[limb.alias(f"__c{n}") for n, limb in enumerate(limbs)])
+        cell.select("position", F.col("cell.nil").alias("nil"), *[F.expr(f"{limb} AS __c{n}") for n, limb in enumerate(limbs)])
         .withColumn("__task", F.spark_partition_id())
         .groupBy("position", "__task")
         .agg(F.count("*").alias("values"), F.sum("nil").alias("nulls"), *_sums(["__c"]))
     )
-    carried = partial.select("position", "values", "nulls", *[c.alias(f"__c{n}") for n, c in enumerate(_carried("__c"))])
+    carried = partial.select("position", "values", "nulls", *[F.expr(f"{c} AS __c{n}") for n, c in enumerate(_carried("__c"))])
     total = carried.groupBy("position").agg(F.sum("values").alias("values"), F.sum("nulls").alias("nulls"), *_sums(["__c"]))
     names = F.array(*[F.lit(c) for c in columns])
     found = total.select(
@@ -129,7 +129,7 @@ def digest_columns(df: DataFrame, columns: Sequence[str] | None = None, kinds: d
         F.element_at(names, F.col("position") + 1).alias("column"),
         F.col("values").alias("value_count"),
         F.col("nulls").alias("null_count"),
-        to_hex(_carried("__c")).alias("digest"),
+        _hex("__c", "digest"),
     )
     return _identity(found, "column")
 
@@ -141,8 +141,8 @@ def combine(parts: DataFrame, keys: Sequence[str]) -> DataFrame:
     digest. The digests are null then. A key without parts has no row: the digest of nothing is not known here.
     """
     identity = F.struct("algorithm", "version", "scope")
-    frame = [limb.alias(f"__f{n}") for n, limb in enumerate(from_hex(F.col("digest")))]
-    row = [limb.alias(f"__r{n}") for n, limb in enumerate(from_hex(F.col("row_digest")))]
+    frame = [F.expr(f"{limb} AS __f{n}") for n, limb in enumerate(from_hex("digest"))]
+    row = [F.expr(f"{limb} AS __r{n}") for n, limb in enumerate(from_hex("row_digest"))]
     total = (
         parts.select(*keys, "rows", "algorithm", "version", "scope", "row_digest", identity.alias("__id"), *frame, *row)
         .groupBy(*keys)
@@ -155,19 +155,19 @@ def combine(parts: DataFrame, keys: Sequence[str]) -> DataFrame:
             *_sums(["__f", "__r"]),
         )
     )
-    refusal = F.when(F.col("__first") != F.col("__last"), "mixed-identity").when(
-        (F.col("__with_rows") > 0) & (F.col("__with_rows") < F.col("parts")), "partial-row-digest"
+    refusal = F.expr(
+        "CASE WHEN __first <> __last THEN 'mixed-identity' WHEN __with_rows > 0 AND __with_rows < parts THEN 'partial-row-digest' END AS refusal"
     )
-    return total.select(
+    return total.select("*", refusal).select(
         *keys,
         "parts",
         "rows",
-        F.when(refusal.isNull(), to_hex(_carried("__f"))).alias("digest"),
-        F.when(refusal.isNull() & (F.col("__with_rows") > 0), to_hex(_carried("__r"))).alias("row_digest"),
+        _hex("__f", "digest", "refusal IS NULL"),
+        _hex("__r", "row_digest", "refusal IS NULL AND __with_rows > 0"),
         F.col("__first.algorithm").alias("algorithm"),
         F.col("__first.version").alias("version"),
         F.col("__first.scope").alias("scope"),
-        refusal.alias("refusal"),
+        "refusal",
     )
 
 

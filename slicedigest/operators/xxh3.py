@@ -105,15 +105,13 @@ def partial_sums(df: DataFrame, keys: dict[str, Column], columns: Sequence[str],
 def digest_by_xxh3(df: DataFrame, keys: dict[str, Column], columns: Sequence[str], kinds: dict[str, str] | None = None) -> DataFrame:
     """Return the row count, frame digest and row digest of every key group; without keys always one row."""
     parts = partial_sums(df, keys, columns, kinds)
-    row = F.col("position") == -1
-    limbs = from_hex(F.col("digest"))
-    zero = F.lit(0).cast("bigint")
+    limbs = list(enumerate(from_hex("digest")))
     total = parts.groupBy(*keys).agg(
-        F.coalesce(F.sum(F.when(row, F.col("rows"))), zero).alias("rows"),
-        *[F.coalesce(F.sum(limb), zero).alias(f"__f{n}") for n, limb in enumerate(limbs)],
-        *[F.coalesce(F.sum(F.when(row, limb)), zero).alias(f"__r{n}") for n, limb in enumerate(limbs)],
+        F.expr("coalesce(sum(rows) FILTER (WHERE position = -1), 0L) AS rows"),
+        *[F.expr(f"coalesce(sum({limb}), 0L) AS __f{n}") for n, limb in limbs],
+        *[F.expr(f"coalesce(sum({limb}) FILTER (WHERE position = -1), 0L) AS __r{n}") for n, limb in limbs],
     )
-    whole = lambda p: to_hex(carry([F.col(f"__{p}{n}") for n in range(LIMBS)]))
+    whole = lambda p: F.expr(to_hex(carry([f"__{p}{n}" for n in range(LIMBS)])))
     return total.select(
         *keys, "rows", whole("f").alias("digest"), whole("r").alias("row_digest"), F.lit(ALGORITHM).alias("algorithm"), F.lit(VERSION).alias("version"), F.lit("dataframe").alias("scope")
     )
@@ -123,6 +121,6 @@ def digest_columns_xxh3(df: DataFrame, kinds: dict[str, str] | None = None) -> D
     """Return ``position, column, value_count, digest`` of every column."""
     names = F.array(*[F.lit(c) for c in df.columns])
     parts = partial_sums(df, {}, df.columns, kinds).where(F.col("position") >= 0)
-    total = parts.groupBy("position").agg(F.sum("rows").alias("value_count"), *[F.sum(limb).alias(f"__c{n}") for n, limb in enumerate(from_hex(F.col("digest")))])
-    digest = to_hex(carry([F.col(f"__c{n}") for n in range(LIMBS)]))
+    total = parts.groupBy("position").agg(F.sum("rows").alias("value_count"), *[F.expr(f"sum({limb}) AS __c{n}") for n, limb in enumerate(from_hex("digest"))])
+    digest = F.expr(to_hex(carry([f"__c{n}" for n in range(LIMBS)])))
     return total.select("position", F.element_at(names, F.col("position") + 1).alias("column"), "value_count", digest.alias("digest"))

@@ -399,7 +399,7 @@ def read_back_sheets(cells: DataFrame, schema: T.StructType, manifest: DataFrame
     typed = typed_cells(cells, schema, F.col("row"), header.alias("__header"))
     carried = {c: F.col(c) for c in (*key, "row", "__header", "dropped")}
     data = F.col("row") > 0
-    sums = [F.coalesce(F.sum(F.when(data, F.col(f"__{p}{n}"))), F.lit(0).cast("bigint")).alias(f"__{p}{n}") for p in "fr" for n in range(LIMBS)]
+    sums = [F.expr(f"coalesce(sum(__{p}{n}) FILTER (WHERE row > 0), 0L) AS __{p}{n}") for p in "fr" for n in range(LIMBS)]
     seen = row_limbs(typed, columns, carried).groupBy(*key).agg(
         F.max("__header").alias("header"),
         F.coalesce(F.sum(F.when(data, F.col("dropped"))), F.lit(0).cast("bigint")).alias("dropped"),
@@ -407,7 +407,7 @@ def read_back_sheets(cells: DataFrame, schema: T.StructType, manifest: DataFrame
         F.bool_or(F.col("row").isNull()).alias("broken"),
         *sums,
     )
-    whole = lambda p: to_hex(carry([F.col(f"__{p}{n}") for n in range(LIMBS)]))
+    whole = lambda p: F.expr(to_hex(carry([f"__{p}{n}" for n in range(LIMBS)])))
     seen = materialise(seen.select(*key, "header", "dropped", "rows", "broken", whole("f").alias("digest"), whole("r").alias("row_digest")))
     blank = read_back_digests(blank_rows(missing_rows(seen, manifest), schema), columns)
     facts = [F.col(c) for c in ("algorithm", "version", "scope")]
