@@ -68,3 +68,10 @@ def type_flags(kind: str) -> dict[str, bool]:
         "is_text": kind == "string",
         "is_boolean": kind == "boolean",
     }
+
+
+def require_instants(schema: T.StructType, columns: list[str]) -> None:
+    """Refuse record timestamps that name no instant; two zoneless times cannot be compared."""
+    loose = [c for c in columns if not isinstance(schema[c].dataType, T.TimestampType)]
+    if loose:
+        raise TypeError(f"columns {loose} must be instants with a zone")

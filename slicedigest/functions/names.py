@@ -32,6 +32,15 @@ def identifier_problem(value: str) -> str | None:
     return None if re.fullmatch(r"[A-Za-z0-9][A-Za-z0-9_-]*", value) else "letters, digits, '_' and '-' only, starting with a letter or digit"
 
 
+def column_problem(columns: list[str]) -> str | None:
+    """Return why column names cannot head a worksheet: one is empty, or two differ only by case."""
+    if any(not name for name in columns):
+        return "a column has no name"
+    folded = [name.casefold() for name in columns]
+    twice = sorted({name for name in columns if folded.count(name.casefold()) > 1})
+    return f"columns differ only by case: {twice}" if twice else None
+
+
 def is_identifier(value: Column) -> Column:
     return value.rlike(IDENTIFIER)
 

@@ -12,6 +12,7 @@ from slicedigest.functions.calendar import chronology
 from slicedigest.functions.columns import free_name, named
 from slicedigest.functions.digests import ALGORITHM, VERSION
 from slicedigest.functions.kinds import kinds_of
+from slicedigest.functions.names import column_problem
 from slicedigest.operators.assign import assign_groups, assign_slices, with_sheet
 from slicedigest.operators.bucket import bucket_key, first_refusal
 from slicedigest.operators.convert import cell_rule
@@ -63,6 +64,8 @@ def arrange(source: SourceTable, sheet: Sheet, profile: Profile) -> Arranged:
     The order is decided on source values: a converted boolean, for one, sorts the other way round.
     """
     df, rule = source.frame, profile.partitioning
+    if column_problem(source.columns):
+        raise ValueError(f"source {sheet.source!r}: {column_problem(source.columns)}")
     kinds = kinds_of(df.select(*[named(c) for c in source.columns]).schema, source.kinds)
     zones = source.zones or {}
     out = [cell_rule(named(c), kind, zones.get(c, "UTC")).cell.alias(c) for c, kind in kinds.items()]

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from slicedigest.functions.digests import ALGORITHM, VERSION
+from slicedigest.functions.kinds import require_instants
 from slicedigest.operators.convert import CONVERSION, CONVERSION_VERSION
 
 # Fixed values of the layout.
@@ -44,6 +45,8 @@ def stale_sources(sources: DataFrame, descriptions: DataFrame) -> DataFrame:
     ``conversions`` an array of ``id, version, algorithm, hasher_version``; an unreadable one counts as missing.
     A source is changed when its time differs at all: a restored older file is a change too.
     """
+    require_instants(sources.schema, ["modified"])
+    require_instants(descriptions.schema, ["modified", "described"])
     record = conversion_record(F.col("conversions"))
     d = descriptions.select(
         "path", F.col("modified").alias("__recorded"), "described", record.alias("__record"), F.lit(True).alias("__known")
@@ -69,6 +72,8 @@ def stale_profiles(
     ``members``: ``profile, source_pos, alias``. ``source_signals``: from ``stale_sources``. ``receipts``: ``profile,
     exported, config_hash, planner_version``. ``current``: ``profile, config_modified, config_hash, forced``.
     """
+    require_instants(receipts.schema, ["exported"])
+    require_instants(current.schema, ["config_modified"])
     order = F.struct(F.col("source_pos"), F.col("signals"), F.col("described"))
     sources = (
         members.join(source_signals.select("alias", "signals", "described"), "alias", "left")

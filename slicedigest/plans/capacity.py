@@ -16,7 +16,7 @@ def sheet_cells(columns: Column, rows: Column) -> Column:
 
 def sheet_capacity(columns: Column, max_rows: Column, budget: Column) -> Column:
     """Most data rows one sheet may hold; below one the budget cannot pay for a header and a row."""
-    return F.least(max_rows.cast("bigint"), idiv(budget.cast("bigint"), columns.cast("bigint")) - 1)
+    return F.least(max_rows.cast("bigint"), idiv(budget.cast("bigint"), F.greatest(columns.cast("bigint"), F.lit(1).cast("bigint"))) - 1)
 
 
 def minimum_sheets(rows: Column, capacity: Column) -> Column:

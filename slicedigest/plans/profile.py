@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from slicedigest.options import Naming, Profile
 from slicedigest.plans.allocate import balanced_workbook_sheets, pack
-from slicedigest.plans.capacity import minimum_workbooks, one_workbook, sheet_cells, with_capacity
+from slicedigest.plans.capacity import minimum_workbooks, one_workbook, oversized_shape, sheet_cells, with_capacity
 from slicedigest.plans.groups import balanced_groups, calendar_groups, single_groups
 from slicedigest.plans.naming import name_plan
 from slicedigest.runtime import materialise
@@ -98,6 +98,8 @@ def plan_refusals(inputs: DataFrame, counts: DataFrame, reasons: set[str] | None
     found = sized.where((F.col("capacity") < 1) & (F.col("rows") > 0)).select(
         "profile", "alias", F.lit("budget-below-one-row").alias("reason"), nothing.alias("key"), rows
     )
+    wide = oversized_shape(F.col("columns"), F.lit(0))
+    found = found.unionByName(sized.select("profile", "alias", wide.alias("reason"), nothing.alias("key"), rows).where(F.col("reason").isNotNull()))
     if reasons == {"budget-below-one-row"}:
         return found
     decided = sized.join(one_workbook(inputs).select("profile", "one_workbook"), "profile")

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from slicedigest.functions.columns import free_name, named
-from slicedigest.functions.names import render, template_tokens, workbook_problem, worksheet_problem
+from slicedigest.functions.names import column_problem, render, template_tokens, workbook_problem, worksheet_problem
+from slicedigest.functions.kinds import require_instants
 from slicedigest.operators.bucket import bucket_counts, decode_errors, first_refusal
 from slicedigest.operators.convert import conversion_changes, to_cells
 from slicedigest.options import DateColumn, Limits, Naming, Partitioning, Profile, Sheet, SortKey, Source, check_profiles
@@ -166,3 +167,14 @@ def test_templates(spark):
         render("{t:03d}", {"t": F.col("t")}, set())
     with pytest.raises(KeyError):
         render("{other}", {}, set())
+
+
+def test_column_names():
+    assert column_problem(["a", "b"]) is None and "case" in column_problem(["a", "A"]) and "no name" in column_problem(["a", ""])
+
+
+def test_record_times_are_instants(spark):
+    schema = spark.sql("SELECT TIMESTAMP '2026-01-01 00:00:00' AS a, TIMESTAMP_NTZ '2026-01-01 00:00:00' AS b").schema
+    require_instants(schema, ["a"])
+    with pytest.raises(TypeError, match="b"):
+        require_instants(schema, ["a", "b"])
