@@ -46,17 +46,20 @@ def decode_errors(df: DataFrame, column: str, spec: DateColumn, ordinal: Sequenc
     ).where(F.col("reason").isNotNull())
 
 
-def first_refusal(df: DataFrame, column: str, spec: DateColumn, null_dates: str, ordinal: Column) -> DataFrame:
-    """Return the earliest row that stops an export: an undecodable value, or a null where nulls are refused.
-
-    One aggregate over the table; no row when nothing refuses.
-    """
+def refused_row(df: DataFrame, column: str, spec: DateColumn, null_dates: str, ordinal: Column) -> Column:
+    """Return, for a row that stops an export, its ordinal, value and reason: undecodable, or null where nulls are refused."""
     dtype = df.schema[column].dataType
     require_type(dtype, spec, column)
     reason = decode_reason(named(column), dtype, spec)
     if null_dates == "error":
         reason = F.when(named(column).isNull(), "null").otherwise(reason)
-    refused = F.when(reason.isNotNull(), F.struct(ordinal.alias("ordinal"), named(column).cast("string").alias("value"), reason.alias("reason")))
+    row = F.struct(ordinal.alias("ordinal"), named(column).cast("string").alias("value"), reason.alias("reason"))
+    return F.when(reason.isNotNull(), row)
+
+
+def first_refusal(df: DataFrame, column: str, spec: DateColumn, null_dates: str, ordinal: Column) -> DataFrame:
+    """Return the earliest row that stops an export; no row when nothing refuses. One aggregate over the table."""
+    refused = refused_row(df, column, spec, null_dates, ordinal)
     return (
         df.agg(F.min(refused).alias("r"))
         .where(F.col("r").isNotNull())

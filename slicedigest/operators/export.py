@@ -14,7 +14,7 @@ from slicedigest.functions.digests import ALGORITHM, VERSION
 from slicedigest.functions.kinds import kinds_of
 from slicedigest.functions.names import column_problem
 from slicedigest.operators.assign import assign_groups, assign_slices, with_sheet
-from slicedigest.operators.bucket import bucket_key, first_refusal
+from slicedigest.operators.bucket import bucket_key, refused_row
 from slicedigest.operators.convert import cell_rule
 from slicedigest.operators.digest import digest_by, digest_frame
 from slicedigest.operators.order import FILE, ROW, sort_column
@@ -49,9 +49,13 @@ class SourceTable:
 
 @dataclass(frozen=True)
 class Arranged:
-    """Converted columns with, beside them, the key and sort values of the unconverted ones."""
+    """Converted columns with, beside them, the key and sort values of the unconverted ones.
+
+    ``counting`` is the narrow view the plan is made from: the key, and the row's refusal if it has one.
+    """
 
     frame: DataFrame
+    counting: DataFrame
     columns: list[str]
     key: str | None
     order: list[Column]
@@ -79,9 +83,13 @@ def arrange(source: SourceTable, sheet: Sheet, profile: Profile) -> Arranged:
 
     key = None
     order: list[Column] = []
+    counting = df.select(F.lit(None).cast("int").alias("key"), F.lit(None).cast("string").alias("refused"))
     if rule.calendar:
         spec = source.date_columns[sheet.partition_column]
-        key = helper("__key", bucket_key(df, sheet.partition_column, spec, rule.grain))
+        bucket = bucket_key(df, sheet.partition_column, spec, rule.grain)
+        refused = refused_row(df, sheet.partition_column, spec, rule.null_dates, F.struct(*[named(c) for c in source.ordinal]))
+        counting = df.select(bucket.alias("key"), refused.alias("refused"))
+        key = helper("__key", bucket)
         order.append(F.col(key).desc_nulls_last() if rule.period_order == "descending" else F.col(key).asc_nulls_last())
     for entry in sheet.sort:
         value = named(entry.column)
@@ -89,7 +97,7 @@ def arrange(source: SourceTable, sheet: Sheet, profile: Profile) -> Arranged:
             value = chronology(value, df.schema[entry.column].dataType, source.date_columns[entry.column])
         order.append(sort_column(F.col(helper("__sort", value)), entry))
     order += [F.col(helper("__ordinal", named(c))).asc() for c in source.ordinal]
-    return Arranged(df.select(*out), source.columns, key, order, rule.grain)
+    return Arranged(df.select(*out), counting, source.columns, key, order, rule.grain)
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:
@@ -97,11 +105,15 @@ def _union(frames: list[DataFrame]) -> DataFrame:
 
 
 def count_sources(profile: Profile, arranged: dict[str, Arranged]) -> DataFrame:
-    """Return ``profile, alias, key, rows`` for every source, materialised: the only thing the plan needs of the rows."""
+    """Return ``profile, alias, key, rows, refused`` for every source, materialised: all the plan needs of the rows.
+
+    ``refused`` is the earliest row that stops the export, as JSON. Such a row has no key, so a source shows one at most.
+    """
     frames = []
     for alias, a in arranged.items():
-        key = F.col(a.key) if a.key else F.lit(None).cast("int")
-        frames.append(a.frame.groupBy(key.alias("key")).agg(F.count("*").alias("rows")).select(F.lit(profile.name).alias("profile"), F.lit(alias).alias("alias"), "key", "rows"))
+        counted = a.counting.groupBy("key").agg(F.count("*").alias("rows"), F.min("refused").alias("refused"))
+        refused = F.col("refused") if a.key is None else F.to_json("refused")
+        frames.append(counted.select(F.lit(profile.name).alias("profile"), F.lit(alias).alias("alias"), "key", "rows", refused.alias("refused")))
     return materialise(_union(frames))
 
 
@@ -129,17 +141,12 @@ def preview(profile: Profile, sources: dict[str, SourceTable]) -> DataFrame:
     return make_plan(profile, {s.source: arrange(sources[s.source], s, profile) for s in profile.sheets}, sources)[2]
 
 
-def check_refusals(profile: Profile, sources: dict[str, SourceTable], inputs: DataFrame, counts: DataFrame, plan: DataFrame) -> None:
+def check_refusals(profile: Profile, inputs: DataFrame, counts: DataFrame, plan: DataFrame) -> None:
     """Raise for the first row that refuses, a plan that cannot be made, or a name that is not allowed."""
-    for sheet in profile.sheets:
-        if not profile.partitioning.calendar:
-            break
-        source = sources[sheet.source]
-        spec = source.date_columns[sheet.partition_column]
-        ordinal = F.struct(*[named(c) for c in source.ordinal])
-        row = first_refusal(source.frame, sheet.partition_column, spec, profile.partitioning.null_dates, ordinal).first()
-        if row is not None:
-            raise ExportRefused(f"source {sheet.source!r} row {tuple(row['ordinal'])} column {row['column']!r}: {row['reason']} ({row['value']!r})")
+    rows = counts.where(F.col("refused").isNotNull()).select("alias", "refused").collect()  # one per source at most
+    if rows:
+        columns = {s.source: s.partition_column for s in profile.sheets}
+        raise ExportRefused("; ".join(f"source {r['alias']!r} column {columns[r['alias']]!r}: {r['refused']}" for r in rows))
     reasons = plan_refusals(inputs, counts, possible_refusals(profile)).limit(5).collect()
     if reasons:
         raise ExportRefused("; ".join(f"{r['alias']}: {r['reason']} at {r['key']}" for r in reasons))
@@ -181,7 +188,7 @@ def export(profile: Profile, sources: dict[str, SourceTable], check: bool = True
     arranged = {s.source: arrange(sources[s.source], s, profile) for s in profile.sheets}
     counts, inputs, plan = make_plan(profile, arranged, sources)
     if check:
-        check_refusals(profile, sources, inputs, counts, plan)
+        check_refusals(profile, inputs, counts, plan)
     placed = {alias: place_rows(profile, alias, a, plan) for alias, a in arranged.items()}
     digests = [
         digest_by(rows, {"workbook": F.col("workbook"), "sheet": F.col("sheet")}, arranged[alias].columns, bounded=True).withColumn("alias", F.lit(alias))
