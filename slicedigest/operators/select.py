@@ -74,12 +74,13 @@ def stale_profiles(
     """
     require_instants(receipts.schema, ["exported"])
     require_instants(current.schema, ["config_modified"])
-    order = F.struct(F.col("source_pos"), F.col("signals"), F.col("described"))
-    sources = (
-        members.join(source_signals.select("alias", "signals", "described"), "alias", "left")
-        .groupBy("profile")
-        .agg(F.array_sort(F.collect_list(order)).alias("members"), F.max("described").alias("__described"))
+    # A profile keeps only the first place each signal was seen at, so any number of sources comes down to four records.
+    seen = members.join(source_signals.select("alias", "signals", "described"), "alias", "left").select(
+        "profile", "source_pos", "described", F.posexplode_outer("signals").alias("at", "signal")
     )
+    firsts = seen.groupBy("profile", "signal").agg(F.min(F.struct("source_pos", "at")).alias("first"), F.max("described").alias("described"))
+    listed = F.array_sort(F.collect_list(F.when(F.col("signal").isNotNull(), F.struct("first", "signal"))))
+    sources = firsts.groupBy("profile").agg(F.transform(listed, lambda s: s["signal"]).alias("theirs"), F.max("described").alias("__described"))
     r = receipts.select(
         "profile",
         "exported",
@@ -97,7 +98,7 @@ def stale_profiles(
         (has & (F.col("config_hash") != F.col("__receipt_hash")), "resolved-config-hash"),
         (has & (F.col("__receipt_planner") != planner_version), "planner-version"),
     )
-    theirs = F.flatten(F.transform(F.coalesce("members", F.array().cast("array<struct<source_pos:int,signals:array<string>,described:timestamp>>")), lambda m: F.coalesce(m["signals"], F.array().cast("array<string>"))))
+    theirs = F.coalesce("theirs", F.array().cast("array<string>"))
     decided = all_.select("profile", own.alias("signals"), F.array_distinct(F.concat(own, theirs)).alias("reasons"))
     return decided.withColumn("stale", F.size("reasons") > 0)
 
