@@ -8,6 +8,7 @@ from checks.registry import query, table
 from slicedigest.functions import calendar as cal
 from slicedigest.functions import names
 from slicedigest.functions.labels import period_label
+from slicedigest.operators.select import fingerprint
 from slicedigest.operators.bucket import bucket_counts, decode_errors, distinct_dates, first_refusal
 from slicedigest.options import DateColumn
 from slicedigest.plans.groups import base_totals, grid_sums
@@ -232,6 +233,7 @@ def template_names_part(spark, sf):
     return table(spark, sf, "part").select("p_partkey", names.prefixed("acme", text).alias("name"))
 
 
-@query("SELECT c_custkey, sha256(c_mktsegment || ':' || c_nationkey) AS fingerprint FROM customer")
+@query("""SELECT c_custkey, sha256('{"nation":"' || c_nationkey || '","segment":"' || c_mktsegment || '"}') AS fingerprint FROM customer""")
 def row_fingerprints(spark, sf):
-    return table(spark, sf, "customer").select("c_custkey", F.sha2(F.concat_ws(":", "c_mktsegment", "c_nationkey"), 256).alias("fingerprint"))
+    options = F.create_map(F.lit("segment"), F.col("c_mktsegment"), F.lit("nation"), F.col("c_nationkey").cast("string"))
+    return table(spark, sf, "customer").select("c_custkey", fingerprint(options).alias("fingerprint"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from checks import sql
@@ -10,7 +12,7 @@ from checks.registry import query, table
 from slicedigest.functions.digests import ALGORITHM, VERSION
 from slicedigest.operators import report, select, verify
 from slicedigest.operators.digest import digest_by
-from slicedigest.runtime import materialise
+from slicedigest.runtime import materialise, use_checkpoint_dir
 
 MONTH = "(year(o_orderdate) * 100 + month(o_orderdate))::VARCHAR"
 
@@ -60,8 +62,13 @@ def verify_damaged_export(spark, sf):
 
 @query(f"WITH {VERDICTS} SELECT workbook, sheet, 'valid' AS kind FROM v")
 def verify_clean_export(spark, sf):
-    manifest = manifest_of(spark, sf)
-    return verify.verify_fragments(manifest, manifest).select("workbook", "sheet", "kind")
+    """The export written to files in another row order and read back."""
+    folder = f"{use_checkpoint_dir(spark)}/clean-{uuid.uuid4().hex}"
+    sheets = _sheets(table(spark, sf, "orders"))
+    sheets.orderBy(F.desc("o_totalprice")).write.partitionBy("workbook").parquet(folder)
+    back = spark.read.schema(sheets.schema).parquet(folder)
+    d = digest_by(back, {"workbook": F.col("workbook"), "sheet": F.col("sheet")}, [c for c, _ in ORDERS], bounded=True)
+    return verify.verify_fragments(manifest_of(spark, sf), d.withColumn("header", header())).select("workbook", "sheet", "kind")
 
 
 @query(f"WITH {VERDICTS} SELECT workbook, sheet, CASE WHEN workbook = 'F' THEN 'unsupported-hasher' WHEN kind IN ('columns-differ', 'workbook-unreadable') THEN kind WHEN workbook = 'O' AND sheet LIKE '%03' THEN 'workbook-missing' ELSE 'valid' END AS kind FROM v")

@@ -6,7 +6,7 @@ missing date has a null key. Integer order on keys is calendar order.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,9 +24,12 @@ def wall_clock(instant: Column, zone: str) -> Column:
     return F.convert_timezone(F.lit("UTC"), F.lit(zone), utc_wall_clock(instant))
 
 
-def check_zone(spark, zone: str) -> None:
-    """Raise once, before any job, when the zone is unknown."""
-    spark.range(1).select(F.convert_timezone(F.lit("UTC"), F.lit(zone), F.expr("TIMESTAMP_NTZ'2000-01-01'"))).collect()
+def check_zone(spark: SparkSession, zone: str) -> None:
+    """Raise on the driver, before any job, when the zone is unknown."""
+    try:
+        spark.sparkContext._jvm.java.time.ZoneId.of(zone)
+    except Exception:
+        raise ValueError(f"unknown time zone {zone!r}") from None
 
 
 def year_of(key: Column) -> Column:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 import string
 
 from pyspark.sql import Column
@@ -36,8 +37,8 @@ def column_problem(columns: list[str]) -> str | None:
     """Return why column names cannot head a worksheet: one is empty, or two differ only by case."""
     if any(not name for name in columns):
         return "a column has no name"
-    folded = [name.casefold() for name in columns]
-    twice = sorted({name for name in columns if folded.count(name.casefold()) > 1})
+    folded = Counter(name.lower() for name in columns)
+    twice = sorted({name for name in columns if folded[name.lower()] > 1})
     return f"columns differ only by case: {twice}" if twice else None
 
 

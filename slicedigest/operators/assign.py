@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from slicedigest.functions.calendar import day_of, month_of, year_of
 from slicedigest.functions.columns import idiv
 from slicedigest.operators.order import part_of, part_rows, part_start, with_positions
-from slicedigest.runtime import broadcast_if_small, materialise
+from slicedigest.runtime import broadcast_if_small
 
 
 def group_keys(plan: DataFrame, grain: str) -> DataFrame:
@@ -52,8 +52,8 @@ def assign_groups(rows: DataFrame, plan: DataFrame, key: str, order: Sequence[Co
     ``plan`` holds the source's sheets, materialised; ``key`` is the row key column; ``order`` ends in something unique.
     A row no group covers keeps a null group, so a hole in the plan shows instead of losing rows.
     """
-    keys = materialise(group_keys(plan, grain).withColumnRenamed("key", "__covered"))
-    cut = not keys.where(F.col("parts") > 1).isEmpty()
+    keys = group_keys(plan, grain).withColumnRenamed("key", "__covered")
+    cut = not plan.where(F.col("parts") > 1).isEmpty()
     found = rows.join(broadcast_if_small(keys), F.col(key).eqNullSafe(F.col("__covered")), "left").drop("__covered")
     whole = F.coalesce(F.col("parts"), F.lit(1)) == 1
     kept = [*rows.columns, "group_no"]

@@ -107,31 +107,65 @@ def digest_frame(df: DataFrame, columns: Sequence[str] | None = None, kinds: dic
     return digest_by(df, {}, columns or df.columns, kinds)
 
 
-def digest_columns(df: DataFrame, columns: Sequence[str] | None = None, kinds: dict[str, str] | None = None) -> DataFrame:
-    """Return one row per column: position, name, value and null counts, digest; all from one pass."""
+BLOCK = 8
+"""Columns summed side by side, so that a row becomes one record per so many columns and not one per column."""
+
+
+def digest_all(df: DataFrame, columns: Sequence[str] | None = None, kinds: dict[str, str] | None = None) -> DataFrame:
+    """Return the digests of every column and of the whole table from one pass.
+
+    A row of ``scope`` ``column`` per column with its position, value and null counts, and one of ``dataframe`` with the row
+    count, the frame digest and ``row_digest``. The row's own hash is summed like one more column, and the frame digest is the
+    sum of all of them.
+    """
     columns = list(columns or df.columns)
-    hashed, _ = _lanes(df, columns, [named(c).isNull().cast("bigint") for c in columns], kinds)
-    cells = ", ".join(f"struct(__key{n} AS nil, __hi{n} AS hi, __lo{n} AS lo)" for n in range(len(columns)))
-    cell = hashed.select(F.expr(f"posexplode(array({cells}))").alias("position", "cell"))
-    limbs = limbs_of("cell.hi", "cell.lo")
-    # Exploded cells meet a partial aggregate in the same task, so only columns x tasks records are shuffled.
+    width = len(columns)
+    nil = [named(c).isNull().cast("bigint") for c in columns]
+    hashed, _ = _lanes(df, columns, nil, kinds)
+    row = row_lanes([f"__hi{n}" for n in range(width)], [f"__lo{n}" for n in range(width)])
+    hashed = hashed.select("*", *[F.expr(f"{text} AS __{side}{width}") for text, side in zip(row, ("hi", "lo"))], F.lit(0).cast("bigint").alias(f"__key{width}"))
+    cells = [f"struct(__key{n} AS nil, __hi{n} AS hi, __lo{n} AS lo)" for n in range(width + 1)]
+    cells += ["struct(0L AS nil, 0L AS hi, 0L AS lo)"] * (-len(cells) % BLOCK)
+    blocks = [f"struct({', '.join(f'{c} AS c{i}' for i, c in enumerate(cells[n : n + BLOCK]))})" for n in range(0, len(cells), BLOCK)]
+    block = hashed.select(F.expr(f"posexplode(array({', '.join(blocks)}))").alias("block", "b"))
+    limbs = [limbs_of(f"b.c{i}.hi", f"b.c{i}.lo") for i in range(BLOCK)]
+    # Blocks meet a partial aggregate in the same task, so only blocks x tasks records are shuffled.
     partial = (
-        cell.select("position", F.col("cell.nil").alias("nil"), *[F.expr(f"{limb} AS __c{n}") for n, limb in enumerate(limbs)])
+        block.select("block", *[F.expr(f"b.c{i}.nil AS __n{i}") for i in range(BLOCK)], *[F.expr(f"{t} AS __c{i}_{n}") for i, c in enumerate(limbs) for n, t in enumerate(c)])
         .withColumn("__task", F.spark_partition_id())
-        .groupBy("position", "__task")
-        .agg(F.count("*").alias("values"), F.sum("nil").alias("nulls"), *_sums(["__c"]))
+        .groupBy("block", "__task")
+        .agg(F.count("*").alias("values"), *[F.sum(f"__n{i}").alias(f"__n{i}") for i in range(BLOCK)], *_sums([f"__c{i}_" for i in range(BLOCK)]))
     )
-    carried = partial.select("position", "values", "nulls", *[F.expr(f"{c} AS __c{n}") for n, c in enumerate(_carried("__c"))])
-    total = carried.groupBy("position").agg(F.sum("values").alias("values"), F.sum("nulls").alias("nulls"), *_sums(["__c"]))
+    carried = lambda i: ", ".join(f"{c} AS l{n}" for n, c in enumerate(_carried(f"__c{i}_")))
+    spread = F.expr(f"posexplode(array({', '.join(f'struct(__n{i} AS nil, {carried(i)})' for i in range(BLOCK))})) AS (place, c)")
+    cell = partial.select("block", "values", spread).withColumn("position", (F.col("block") * BLOCK + F.col("place")).cast("int"))
+    cell = cell.where(F.col("position") <= width).select("position", "values", "c.*")
     names = F.array(*[F.lit(c) for c in columns])
-    found = total.select(
-        "position",
-        F.element_at(names, F.col("position") + 1).alias("column"),
-        F.col("values").alias("value_count"),
-        F.col("nulls").alias("null_count"),
-        _hex("__c", "digest"),
-    )
-    return _identity(found, "column")
+    is_row = F.col("position") == width
+    no_row = F.expr("struct(0L AS values, 0L AS nil, " + ", ".join(f"0L AS l{n}" for n in range(LIMBS)) + ")")
+    # An empty table has no block: its columns and its row digest to zero all the same.
+    zero = df.sparkSession.range(width + 1).select(F.col("id").cast("int").alias("position"), no_row.alias("z")).select("position", "z.*")
+    total = cell.unionByName(zero).groupBy("position").agg(F.sum("values").alias("values"), F.sum("nil").alias("nil"), *_sums(["l"]))
+    total = total.select("position", "values", "nil", *[F.expr(f"{c} AS __c{n}") for n, c in enumerate(_carried("l"))])
+    per_column = total.where(~is_row).select(
+        F.lit("column").alias("scope"), "position", F.element_at(names, F.col("position") + 1).alias("column"),
+        F.col("values").alias("value_count"), F.col("nil").alias("null_count"), _hex("__c", "digest"), F.lit(None).cast("string").alias("row_digest"),
+    )
+    whole = total.agg(
+        F.max("values").alias("values"),
+        *[F.expr(f"sum(__c{n}) AS __f{n}") for n in range(LIMBS)],
+        *[F.expr(f"sum(CASE WHEN position = {width} THEN __c{n} END) AS __r{n}") for n in range(LIMBS)],
+    ).select(
+        F.lit("dataframe").alias("scope"), F.lit(None).cast("int").alias("position"), F.lit(None).cast("string").alias("column"),
+        F.col("values").alias("value_count"), F.lit(None).cast("bigint").alias("null_count"), _hex("__f", "digest"), _hex("__r", "row_digest"),
+    )
+    return per_column.unionByName(whole).withColumns({"algorithm": F.lit(ALGORITHM), "version": F.lit(VERSION)})
+
+
+def digest_columns(df: DataFrame, columns: Sequence[str] | None = None, kinds: dict[str, str] | None = None) -> DataFrame:
+    """Return one row per column: position, name, value and null counts, digest; all from one pass."""
+    found = digest_all(df, columns, kinds).where(F.col("scope") == "column")
+    return found.select("position", "column", "value_count", "null_count", "digest", "algorithm", "version", "scope")
 
 
 def combine(parts: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from slicedigest.functions.calendar import chronology
+from slicedigest.functions.calendar import check_zone, chronology
 from slicedigest.functions.columns import free_name, named
 from slicedigest.functions.digests import ALGORITHM, VERSION
 from slicedigest.functions.kinds import kinds_of
@@ -23,6 +24,10 @@ from slicedigest.plans.profile import plan_inputs, plan_profiles, plan_refusals,
 from slicedigest.runtime import materialise
 
 
+EXACT_CELLS = 1 << 30
+"""Most cells of a sheet whose digests may be added up in one step; more are added per task first."""
+
+
 class ExportRefused(Exception):
     """The data or the limits do not allow this export; the message names the first reasons."""
 
@@ -47,6 +52,14 @@ class SourceTable:
         return [c for c in self.frame.columns if c not in self.ordinal]
 
 
+@dataclass(frozen=True)
+class OrderKey:
+    """A column that orders rows and the direction it sorts in."""
+
+    column: str
+    sorted: Callable[[Column], Column]
+
+
 @dataclass(frozen=True)
 class Arranged:
     """Converted columns with, beside them, the key and sort values of the unconverted ones.
@@ -58,9 +71,13 @@ class Arranged:
     counting: DataFrame
     columns: list[str]
     key: str | None
-    order: list[Column]
+    sorts: list[OrderKey]
     grain: str
 
+    @property
+    def order(self) -> list[Column]:
+        return [s.sorted(named(s.column)) for s in self.sorts]
+
 
 def arrange(source: SourceTable, sheet: Sheet, profile: Profile) -> Arranged:
     """Convert a source and carry what orders it in one projection.
@@ -72,6 +89,9 @@ def arrange(source: SourceTable, sheet: Sheet, profile: Profile) -> Arranged:
         raise ValueError(f"source {sheet.source!r}: {column_problem(source.columns)}")
     kinds = kinds_of(df.select(*[named(c) for c in source.columns]).schema, source.kinds)
     zones = source.zones or {}
+    dated = [c.zone for c in source.date_columns.values() if getattr(c, "zone", None)]
+    for zone in {*zones.values(), *dated}:
+        check_zone(df.sparkSession, zone)
     out = [cell_rule(named(c), kind, zones.get(c, "UTC")).cell.alias(c) for c, kind in kinds.items()]
     taken = list(source.columns)
 
@@ -82,7 +102,7 @@ def arrange(source: SourceTable, sheet: Sheet, profile: Profile) -> Arranged:
         return name
 
     key = None
-    order: list[Column] = []
+    sorts: list[OrderKey] = []
     counting = df.select(F.lit(None).cast("int").alias("key"), F.lit(None).cast("string").alias("refused"))
     if rule.calendar:
         spec = source.date_columns[sheet.partition_column]
@@ -90,14 +110,14 @@ def arrange(source: SourceTable, sheet: Sheet, profile: Profile) -> Arranged:
         refused = refused_row(df, sheet.partition_column, spec, rule.null_dates, F.struct(*[named(c) for c in source.ordinal]))
         counting = df.select(bucket.alias("key"), refused.alias("refused"))
         key = helper("__key", bucket)
-        order.append(F.col(key).desc_nulls_last() if rule.period_order == "descending" else F.col(key).asc_nulls_last())
+        sorts.append(OrderKey(key, Column.desc_nulls_last if rule.period_order == "descending" else Column.asc_nulls_last))
     for entry in sheet.sort:
         value = named(entry.column)
         if entry.column in source.date_columns:
             value = chronology(value, df.schema[entry.column].dataType, source.date_columns[entry.column])
-        order.append(sort_column(F.col(helper("__sort", value)), entry))
-    order += [F.col(helper("__ordinal", named(c))).asc() for c in source.ordinal]
-    return Arranged(df.select(*out), counting, source.columns, key, order, rule.grain)
+        sorts.append(OrderKey(helper("__sort", value), partial(sort_column, key=entry)))
+    sorts += [OrderKey(helper("__ordinal", named(c)), Column.asc) for c in source.ordinal]
+    return Arranged(df.select(*out), counting, source.columns, key, sorts, rule.grain)
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:
@@ -147,12 +167,22 @@ def check_refusals(profile: Profile, inputs: DataFrame, counts: DataFrame, plan:
     if rows:
         columns = {s.source: s.partition_column for s in profile.sheets}
         raise ExportRefused("; ".join(f"source {r['alias']!r} column {columns[r['alias']]!r}: {r['refused']}" for r in rows))
-    reasons = plan_refusals(inputs, counts, possible_refusals(profile)).limit(5).collect()
-    if reasons:
-        raise ExportRefused("; ".join(f"{r['alias']}: {r['reason']} at {r['key']}" for r in reasons))
-    bad = plan.where(F.col("problem").isNotNull()).select("workbook", "sheet", "problem").limit(5).collect()
-    if bad:
-        raise ExportRefused("; ".join(f"{r['workbook']}!{r['sheet']}: {r['problem']}" for r in bad))
+    reasons = plan_refusals(inputs, counts, possible_refusals(profile))
+    _refuse(reasons, F.concat(F.col("alias"), F.lit(": "), F.col("reason"), F.lit(" at "), F.coalesce(F.col("key").cast("string"), F.lit("all"))))
+    bad = plan.where(F.col("problem").isNotNull())
+    _refuse(bad, F.concat(F.col("workbook"), F.lit("!"), F.col("sheet"), F.lit(": "), F.col("problem")))
+
+
+SHOWN = 5
+"""Reasons a refusal spells out; it gives the number of all of them."""
+
+
+def _refuse(rows: DataFrame, text: Column) -> None:
+    first = rows.select(text.alias("text")).orderBy("text").limit(SHOWN).collect()
+    if first:
+        count = rows.count() if len(first) == SHOWN else len(first)
+        shown = "; ".join(r["text"] for r in first)
+        raise ExportRefused(shown if count <= SHOWN else f"{shown}; {count} in all")
 
 
 def place_rows(profile: Profile, alias: str, arranged: Arranged, plan: DataFrame) -> DataFrame:
@@ -190,8 +220,9 @@ def export(profile: Profile, sources: dict[str, SourceTable], check: bool = True
     if check:
         check_refusals(profile, inputs, counts, plan)
     placed = {alias: place_rows(profile, alias, a, plan) for alias, a in arranged.items()}
+    bounded = profile.limits.cells <= EXACT_CELLS
     digests = [
-        digest_by(rows, {"workbook": F.col("workbook"), "sheet": F.col("sheet")}, arranged[alias].columns, bounded=True).withColumn("alias", F.lit(alias))
+        digest_by(rows, {"workbook": F.col("workbook"), "sheet": F.col("sheet")}, arranged[alias].columns, bounded=bounded).withColumn("alias", F.lit(alias))
         for alias, rows in placed.items()
     ]
     wholes = [digest_frame(a.frame, a.columns).withColumn("alias", F.lit(alias)) for alias, a in arranged.items()]

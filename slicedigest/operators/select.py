@@ -113,6 +113,11 @@ def canonical_map(values: Column) -> Column:
     return F.to_json(F.map_from_entries(F.array_sort(F.map_entries(values))))
 
 
+def fingerprint(values: Column) -> Column:
+    """Return the SHA-256 of a map column's canonical JSON: `config_hash` for options that are rows of a table."""
+    return F.sha2(canonical_map(values), 256)
+
+
 def keep_set(profiles: DataFrame, workbooks: DataFrame, sidecars: DataFrame) -> DataFrame:
     """Return ``profile, name``: what a publish must not delete. Of a nested name the first segment counts."""
     listed = workbooks.select("profile", "name").unionByName(sidecars.select("profile", "name"))

@@ -66,10 +66,11 @@ def verdict_kind(expected: Column, actual: Column) -> Column:
     )
 
 
-def verify_fragments(manifest: DataFrame, actual: DataFrame) -> DataFrame:
+def verify_fragments(manifest: DataFrame, actual: DataFrame, every_sheet_seen: bool = False) -> DataFrame:
     """Join recorded and read-back sheets and judge each; a sheet nobody recorded is listed as unexpected.
 
-    ``actual``: ``workbook, sheet, header, rows, digest`` and, if known, ``unreadable``.
+    ``actual``: ``workbook, sheet, header, rows, digest`` and, if known, ``unreadable``. Where a sheet without rows leaves
+    nothing to group, ``every_sheet_seen`` is false and such a sheet counts as found.
     """
     if "unreadable" not in actual.columns:
         actual = actual.withColumn("unreadable", F.lit(False))
@@ -79,7 +80,8 @@ def verify_fragments(manifest: DataFrame, actual: DataFrame) -> DataFrame:
     both = e.join(a, SHEET, "full_outer")
     # An empty recorded sheet has no rows to group, so its record is made here.
     empty = F.struct(F.col("e.header").alias("header"), F.col("e.rows").alias("rows"), zero_digest.alias("digest"), F.lit(False).alias("unreadable"))
-    both = both.withColumn("a", F.when(F.col("a").isNull() & (F.col("e.rows") == 0), empty).otherwise(F.col("a")))
+    if not every_sheet_seen:
+        both = both.withColumn("a", F.when(F.col("a").isNull() & (F.col("e.rows") == 0), empty).otherwise(F.col("a")))
     kind = F.when(F.col("e").isNull(), "unexpected").otherwise(verdict_kind(F.col("e"), F.col("a")))
     return both.select(
         "alias",
@@ -121,9 +123,9 @@ def reassembly(manifest: DataFrame, sources: DataFrame) -> DataFrame:
     return both.select("alias", rows.alias("rows_found"), "rows_expected", (rows == F.col("rows_expected")).alias("rows_match"), kind.alias("reassembly"))
 
 
-def verify_manifest(manifest: DataFrame, sources: DataFrame, actual: DataFrame) -> DataFrame:
+def verify_manifest(manifest: DataFrame, sources: DataFrame, actual: DataFrame, every_sheet_seen: bool = False) -> DataFrame:
     """Return one line per source: sheets checked, sheets that failed, rows and reassembly, and whether all holds."""
-    verdicts = verify_fragments(manifest, actual)
+    verdicts = verify_fragments(manifest, actual, every_sheet_seen)
     per_source = verdicts.groupBy("alias").agg(F.count("*").alias("sheets"), F.count_if(F.col("kind") != "valid").alias("failed"))
     whole = reassembly(manifest, sources).join(per_source, "alias", "left")
     fine = (F.coalesce("failed", F.lit(0)) == 0) & F.col("rows_match") & F.coalesce(F.col("reassembly") == "valid", F.lit(True))

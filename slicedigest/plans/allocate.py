@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from slicedigest.functions.columns import idiv
 from slicedigest.operators.order import part_rows, part_start
+from slicedigest.plans.fold import running_values
 
 ORDER = ["__class", "__first", "source_pos", "group_no"]
 
@@ -40,10 +41,13 @@ def next_fit(runs: str, budget: str) -> str:
     rest = f"(r.count - {fits})"
     opened = f"(({rest} + {per} - 1) div {per})"
     used = f"CASE WHEN {rest} = 0 THEN acc.used + r.count * r.cost ELSE ({rest} - ({opened} - 1) * {per}) * r.cost END"
-    return (
-        f"aggregate({runs}, named_struct('placed', cast(array() AS array<struct<book:int,fits:bigint,per:bigint>>), 'book', 1, 'used', 0L), "
-        f"(acc, r) -> named_struct('placed', concat(acc.placed, array(named_struct('book', acc.book, 'fits', {fits}, 'per', {per}))), "
-        f"'book', cast(acc.book + {opened} AS int), 'used', {used}), acc -> acc.placed)"
+    return running_values(
+        runs,
+        "r",
+        f"named_struct('book', acc.book, 'fits', {fits}, 'per', {per})",
+        "struct<book:int,fits:bigint,per:bigint>",
+        {"book": "1", "used": "0L"},
+        {"book": f"cast(acc.book + {opened} AS int)", "used": used},
     )
 
 
@@ -107,7 +111,10 @@ def balanced_workbook_sheets(inputs: DataFrame, workbooks: DataFrame) -> DataFra
     sheets = idiv(F.col("__share") + F.col("max_rows") - 1, F.col("max_rows").cast("bigint"))
     books = books.withColumn("__sheets", F.when(empty_once, F.lit(1).cast("bigint")).otherwise(sheets)).where(F.col("__sheets") > 0)
     out = books.select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("__sheets") - 1)).alias("__n"))
-    in_source = Window.partitionBy("profile", "alias").orderBy("__book", "__n")
+    rows, count, most = F.col("rows").cast("bigint"), F.col("workbooks"), F.col("max_rows").cast("bigint")
+    whole, extra = idiv(rows, count), F.pmod(rows, count)
+    of_share = lambda share: idiv(share + most - 1, most)
+    before = F.least(F.col("__book"), extra) * of_share(whole + 1) + F.greatest(F.col("__book") - extra, F.lit(0).cast("bigint")) * of_share(whole)
     in_book = Window.partitionBy("profile", "__book").orderBy("source_pos", "__n")
     nothing = F.lit(None).cast("int")
     return out.select(
@@ -118,7 +125,7 @@ def balanced_workbook_sheets(inputs: DataFrame, workbooks: DataFrame) -> DataFra
         "columns",
         F.lit(1).alias("group_no"),
         F.col("rows").alias("group_rows"),
-        (F.row_number().over(in_source) - 1).alias("part"),
+        (before + F.col("__n")).cast("int").alias("part"),
         F.lit(1).alias("parts"),
         F.lit("period").alias("kind"),
         nothing.alias("first"),

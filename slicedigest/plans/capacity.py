@@ -21,7 +21,8 @@ def sheet_capacity(columns: Column, max_rows: Column, budget: Column) -> Column:
 
 def minimum_sheets(rows: Column, capacity: Column) -> Column:
     """Fewest sheets that hold the rows; no rows still take one header-only sheet."""
-    return F.greatest(F.lit(1).cast("bigint"), idiv(rows + capacity - 1, capacity))
+    one = F.lit(1).cast("bigint")
+    return F.greatest(one, idiv(rows + capacity - 1, F.greatest(capacity, one)))
 
 
 def balanced_sizes(rows: Column, parts: Column) -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from slicedigest.plans.capacity import minimum_sheets, with_capacity
+from slicedigest.plans.fold import running_values
 
 GROUP = "struct<first:int,last:int,precision:string,rows:bigint,sealed:boolean>"
 SOURCE = ["profile", "alias"]
@@ -65,11 +66,13 @@ def greedy_runs(groups: str, capacity: str) -> str:
     """
     alone = f"(g.sealed OR g.rows > {capacity})"
     fresh = f"({alone} OR NOT acc.open OR acc.used + g.rows > {capacity})"
-    run = f"acc.run + cast({fresh} AS int)"
-    return (
-        f"aggregate({groups}, named_struct('runs', cast(array() AS array<int>), 'run', 0, 'used', 0L, 'open', false), "
-        f"(acc, g) -> named_struct('runs', concat(acc.runs, array({run})), 'run', {run}, "
-        f"'used', CASE WHEN {fresh} THEN g.rows ELSE acc.used + g.rows END, 'open', NOT {alone}), acc -> acc.runs)"
+    return running_values(
+        groups,
+        "g",
+        f"acc.run + cast({fresh} AS int)",
+        "int",
+        {"run": "0", "used": "0L", "open": "false"},
+        {"run": f"acc.run + cast({fresh} AS int)", "used": f"CASE WHEN {fresh} THEN g.rows ELSE acc.used + g.rows END", "open": f"NOT {alone}"},
     )
 
 
@@ -102,11 +105,17 @@ def calendar_groups(inputs: DataFrame, counts: DataFrame) -> DataFrame:
     ``inputs``: one row per (profile, alias) with the options; ``counts``: ``profile, alias, key, rows``.
     Returns groups with ``parts``: more than one marks an oversized group that is cut by rows.
     """
-    usable = with_capacity(inputs).where((F.col("algorithm") != "balanced") & (F.col("capacity") >= 1))
+    usable = with_capacity(inputs).where((F.col("algorithm") != "balanced") & ((F.col("capacity") >= 1) | (F.col("rows") == 0)))
     option = F.struct("algorithm", "grids", "capacity", *FACTS).alias("o")
     options = usable.select(*SOURCE, "base_period", option)
     totals = base_totals(counts.select(*SOURCE, "key", "rows").join(options, SOURCE), carried="o")
-    merged = merge_groups(base_groups(totals, "o.capacity", "o.grids"))
+    groups = base_groups(totals, "o.capacity", "o.grids")
+    # A source without rows has no counts: one group of no rows stands for it, so that it keeps its header-only sheet.
+    nothing = options.join(counts.select(*SOURCE).distinct(), SOURCE, "left_anti").select(
+        *SOURCE, "base_period", "o", F.inline(F.expr(f"cast(array(struct(null, null, null, 0L, true)) AS array<{GROUP}>)"))
+    )
+    merged = merge_groups(groups.unionByName(nothing.select(groups.columns)))
+    merged = merged.withColumn("kind", F.when((F.col("kind") == "undated") & (F.col("rows") == 0), "period").otherwise(F.col("kind")))
     parts = minimum_sheets(F.col("rows"), F.col("o.capacity"))
     kind = F.when((parts > 1) & (F.col("kind") == "period"), "overflow").otherwise(F.col("kind"))
     return merged.select(
@@ -121,7 +130,7 @@ def single_groups(inputs: DataFrame) -> DataFrame:
 
 def balanced_groups(inputs: DataFrame) -> DataFrame:
     """Even slices of each source's one sorted order, as few as its sheet capacity allows."""
-    sized = with_capacity(inputs).where(F.col("capacity") >= 1)
+    sized = with_capacity(inputs).where((F.col("capacity") >= 1) | (F.col("rows") == 0))
     return _unsplit(sized, "period", minimum_sheets(F.col("rows"), F.col("capacity")))
 
 

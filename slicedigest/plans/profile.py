@@ -10,7 +10,6 @@ from slicedigest.plans.allocate import balanced_workbook_sheets, pack
 from slicedigest.plans.capacity import minimum_workbooks, one_workbook, oversized_shape, sheet_cells, with_capacity
 from slicedigest.plans.groups import balanced_groups, calendar_groups, single_groups
 from slicedigest.plans.naming import name_plan
-from slicedigest.runtime import materialise
 
 OPTIONS = (
     "profile string, source_pos int, alias string, max_rows bigint, budget bigint, algorithm string, "
@@ -53,7 +52,7 @@ def plan_sheets(inputs: DataFrame, counts: DataFrame, across: set[str] | None =
     layout in use (``calendar``, ``worksheets``, ``workbooks``) so that the others are left out of the query.
     """
     across = across or {"calendar", "worksheets", "workbooks"}
-    decided = materialise(inputs.join(one_workbook(inputs).select("profile", "one_workbook"), "profile"))
+    decided = inputs.join(one_workbook(inputs).select("profile", "one_workbook"), "profile")
     single, split = decided.where(F.col("one_workbook")), decided.where(~F.col("one_workbook"))
     groups = single_groups(single)
     if "calendar" in across:

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BROADCAST_ROW_LIMIT = 500_000
-"""Most rows a plan-sized table may have before it is joined by shuffle instead of broadcast."""
+BROADCAST_BYTE_LIMIT = 64 << 20
+"""Most rows, and bytes as JSON text, that a plan-sized table may have to be broadcast; beyond either it is joined by shuffle."""
 
 
 def use_checkpoint_dir(spark: SparkSession) -> str:
@@ -38,9 +39,11 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
+def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT, size: int = BROADCAST_BYTE_LIMIT) -> DataFrame:
     """Mark a materialised plan-sized frame for broadcast when it is proven small, else leave the join to Spark.
 
-    Counts at most ``limit + 1`` rows, so the check itself stays small.
+    Counts and measures at most ``limit + 1`` rows, so the check itself stays small.
     """
-    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+    width = F.octet_length(F.to_json(F.struct("*")))
+    seen = df.limit(limit + 1).agg(F.count("*").alias("rows"), F.coalesce(F.sum(width), F.lit(0)).alias("bytes")).first()
+    return F.broadcast(df) if seen["rows"] <= limit and seen["bytes"] <= size else df

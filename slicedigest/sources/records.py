@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from slicedigest.operators.describe import COLUMN, CONVERTED, RECORD
 from slicedigest.operators.export import Export
 
 SCHEMA_VERSION = 1
@@ -17,10 +18,13 @@ SOURCES = (
     "schema_version int, alias string, rows bigint, digest string, row_digest string, algorithm string, version int, scope string, "
     "conversion_version string, total_and_disjoint boolean"
 )
-RECEIPT = "schema_version int, profile string, owner string, config_id string, exported timestamp, config_hash string, planner_version string, sources map<string, struct<modified: timestamp, described: timestamp>>"
+RECEIPT = (
+    "schema_version int, profile string, owner string, config_id string, exported timestamp, config_hash string, planner_version string, "
+    "location string, sources map<string, struct<modified: timestamp, described: timestamp>>"
+)
 DESCRIPTION = (
-    "schema_version int, path string, modified timestamp, described timestamp, "
-    "conversions array<struct<id: string, version: string, algorithm: string, hasher_version: int, schema: string, rows: bigint, digest: string, row_digest: string>>"
+    f"schema_version int, path string, stem string, modified timestamp, modified_in_zones map<string, timestamp>, described timestamp, "
+    f"source {RECORD}, columns array<{COLUMN}>, conversions array<{CONVERTED}>, error string"
 )
 
 
@@ -39,6 +43,12 @@ def read_records(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame
     return raw.where(good).drop("_corrupt_record", "schema_version"), unreadable
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Say whether a file or folder is there, on whatever file system its path names."""
+    made = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return made.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(made)
+
+
 def publish_records(export: Export, receipt: DataFrame, path: str) -> None:
     """Write the manifest, then the sources, and the receipt last: it marks the export as complete."""
     write_records(export.fragments, f"{path}/{export.profile.name}.manifest")

@@ -8,6 +8,7 @@ bounds both.
 
 from __future__ import annotations
 
+import json
 import re
 import uuid
 import zipfile
@@ -29,7 +30,7 @@ from slicedigest.functions.digests import ALGORITHM, LIMBS, VERSION, carry, to_h
 from slicedigest.operators.digest import combine, row_limbs
 from slicedigest.operators.export import Export
 from slicedigest.operators.verify import blank_rows, missing_rows, read_back_digests
-from slicedigest.runtime import materialise
+from slicedigest.runtime import broadcast_if_small, materialise
 
 SCHEMA = "workbook string, sheet string, row bigint, cells array<string>"
 WRITE_SCHEMA = "workbook string, sheet string, sheet_index int, row bigint, cells array<string>"
@@ -50,6 +51,8 @@ STYLES = (
 UNSTORABLE = re.compile("[\x00-\x08\x0b-\x1f￾￿]|_(?=x[0-9A-Fa-f]{4}_)")
 STORED = re.compile("_x([0-9A-Fa-f]{4})_")
 EPOCH_SERIAL = 25569  # 1970-01-01
+FIRST_SERIAL, LAST_SERIAL = -693593, 2958466  # the days of the years 1 to 9999, the last one exclusive
+MAX_COLUMNS, MAX_ROWS = 16_384, 1_048_576
 FIRST_SAFE_DATE = "1900-03-01"  # serial numbers below it are off by one day
 
 
@@ -135,16 +138,37 @@ def sheet_parts(archive: zipfile.ZipFile) -> dict[str, str]:
     return {name: t[1:] if t.startswith("/") else f"xl/{t}" for name, t in targets.items()}
 
 
+def rich_text(item: ElementTree.Element | None) -> str:
+    """Return a text item's content: plain or in formatted runs, without the phonetic guide beside it."""
+    parts = []
+    for child in item if item is not None else ():
+        if child.tag == f"{{{MAIN}}}t":
+            parts.append(child.text or "")
+        elif child.tag == f"{{{MAIN}}}r":
+            parts.append(child.findtext(f"{{{MAIN}}}t") or "")
+    return load_text("".join(parts))
+
+
 def shared_texts(archive: zipfile.ZipFile) -> list[str]:
+    """Return the shared texts of a workbook that has them, forgetting each element once read."""
     if "xl/sharedStrings.xml" not in archive.namelist():
         return []
-    items = ElementTree.fromstring(archive.read("xl/sharedStrings.xml")).iter(f"{{{MAIN}}}si")
-    return [load_text("".join(t.text or "" for t in item.iter(f"{{{MAIN}}}t"))) for item in items]
+    texts, item_tag, root = [], f"{{{MAIN}}}si", None
+    for event, element in ElementTree.iterparse(archive.open("xl/sharedStrings.xml"), ("start", "end")):
+        if root is None:
+            root = element
+        elif event == "end" and element.tag == item_tag:
+            texts.append(rich_text(element))
+            root.clear()
+    return texts
 
 
 def read_rows(stream, shared: list[str]) -> Iterator[tuple[int, list[str | None]]]:
-    """Yield ``(row from zero, cells)`` of one sheet, header included, forgetting each row once given."""
-    row_tag, cell_tag, value_tag, text_tag = (f"{{{MAIN}}}{t}" for t in ("row", "c", "v", "t"))
+    """Yield ``(row from zero, cells)`` of one sheet, header included, forgetting each row once given.
+
+    Rows and columns must ascend and stay inside the format's limits.
+    """
+    row_tag, cell_tag, value_tag, inline_tag = (f"{{{MAIN}}}{t}" for t in ("row", "c", "v", "is"))
     at = -1
     container = None
     for event, element in ElementTree.iterparse(stream, ("start", "end")):
@@ -154,14 +178,18 @@ def read_rows(stream, shared: list[str]) -> Iterator[tuple[int, list[str | None]
             continue
         if element.tag != row_tag:
             continue
-        at = int(element.get("r")) - 1 if element.get("r") else at + 1
+        before, at = at, int(element.get("r")) - 1 if element.get("r") else at + 1
+        if not before < at < MAX_ROWS:
+            raise ValueError(f"row {at + 1} behind row {before + 1}")
         cells: list[str | None] = []
         for cell in element.iter(cell_tag):
-            if cell.get("r"):
-                cells += [None] * (_column_number(cell.get("r")) - len(cells))
+            column = _column_number(cell.get("r")) if cell.get("r") else len(cells)
+            if not len(cells) <= column < MAX_COLUMNS:
+                raise ValueError(f"column {column + 1} behind column {len(cells)}")
+            cells += [None] * (column - len(cells))
             kind, value = cell.get("t", "n"), cell.findtext(value_tag)
             if kind == "inlineStr":
-                cells.append("s" + load_text("".join(t.text or "" for t in cell.iter(text_tag))))
+                cells.append("s" + rich_text(cell.find(inline_tag)))
             elif value is None:
                 cells.append(None)
             elif kind == "s":
@@ -174,6 +202,21 @@ def read_rows(stream, shared: list[str]) -> Iterator[tuple[int, list[str | None]
         container.clear()
 
 
+def full_path(spark: SparkSession, path: str) -> str:
+    """Return a path with its scheme: one without belongs to the session's default file system, as for Spark's own sources.
+
+    On a cluster that must not be the local disk, which every executor has its own of. A path that names ``file:`` itself is
+    taken as shared.
+    """
+    jvm = spark.sparkContext._jvm
+    made = jvm.org.apache.hadoop.fs.Path(path)
+    named_scheme = made.toUri().getScheme() is not None
+    full = made.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(made).toString()
+    if full.startswith("file:") and not named_scheme and not spark.sparkContext.master.startswith("local"):
+        raise ValueError(f"{path!r} is on each executor's own disk; name a shared folder with its scheme")
+    return "file://" + full[len("file:") :] if re.match("file:/(?!/)", full) else full
+
+
 def _filesystem(path: str) -> tuple[pa.fs.FileSystem, str]:
     return pa.fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (pa.fs.LocalFileSystem(), path)
 
@@ -189,10 +232,14 @@ class Written(WriterCommitMessage):
 
 
 class XlsxReader(DataSourceReader):
-    """One task per workbook, opened nowhere else; one that cannot be read ends in a row with null row and cells."""
+    """One task per workbook, opened nowhere else.
 
-    def __init__(self, path: str) -> None:
-        self.path = path
+    A sheet that cannot be read ends in a row with null row and cells, and the next one is read; where that holds for the whole
+    workbook, the sheet is null too. ``sheets`` limits what is parsed to the named ones.
+    """
+
+    def __init__(self, path: str, sheets: frozenset[str] = frozenset()) -> None:
+        self.path, self.sheets = path, sheets
 
     def partitions(self) -> list[BookPartition]:
         fs, root = _filesystem(self.path)
@@ -212,25 +259,43 @@ class XlsxReader(DataSourceReader):
             columns = [[book] * len(rows), [sheet] * len(rows), [n for n, _ in rows], [c for _, c in rows]]
             return pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(columns, schema)], schema=schema)
 
-        sheet = None
-        try:
-            with fs.open_input_file(partition.path) as file, zipfile.ZipFile(file) as archive:
-                shared = shared_texts(archive)
-                for sheet, member in sheet_parts(archive).items():
+        def rows(archive: zipfile.ZipFile, sheet: str, member: str, shared: list[str]) -> Iterator[pa.RecordBatch]:
+            batch = []
+            for row in read_rows(archive.open(member), shared):
+                batch.append(row)
+                if len(batch) == BATCH:
+                    yield made(sheet, batch)
                     batch = []
-                    for row in read_rows(archive.open(member), shared):
-                        batch.append(row)
-                        if len(batch) == BATCH:
-                            yield made(sheet, batch)
-                            batch = []
-                    if batch:
-                        yield made(sheet, batch)
-        except (zipfile.BadZipFile, KeyError, IndexError, ElementTree.ParseError):
-            yield made(sheet, [(None, None)])
+            if batch:
+                yield made(sheet, batch)
+
+        with fs.open_input_file(partition.path) as file:
+            # A damaged file can fail in any way; only a store that does not answer is worth another attempt.
+            try:
+                archive = zipfile.ZipFile(file)
+                shared, parts = shared_texts(archive), sheet_parts(archive)
+            except (ConnectionError, TimeoutError):
+                raise
+            except Exception:
+                yield made(None, [(None, None)])
+                return
+            for sheet, member in parts.items():
+                if self.sheets and sheet not in self.sheets:
+                    continue
+                try:
+                    yield from rows(archive, sheet, member, shared)
+                except (ConnectionError, TimeoutError):
+                    raise
+                except Exception:
+                    yield made(sheet, [(None, None)])
 
 
 class XlsxWriter(DataSourceArrowWriter):
-    """Writes the workbooks of a task under a staging name; they move to their place when every task has finished."""
+    """Writes each workbook under a staging name and moves it to its place when it is whole, in the task that wrote it.
+
+    A task that runs again puts the same workbook in the same place. Whether all are there is for the receipt to say, which is
+    written last.
+    """
 
     def __init__(self, path: str) -> None:
         self.path = path
@@ -238,35 +303,33 @@ class XlsxWriter(DataSourceArrowWriter):
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
         fs, root = _filesystem(self.path)
-        attempt = uuid.uuid4().hex
-        folder = f"{root}/{self.staging}/{attempt}"
+        folder = f"{root}/{self.staging}/{uuid.uuid4().hex}"
         fs.create_dir(folder, recursive=True)
         names: list[str] = []
         book = sheet = stream = None
+
+        def finish() -> None:
+            if book is not None:
+                book.close()
+                stream.close()
+                fs.move(f"{folder}/{names[-1]}", f"{root}/{names[-1]}")
+
         for batch in iterator:
             columns = batch.to_pydict()
             for workbook, name, cells in zip(columns["workbook"], columns["sheet"], columns["cells"]):
-                if not names or workbook != names[-1].rsplit("/", 1)[-1]:
-                    if book is not None:
-                        book.close()
-                        stream.close()
-                    names.append(f"{attempt}/{workbook}")
+                if not names or workbook != names[-1]:
+                    finish()
+                    names.append(workbook)
                     stream = fs.open_output_stream(f"{folder}/{workbook}")
                     book, sheet = WorkbookFile(_Seekless(stream)), None
                 if name != sheet:
                     book.start(name)
                     sheet = name
                 book.add(cells)
-        if book is not None:
-            book.close()
-            stream.close()
+        finish()
         return Written(names)
 
     def commit(self, messages: list[Written | None]) -> None:
-        fs, root = _filesystem(self.path)
-        for message in messages:
-            for name in message.names if message else []:
-                fs.move(f"{root}/{self.staging}/{name}", f"{root}/{name.rsplit('/', 1)[-1]}")
         self.abort(messages)
 
     def abort(self, messages: list[Written | None]) -> None:
@@ -305,7 +368,8 @@ class XlsxDataSource(DataSource):
         return SCHEMA
 
     def reader(self, schema: T.StructType) -> XlsxReader:
-        return XlsxReader(self.options["path"])
+        wanted = self.options.get("sheets")
+        return XlsxReader(self.options["path"], frozenset(json.loads(wanted)) if wanted else frozenset())
 
     def writer(self, schema: T.StructType, overwrite: bool) -> XlsxWriter:
         return XlsxWriter(self.options["path"])
@@ -335,46 +399,65 @@ def cell_value(text: Column, dtype: T.DataType) -> Column:
     """Read a cell text at its recorded type; null when it does not fit."""
     letter, rest = F.substring(text, 1, 1), F.substring(text, 2, 2_147_483_647)
     number = F.when(letter != "s", rest.try_cast("double"))
+    number = F.when(F.abs(number) < float("inf"), number)
+    serial = F.when((number >= FIRST_SERIAL) & (number < LAST_SERIAL), number)
     if isinstance(dtype, T.StringType):
         return F.when(letter == "s", rest)
     if isinstance(dtype, T.DateType):
-        day = (F.round(number) - EPOCH_SERIAL).cast("int")
+        day = (F.round(serial) - EPOCH_SERIAL).cast("int")
         return F.when(letter == "s", rest.try_cast("date")).otherwise(F.date_from_unix_date(day))
     if isinstance(dtype, T.TimestampNTZType):
-        seconds = F.round((number - EPOCH_SERIAL) * 86400).cast("bigint")
+        seconds = F.round((serial - EPOCH_SERIAL) * 86400).cast("bigint")
         return F.when(letter == "s", rest.try_cast("timestamp_ntz")).otherwise(F.timestamp_add("SECOND", seconds, F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'")))
     if isinstance(dtype, T.DoubleType):
         return number
     return F.lit(None) if isinstance(dtype, T.NullType) else rest.try_cast(dtype)
 
 
-def sheet_rows(export: Export) -> DataFrame:
-    """Return every row of every sheet of an export as cell texts, header first; sources of any width together."""
+def sheet_rows(export: Export) -> tuple[DataFrame, list[Column]]:
+    """Return every row of every sheet of an export as cell texts, header first, and the order that rows take in a workbook.
+
+    Sources of any width come together. Each carries its own order columns, which are null for the others: a sheet has one
+    source, so theirs decide nothing in it.
+    """
+    sorts = {a: [(f"__{n}_{i}", key) for i, key in enumerate(arranged.sorts)] for n, (a, arranged) in enumerate(export.arranged.items())}
+    carried = {name: export.placed[a].schema[key.column].dataType for a, keys in sorts.items() for name, key in keys}
     frames = []
     for alias, arranged in export.arranged.items():
         placed = export.placed[alias]
         types = {f.name: f.dataType for f in placed.schema.fields}
-        place = F.row_number().over(Window.partitionBy("workbook", "sheet").orderBy(*arranged.order))
         cells = F.array(*[cell_text(named(c), types[c]) for c in arranged.columns])
-        frames.append(placed.select("workbook", "sheet", "sheet_index", place.cast("bigint").alias("row"), cells.alias("cells")))
+        own = {name: named(key.column) for name, key in sorts[alias]}
+        keys = [own.get(name, F.lit(None).cast(t)).alias(name) for name, t in carried.items()]
+        frames.append(placed.select("workbook", "sheet", "sheet_index", F.lit(1).cast("bigint").alias("row"), cells.alias("cells"), *keys))
         header = F.array(*[F.lit("s" + c) for c in arranged.columns])
         mine = export.plan.where(F.col("alias") == alias)
-        frames.append(mine.select("workbook", "sheet", "sheet_index", F.lit(0).cast("bigint").alias("row"), header.alias("cells")))
-    return reduce(DataFrame.unionByName, frames)
+        nothing = [F.lit(None).cast(t).alias(name) for name, t in carried.items()]
+        frames.append(mine.select("workbook", "sheet", "sheet_index", F.lit(0).cast("bigint").alias("row"), header.alias("cells"), *nothing))
+    order = [F.col("workbook"), F.col("sheet_index"), F.col("row")]
+    return reduce(DataFrame.unionByName, frames), order + [key.sorted(F.col(name)) for keys in sorts.values() for name, key in keys]
+
+
+def workbook_rows(export: Export) -> DataFrame:
+    """Return an export's rows as the writer wants them: each workbook whole in one task, moved and sorted once."""
+    rows, order = sheet_rows(export)
+    return rows.repartition("workbook").sortWithinPartitions(*order).select("workbook", "sheet", "sheet_index", "row", "cells")
 
 
 def write_workbooks(export: Export, path: str) -> None:
     """Write an export's workbooks, each by one task and many at once."""
     spark = export.plan.sparkSession
     register(spark)
-    rows = sheet_rows(export).repartition("workbook").sortWithinPartitions("workbook", "sheet_index", "row")
-    rows.write.format("xlsx").mode("append").save(path)
+    workbook_rows(export).write.format("xlsx").mode("append").save(full_path(spark, path))
 
 
-def read_workbooks(spark: SparkSession, path: str) -> DataFrame:
-    """Return ``workbook, sheet, row, cells`` of every sheet below a folder; row zero is the header as written."""
+def read_workbooks(spark: SparkSession, path: str, sheets: list[str] | None = None) -> DataFrame:
+    """Return ``workbook, sheet, row, cells`` of every sheet below a folder, or of those named; row zero is the header as written."""
     register(spark)
-    return spark.read.format("xlsx").load(path)
+    reader = spark.read.format("xlsx")
+    if sheets:
+        reader = reader.option("sheets", json.dumps(sheets))
+    return reader.load(full_path(spark, path))
 
 
 def unreadable_books(cells: DataFrame) -> DataFrame:
@@ -387,20 +470,30 @@ def written_headers(cells: DataFrame) -> DataFrame:
     return cells.where(F.col("row") == 0).select("workbook", "sheet", F.transform("cells", lambda c: F.substring(c, 2, 2_147_483_647)).alias("header"))
 
 
-def read_back_sheets(cells: DataFrame, schema: T.StructType, manifest: DataFrame) -> DataFrame:
+def read_back_sheets(cells: DataFrame, schema: T.StructType | dict[str, T.StructType], manifest: DataFrame) -> DataFrame:
     """Return what verification wants of workbooks read back: per sheet its header, rows, digest and readability.
 
-    ``schema`` is the recorded schema of the sheets' source, ``manifest`` its fragments. The files are read once: header,
+    ``schema`` is the recorded schema of the sheets' source, or one per alias where a manifest has several sources; ``manifest``
+    holds the fragments. The files are read once: every row is typed by the schema of the source that the manifest gives its
+    sheet to, and a sheet nobody recorded by the first one. Header,
     lost cells, row count and digest come out of one aggregate. Trailing rows that hold nothing, which a sheet cannot
-    record, are digested apart and added.
+    record, are digested apart and added. A sheet that is not there has no row in the result, one nobody recorded has; pass
+    the result to ``verify_fragments`` with ``every_sheet_seen``.
     """
-    columns, key = schema.names, ["workbook", "sheet"]
-    header = F.when(F.col("row") == 0, F.transform("cells", lambda c: F.substring(c, 2, 2_147_483_647)))
-    typed = typed_cells(cells, schema, F.col("row"), header.alias("__header"))
+    key = ["workbook", "sheet"]
+    schemas = schema if isinstance(schema, dict) else {None: schema}
+    header = F.when(F.col("row") == 0, F.transform("cells", lambda c: F.substring(c, 2, 2_147_483_647))).alias("__header")
     carried = {c: F.col(c) for c in (*key, "row", "__header", "dropped")}
+    if len(schemas) == 1:
+        (only,) = schemas.values()
+        limbs = row_limbs(typed_cells(cells, only, F.col("row"), header), only.names, carried)
+    else:
+        owners = broadcast_if_small(materialise(manifest.select(*key, F.col("alias").alias("__alias"))))
+        owned = cells.join(owners, key, "left").withColumn("__alias", F.coalesce("__alias", F.lit(next(iter(schemas)))))
+        limbs = _limbs_by_source(owned, schemas, header, list(carried))
     data = F.col("row") > 0
     sums = [F.expr(f"coalesce(sum(__{p}{n}) FILTER (WHERE row > 0), 0L) AS __{p}{n}") for p in "fr" for n in range(LIMBS)]
-    seen = row_limbs(typed, columns, carried).groupBy(*key).agg(
+    seen = limbs.groupBy(*key).agg(
         F.max("__header").alias("header"),
         F.coalesce(F.sum(F.when(data, F.col("dropped"))), F.lit(0).cast("bigint")).alias("dropped"),
         F.count_if(data).alias("rows"),
@@ -409,25 +502,55 @@ def read_back_sheets(cells: DataFrame, schema: T.StructType, manifest: DataFrame
     )
     whole = lambda p: F.expr(to_hex(carry([f"__{p}{n}" for n in range(LIMBS)])))
     seen = materialise(seen.select(*key, "header", "dropped", "rows", "broken", whole("f").alias("digest"), whole("r").alias("row_digest")))
-    blank = read_back_digests(blank_rows(missing_rows(seen, manifest), schema), columns)
+    there = seen.where(F.col("header").isNotNull())
+    short = missing_rows(there, manifest.join(there.select(*key), key, "left_semi"))  # an absent sheet is not padded
+    blanks = []
+    for alias, one in schemas.items():
+        own = short if alias is None else short.join(manifest.where(F.col("alias") == alias).select(*key), key, "left_semi")
+        blanks.append(read_back_digests(blank_rows(own, one), one.names))
+    blank = reduce(DataFrame.unionByName, blanks)
     facts = [F.col(c) for c in ("algorithm", "version", "scope")]
-    read = seen.where(F.col("header").isNotNull()).select(
+    read = there.select(
         *key, "rows", "digest", "row_digest", F.lit(ALGORITHM).alias("algorithm"), F.lit(VERSION).alias("version"), F.lit("dataframe").alias("scope")
     )
     total = combine(read.unionByName(blank.select(*key, "rows", "digest", "row_digest", *facts)), key).select(*key, F.col("rows").alias("__rows"), F.col("digest").alias("__digest"))
-    broken = seen.where(F.col("broken")).select("workbook").distinct().withColumn("__broken", F.lit(True))
-    lost, found = F.coalesce("dropped", F.lit(0)), F.coalesce("rows", F.lit(0))
-    unreadable = F.coalesce("__broken", F.lit(False)) | (lost > 0) | (found > F.col("expected"))
+    broken = seen.where(F.col("broken") & F.col("sheet").isNull()).select("workbook").distinct().withColumn("__broken", F.lit(True))
+    sheets = seen.where(F.col("sheet").isNotNull()).select(*key, "header", "dropped", "broken", F.col("rows").alias("__found"))
+    unreadable = F.coalesce("__broken", F.lit(False)) | F.coalesce("broken", F.lit(False)) | (F.coalesce("dropped", F.lit(0)) > 0)
     return (
         manifest.select(*key, F.col("rows").alias("expected"))
-        .join(seen.where(F.col("sheet").isNotNull()).select(*key, "header", "dropped", "rows"), key, "left")
+        .join(sheets, key, "full_outer")
         .join(total, key, "left")
         .join(broken, "workbook", "left")
-        .where(F.col("__digest").isNotNull() | F.col("__broken"))
-        .select(*key, "header", F.col("__rows").alias("rows"), F.col("__digest").alias("digest"), unreadable.alias("unreadable"))
+        .where(F.col("__found").isNotNull() | F.col("__broken"))
+        .select(
+            *key,
+            "header",
+            F.col("__rows").alias("rows"),
+            F.col("__digest").alias("digest"),
+            (unreadable | F.coalesce(F.col("__found") > F.col("expected"), F.lit(False))).alias("unreadable"),
+        )
     )
 
 
+def _limbs_by_source(owned: DataFrame, schemas: dict[str, T.StructType], header: Column, carried: list[str]) -> DataFrame:
+    """Return row limbs of sheets of several sources, each row typed by its own source, from one read of the files."""
+    sums = [f"__{p}{n}" for p in "fr" for n in range(LIMBS)]
+    none = [F.lit(None).cast("bigint").alias(f"__was{c}") for c in sums]
+    out = owned.select("workbook", "sheet", "row", header, "__alias", F.col("cells").alias("__cells"), F.lit(0).alias("__lost"), *none)
+    for n, (alias, schema) in enumerate(schemas.items()):
+        mine = F.col("__alias") == alias
+        fields = T.StructType([T.StructField(f"__s{n}_{i}", f.dataType) for i, f in enumerate(schema.fields)])
+        kept = [c for c in out.columns if c not in ("workbook", "sheet")]
+        typed = typed_cells(out.withColumn("cells", F.when(mine, F.col("__cells"))), fields, *[F.col(c) for c in kept])
+        limbs = row_limbs(typed, fields.names, {c: F.col(c) for c in (*out.columns, "dropped")})
+        found = [F.when(mine, F.col(c)).otherwise(F.col(f"__was{c}")).alias(f"__was{c}") for c in sums]
+        lost = F.when(mine, F.coalesce("dropped", F.lit(0))).otherwise(F.col("__lost")).alias("__lost")
+        out = limbs.select(*[c for c in out.columns if not c.startswith("__was") and c != "__lost"], lost, *found)
+    named_columns = {"dropped": "__lost"}
+    return out.select(*[F.col(named_columns.get(c, c)).alias(c) for c in carried], *[F.col(f"__was{c}").alias(c) for c in sums])
+
+
 def typed_cells(cells: DataFrame, schema: T.StructType, *kept: Column) -> DataFrame:
     """Return cells at the recorded types, with ``dropped``: how many cells of the row did not fit theirs."""
     out, lost = [], F.lit(0)
@@ -436,7 +559,7 @@ def typed_cells(cells: DataFrame, schema: T.StructType, *kept: Column) -> DataFr
         value = cell_value(text, field.dataType)
         out.append(value.alias(field.name))
         lost = lost + (text.isNotNull() & value.isNull()).cast("int")
-    extra = (F.size("cells") > len(schema.fields)) & F.exists(F.slice("cells", len(schema.fields) + 1, 16_384), lambda c: c.isNotNull())
+    extra = (F.size("cells") > len(schema.fields)) & F.exists(F.slice("cells", F.lit(len(schema.fields) + 1), F.size("cells")), lambda c: c.isNotNull())
     return cells.select(*out, "workbook", "sheet", *kept, (lost + extra.cast("int")).alias("dropped"))
 
 
