@@ -6,6 +6,7 @@ import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -37,23 +38,30 @@ _SYMBOLS = frozenset("$€£%°")
 _NUMBERS, _UNITS = frozenset(NUMBERS), frozenset(UNITS)
 NUM, NAME, UNIT = "<num>", "<name>", "<unit>"
 SLOTS = (NUM, NAME, UNIT)
+CHARS = 1 << 17
+"""Characters of several texts that are hashed together; a longer text goes alone."""
+
+
+def _lower(text: str) -> str:
+    """The text in lower case, character by character where that would change its length."""
+    low = text.lower()
+    return low if len(low) == len(text) else "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
 
 
 def template(text: str) -> tuple[list[str], list[str]]:
     """The text's template and the tokens that it was made from.
 
-    Digits and spelled numbers become ``<num>``; units, and single letters or symbols of one, ``<unit>`` where a number stands
-    before them (a currency sign: anywhere); a capitalised word that does not start a sentence ``<name>``, unless it is all in
-    capitals. Other words are lowered; what lies between tokens is dropped.
+    Digits and spelled numbers become ``<num>``; units where a number stands before them, and the signs of money, percent and
+    degree anywhere, ``<unit>``; a capitalised word that does not start a sentence ``<name>``, unless more of it is in capitals.
+    Other words are lowered; what lies between tokens is dropped.
     """
-    kinds, words = [], []
-    fresh = True
-    for token in _TOKEN.findall(text):
+    kinds, words, low_text, fresh = [], [], _lower(text), True
+    for match in _TOKEN.finditer(text):
+        token, low = match[0], low_text[match.start() : match.end()]
         if token in _ENDS:
             fresh = True
             continue
-        low = token.lower()
-        if token[0].isdigit() or low in _NUMBERS:
+        if low in _NUMBERS or _classes()[ord(token[0])] == _DIGIT:
             kinds.append(NUM)
         elif token in _SYMBOLS or (low in _UNITS and kinds and kinds[-1] == NUM):
             kinds.append(UNIT)
@@ -66,37 +74,139 @@ def template(text: str) -> tuple[list[str], list[str]]:
     return kinds, words
 
 
-class _Words(dict):
-    """A 64-bit hash of each template token; a full table is emptied."""
+_LETTER, _DIGIT, _SIGN, _END, _QUOTE, _POINT = 1, 2, 3, 4, 5, 6
+_ODD = 0x9E3779B97F4A7C15
+
+
+@lru_cache(maxsize=1)
+def _classes() -> np.ndarray:
+    """What each code point is to `_TOKEN`."""
+    found = np.zeros(0x110000, dtype=np.uint8)
+    every = "".join(chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000)
+    for kind, pattern in ((_LETTER, r"[^\W\d_]"), (_DIGIT, r"\d"), (_SIGN, r"[$€£%°]"), (_END, r"[.!?\n]"), (_QUOTE, r"['’]"), (_POINT, r"[,:/]")):
+        found[[ord(c) for c in re.findall(pattern, every)]] = kind
+    return found
+
+
+class _Powers:
+    """Powers of an odd number and of its inverse modulo 2^64, as many as were asked for."""
+
+    def __init__(self):
+        self.up = self.down = np.ones(1, dtype=np.uint64)
+
+    def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        if len(self.up) < n:
+            with np.errstate(over="ignore"):
+                for name, base in (("up", _ODD), ("down", pow(_ODD, -1, 1 << 64))):
+                    powers = np.full(2 * n, base, dtype=np.uint64)
+                    powers[0] = 1
+                    setattr(self, name, powers.cumprod(dtype=np.uint64))
+        return self.up, self.down
+
+
+_POWERS = _Powers()
+
 
-    def __missing__(self, word: str) -> int:
-        import xxhash
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
 
-        if len(self) >= 200_000:
-            self.clear()
-        self[word] = value = xxhash.xxh64_intdigest(word.encode(), 7)
-        return value
+
+def _token_arrays(text: str) -> tuple[np.ndarray, ...]:
+    """Per token of the text: its hash in lower case, class, start, and whether it is a word with just its first letter large."""
+    raw, low = (np.frombuffer(t.encode("utf-32-le"), dtype=np.uint32) for t in (text, _lower(text)))
+    kind = np.concatenate([[0], _classes()[raw], [0]]).astype(np.uint8)  # a border on either side
+    here, before, behind = kind[1:-1], kind[:-2], kind[2:]
+    quote = (here == _QUOTE) & (before == _LETTER) & (behind == _LETTER)
+    point = ((here == _POINT) | (raw == ord("."))) & (before == _DIGIT) & (behind == _DIGIT)
+    here[quote], here[point] = _LETTER, _DIGIT
+    run = (here == _LETTER) | (here == _DIGIT)
+    starts = np.flatnonzero((run & (here != before)) | (here == _SIGN) | (here == _END))
+    ends = starts + 1
+    ends[run[starts]] = np.flatnonzero(run & (here != behind)) + 1
+    up, down = _POWERS.upto(len(raw) + 1)
+    with np.errstate(over="ignore"):
+        value = _mixed((low.astype(np.uint64) + np.uint64(1)) * np.uint64(_ODD)) * up[: len(raw)]
+        sums = np.zeros(len(raw) + 1, dtype=np.uint64)
+        np.cumsum(value, out=sums[1:])
+        hashes = _mixed((sums[ends] - sums[starts]) * down[starts])
+    large = np.concatenate([[0], np.cumsum(raw != low)])
+    capital = (raw[starts] != low[starts]) & (large[ends] - large[starts] == 1) & (ends - starts > 1)
+    return hashes, here[starts], starts, capital
+
+
+def _hash(word: str) -> np.uint64:
+    return _token_arrays(word)[0][0]
+
+
+@lru_cache(maxsize=1)
+def _known() -> tuple[np.ndarray, np.ndarray, dict[str, np.uint64]]:
+    slots = {s: np.uint64(i + 1) for i, s in enumerate(SLOTS)}
+    return *(np.sort(np.array([_hash(w) for w in words], dtype=np.uint64)) for words in (NUMBERS, UNITS)), slots
 
 
-_MULTIPLIERS = np.array([pow(0x9E3779B97F4A7C15, i + 1, 1 << 64) for i in range(64)], dtype=np.uint64)
+def _among(hashes: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which hashes are in a short sorted array; a table of their lowest bits settles most."""
+    table = np.zeros(1 << 16, dtype=bool)
+    table[(known & np.uint64(0xFFFF)).astype(np.int64)] = True
+    out = table[(hashes & np.uint64(0xFFFF)).astype(np.int64)]
+    out[out] = _found(hashes[out], known)
+    return out
 
 
-def window_hashes(kinds: list[str], words: _Words, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
-    """Hash per window of the template, as signed longs, and whether the window holds enough words to count."""
-    n = len(kinds) - window + 1
-    if n <= 0:
-        return np.empty(0, np.int64), np.empty(0, bool)
-    h = np.fromiter(map(words.__getitem__, kinds), dtype=np.uint64, count=len(kinds))
-    slot = np.isin(h, np.array([words[s] for s in SLOTS], dtype=np.uint64))
+def _found(values: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which values are in a sorted array."""
+    if not len(known):
+        return np.zeros(len(values), dtype=bool)
+    return known[np.minimum(np.searchsorted(known, values), len(known) - 1)] == values
+
+
+def window_hashes(texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each text the hash of every window of its template, and whether the window holds enough words to count.
+
+    The same template as `template` makes, for the characters of many texts at once: a token's hash is a difference of running
+    sums, and a window's hash is made of its tokens'.
+    """
+    numbers, units, slots = _known()
+    joined = "\n".join(texts)
+    h, kind, starts, capital = _token_arrays(joined)
+    kept = np.flatnonzero(kind != _END)
+    inner = np.zeros(len(kept), dtype=bool)  # not the first of a sentence
+    inner[kept > 0] = kind[kept[kept > 0] - 1] != _END
+    owner = np.searchsorted(np.cumsum([len(t) + 1 for t in texts]), starts[kept], side="right")
+    h, kind, capital = h[kept], kind[kept], capital[kept]
+    number = (kind == _DIGIT) | _among(h, numbers)
+    behind = np.zeros(len(kept), dtype=bool)
+    behind[1:] = number[:-1] & (owner[1:] == owner[:-1])
+    unit = ~number & ((kind == _SIGN) | (_among(h, units) & behind))
+    name = ~number & ~unit & inner & capital
+    for slot, where in ((NUM, number), (UNIT, unit), (NAME, name)):
+        h[where] = slots[slot]
+    n = max(0, len(kept) - WINDOW + 1)
     total = np.zeros(n, dtype=np.uint64)
     with np.errstate(over="ignore"):
-        for i in range(window):
-            total += h[i : i + n] * _MULTIPLIERS[i]
-        total ^= total >> np.uint64(29)
-        total *= np.uint64(0xBF58476D1CE4E5B9)
-        total ^= total >> np.uint64(32)
-    filled = np.concatenate([[0], np.cumsum(slot)])
-    return total.view(np.int64), window - (filled[window:] - filled[:-window]) >= min(LITERALS, window)
+        for i in range(WINDOW if n else 0):
+            total += h[i : i + n] * np.uint64(pow(_ODD, i + 1, 1 << 64))
+        total = _mixed(total)
+    filled = np.concatenate([[0], np.cumsum(number | unit | name)])
+    good = WINDOW - (filled[WINDOW:] - filled[:-WINDOW]) >= LITERALS if n else np.zeros(0, dtype=bool)
+    first = np.searchsorted(owner, np.arange(len(texts) + 1))
+    last = np.maximum(first[:-1], first[1:] - WINDOW + 1)
+    return [(total[a:b].view(np.int64), good[a:b]) for a, b in zip(first[:-1].tolist(), last.tolist(), strict=True)]
+
+
+def _in_parts(texts: list[str]) -> Iterator[list[str]]:
+    """Texts in order, together as long as they have ``CHARS`` characters at most."""
+    part, size = [], 0
+    for text in texts:
+        if part and size + len(text) > CHARS:
+            yield part
+            part, size = [], 0
+        part.append(text)
+        size += len(text)
+    if part:
+        yield part
 
 
 @dataclass
@@ -109,10 +219,10 @@ class Item:
     windows: int
 
 
-def prepared(text: str, memo: _Words) -> Item:
+def prepared(text: str) -> Item:
     """Template, words and countable windows of an item's text."""
     kinds, words = template(text)
-    hashes, good = window_hashes(kinds, memo)
+    ((hashes, good),) = window_hashes([text])
     places: dict[int, list[int]] = {}
     for i in np.flatnonzero(good):
         places.setdefault(int(hashes[i]), []).append(int(i))
@@ -193,10 +303,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, cover: float = COVER, wi
     items = items.groupBy("item_id").agg(F.min("text").alias("text"))
 
     def windows(batches: Iterable[dict]) -> Iterator[tuple]:
-        memo = _Words()
         for batch in batches:
             for item_id, text in zip(batch["item_id"], batch["text"], strict=True):
-                item = prepared(text, memo)
+                item = prepared(text)
                 for h in item.places:
                     yield item_id, h, item.windows
 
@@ -207,12 +316,13 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, cover: float = COVER, wi
         return map_rows(rows, _scan(texts, cover), SCHEMA, rows=256)
 
     def hashed(batches: Iterable[dict]) -> Iterator[tuple]:
-        memo = _Words()
         for batch in batches:
-            for key, text in zip(batch["key"], batch["text"], strict=True):
-                hashes, good = window_hashes(template(text)[0], memo)
-                for h in set(hashes[good].tolist()):
-                    yield key, h
+            keys = iter(batch["key"])
+            for part in _in_parts(batch["text"]):
+                for hashes, good in window_hashes(part):
+                    key = next(keys)
+                    for h in set(hashes[good].tolist()):
+                        yield key, h
 
     keyed = rows.withColumn("key", F.xxhash64("text"))
     have = map_rows(keyed.select("key", "text").dropDuplicates(["key"]), hashed, "key bigint, h bigint")
@@ -223,35 +333,36 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, cover: float = COVER, wi
     joined = keyed.join(pairs, "key").join(items.withColumnRenamed("text", "item_text"), "item_id")
 
     def verify(batches: Iterable[dict]) -> Iterator[tuple]:
-        memo = _Words()
         for batch in batches:
             for doc, text, item_id, item_text in zip(*(batch[c] for c in ("doc_id", "text", "item_id", "item_text")), strict=True):
                 kinds, words = template(text)
-                yield from _report(doc, [(item_id, prepared(item_text, memo))], window_hashes(kinds, memo)[0], kinds, words, cover)
+                yield from _report(doc, [(item_id, prepared(item_text))], window_hashes([text])[0][0], kinds, words, cover)
 
     return map_rows(joined.select("doc_id", "text", "item_id", "item_text"), verify, SCHEMA, rows=256)
 
 
 def _scan(texts: list[tuple[int, str]], cover: float):
     def run(batches: Iterable[dict]) -> Iterator[tuple]:
-        memo = _Words()
-        items = {i: prepared(t, memo) for i, t in texts}
+        items = {i: prepared(t) for i, t in texts}
         owners: dict[int, list[int]] = {}
         for i, item in items.items():
-            for h in item.places:
-                owners.setdefault(h, []).append(i)
+            for h, places in item.places.items():
+                owners.setdefault(h, []).extend([i] * len(places))  # once per window that has the hash
         known = np.array(sorted(owners), dtype=np.int64)
         mask = np.zeros(1 << 22, dtype=bool)  # a first look that costs less than the search
         mask[known & 0x3FFFFF] = True
         for batch in batches:
-            for doc, text in zip(batch["doc_id"], batch["text"], strict=True):
-                kinds, words = template(text)
-                hashes, good = window_hashes(kinds, memo)
-                maybe = hashes[mask[hashes & 0x3FFFFF] & good] if len(hashes) else hashes
-                hit = set(maybe[np.isin(maybe, known)].tolist())
-                if not hit:
-                    continue
-                shared = Counter(i for h in hit for i in owners[h])
-                yield from _report(doc, [(i, items[i]) for i in sorted(shared)], hashes, kinds, words, cover)
+            docs = iter(batch["doc_id"])
+            for part in _in_parts(batch["text"]):
+                for text, (hashes, good) in zip(part, window_hashes(part), strict=True):
+                    doc = next(docs)
+                    maybe = hashes[mask[hashes & 0x3FFFFF] & good]
+                    hit = set(maybe[_found(maybe, known)].tolist())
+                    held = Counter()
+                    for h in hit:
+                        held.update(owners[h])
+                    found = [(i, items[i]) for i, n in sorted(held.items()) if n >= cover * items[i].windows]
+                    if found:
+                        yield from _report(doc, found, hashes, *template(text), cover)
 
     return run
