@@ -13,7 +13,7 @@ SEED = 20_240_607
 PART_ROWS = 2_000
 """Rows a part of the input should have, as long as there are at most ``PARTS`` of them."""
 PARTS = 4_096
-LARGEST_PART_ROWS = 1_000_000
+LARGEST_PART_ROWS = 100_000
 """Rows a part may come to have beyond that."""
 
 
