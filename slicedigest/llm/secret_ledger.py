@@ -7,6 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from slicedigest.runtime import materialise
+
 LEDGER = "blob binary, rule string, rule_version int, spans array<struct<start:int,end:int>>"
 
 
@@ -96,7 +98,8 @@ def scan_blobs(versions: DataFrame, ledger: DataFrame | None = None, rules: tupl
 def findings(versions: DataFrame, ledger: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """Every row of ``versions`` with ``blob`` and ``found``, the spans of all current rules by start and rule order.
 
-    Blobs without findings are left out of the join, so the ledger's side has few rows; no text is shuffled.
+    Blobs without findings are left out of the join, so the ledger's side has few rows, written first so that both sides of the
+    join are plain shuffles and Spark can split a blob that many paths have; no text is shuffled.
     """
     current = F.lit(False)
     rank = F.lit(None).cast("int")
@@ -111,16 +114,17 @@ def findings(versions: DataFrame, ledger: DataFrame, rules: tuple[Rule, ...] = R
         .groupBy("blob")
         .agg(F.sort_array(F.flatten(F.collect_list("part"))).alias("found"))  # one entry per rule
     )
-    return versions.join(hits, "blob", "left")
+    return versions.drop("found").join(materialise(hits), "blob", "left")
 
 
 def scan_paths(versions: DataFrame, ledger: DataFrame | None = None, rules: tuple[Rule, ...] = RULES) -> tuple[DataFrame, DataFrame]:
     """Scan what is new and join the findings to all paths: ``(rows with blob and found, new ledger rows)``.
 
-    All columns of ``versions`` but ``content`` come back; ``found`` is null where a version has no finding. Write the new
+    All columns of ``versions`` but ``content`` come back, those named ``blob`` or ``found`` replaced; ``found`` is null where a
+    version has no finding. Write the new
     rows behind the ledger and pass both the next time.
     """
-    new = scan_blobs(versions, ledger, rules)
+    new = materialise(scan_blobs(versions, ledger, rules))  # scanned once, for the findings and for the ledger
     whole = new if ledger is None else ledger.select(new.columns).unionByName(new)
     paths = versions.withColumn("content", F.coalesce("content", F.lit(""))).withColumn("blob", blob_id()).drop("content")
     return findings(paths, whole, rules), new
