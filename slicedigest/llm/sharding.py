@@ -83,10 +83,10 @@ def shuffle_into_shards(df: DataFrame, shards: int, key: list[str], seed: int =
         [(p, np.cumsum(row).tolist()) for p, row in enumerate(matrix)], "_part int, _until array<bigint>"
     )
 
-    def dealt(rows: DataFrame) -> DataFrame:
-        """Rows with their shard and their block in it."""
-        tagged = rows.select(
-            "*",
+    def dealt(*carried: Column) -> DataFrame:
+        """Rows with their shard and their block in it, and what they carry along."""
+        tagged = df.select(
+            *carried,
             in_part.alias("_part"),
             _hashed("local", seed, ids).alias("_local"),
             _hashed("order", seed, ids).alias("_order"),
@@ -96,7 +96,7 @@ def shuffle_into_shards(df: DataFrame, shards: int, key: list[str], seed: int =
         ranked = tagged.withColumn("_place", place).join(until, "_part")
         return ranked.withColumn("_shard", F.size(F.filter("_until", lambda x: x < F.col("_place"))))
 
-    held = {(r["_shard"], r["_block"]): r["count"] for r in dealt(df.select(*ids)).groupBy("_shard", "_block").count().collect()}
+    held = {(r["_shard"], r["_block"]): r["count"] for r in dealt().groupBy("_shard", "_block").count().collect()}
     first, offsets = 0, []
     for shard in range(shards):
         first = 0
@@ -105,7 +105,8 @@ def shuffle_into_shards(df: DataFrame, shards: int, key: list[str], seed: int =
             first += held.get((shard, block), 0)
     starts = df.sparkSession.createDataFrame(offsets, "_shard int, _block int, _first bigint")
     inner = F.row_number().over(Window.partitionBy("_shard", "_block").orderBy("_order", "_local"))
-    placed = dealt(df.select(*[F.col(f"`{c}`") for c in names])).withColumn("_inner", inner)
+    row = F.struct(*[F.col(f"`{c}`") for c in names]).alias("_row")  # no name in it can clash with those used here
+    placed = dealt(row).withColumn("_inner", inner)
     return placed.join(F.broadcast(starts) if len(offsets) <= 100_000 else starts, ["_shard", "_block"]).select(
-        *[F.col(f"`{c}`") for c in names], F.col("_shard").alias("shard"), (F.col("_first") + F.col("_inner") - 1).alias("slot")
+        "_row.*", F.col("_shard").alias("shard"), (F.col("_first") + F.col("_inner") - 1).alias("slot")
     )
