@@ -121,14 +121,14 @@ def top_k(vectors: DataFrame, k: int = 10, query_every: int = 100, id_col: str =
 
     reach: dict[tuple[int, int], float] = {}
     groups: dict[tuple[int, int], int] = {}
-    filled, number = 0, -1
+    filled, number, last = 0, -1, None
     for r in sorted(bounds, key=lambda r: (r["d"], r["cell"])):
         d, cell = r["d"], r["cell"]
         pivots = space.pivots[d]
         limits = [r["far"] + np.linalg.norm(pivots[cell] - pivots[other]) + x for (e, other), far in summary.items() if e == d for x in far]
         reach[d, cell] = float(sorted(limits)[k]) if len(limits) > k else float("inf")
-        if number < 0 or filled + r["n"] > GROUP:
-            number, filled = number + 1, 0
+        if d != last or filled + r["n"] > GROUP:
+            number, filled, last = number + 1, 0, d
         groups[d, cell] = number
         filled += r["n"]
     farthest = {(r["d"], r["cell"]): r["far"] for r in bounds}
