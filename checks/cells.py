@@ -187,7 +187,7 @@ SUPPLIER = [("s_suppkey", "integer"), ("s_name", "string"), ("s_nationkey", "int
 )
 def describe_supplier_file(spark, sf):
     d = describe_table(f"{sf}/supplier.parquet", table(spark, sf, "supplier"))
-    c = F.col("conversions")[0]["converted"]
+    c = F.col("conversions")[0]
     return d.select(
         F.col("source.rows").alias("rows"),
         F.col("source.digest").alias("source_digest"),
