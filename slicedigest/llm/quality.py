@@ -69,13 +69,13 @@ def probability(features: np.ndarray, weights: tuple[float, ...]) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(_design(features) @ np.array(weights), -30, 30)))
 
 
-def _calibrate(features: np.ndarray, labels: np.ndarray, ridge: float = 1e-2, steps: int = 50) -> tuple[float, ...]:
-    """Weights of a logistic regression by Newton's method."""
+def _calibrate(features: np.ndarray, labels: np.ndarray, counts: np.ndarray, ridge: float = 1e-2, steps: int = 50) -> tuple[float, ...]:
+    """Weights of a logistic regression by Newton's method; each row counts ``counts`` times."""
     x, w = _design(features), np.zeros(6)
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        grad = x.T @ (labels - p) - ridge * w
-        hess = (x * (p * (1 - p))[:, None]).T @ x + ridge * np.eye(6)
+        grad = x.T @ (counts * (labels - p)) - ridge * w
+        hess = (x * (counts * p * (1 - p))[:, None]).T @ x + ridge * np.eye(6)
         step = np.linalg.solve(hess, grad)
         w = w + step
         if np.abs(step).max() < 1e-8:
@@ -97,10 +97,12 @@ def fit_quality(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_RO
     """Learn from labelled rows that are not held out; None if one of the labels has none.
 
     Per label at most ``2 * sample_rows`` rows are taken, in the order of a hash of their id; half of them, told apart by
-    another hash, build the dictionaries and half calibrate the score. Texts are cut and compressed on the executors: the
+    another hash, build the dictionaries and half calibrate the score. All learnable labels are counted, and a sampled row
+    stands for its label's full count over the sampled one, so the sample's bound does not move the score. Texts are cut and compressed on the executors: the
     driver gets at most ``SAMPLE_CHUNKS`` chunks of a text, or three numbers for it.
     """
     marks = labels.select(F.col("doc_id").alias("i"), F.col("quality").cast("int").alias("q")).where("q in (0, 1)").where(~held_out("i"))
+    full = {r["q"]: r["count"] for r in marks.distinct().groupBy("q").count().collect()}
     order = F.xxhash64(F.lit("quality"), "i")
     taken = [marks.where(F.col("q") == q).groupBy("i").agg(F.min("q").alias("q")).orderBy(order, "i").limit(2 * sample_rows) for q in (0, 1)]
     chosen = taken[0].unionByName(taken[1]).select("i", "q", (F.pmod(F.xxhash64(F.lit("half"), "i"), F.lit(2)) == 0).alias("build"))
@@ -131,7 +133,10 @@ def fit_quality(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_RO
     if len({r["q"] for r in rest}) < 2:
         return None
     rest.sort(key=tuple)
-    return QualityModel(good, bad, _calibrate(np.array([r[2:] for r in rest]), np.array([r["q"] for r in rest], dtype=float)))
+    stands_for = {q: n / min(n, 2 * sample_rows) for q, n in full.items()}
+    counts = np.array([stands_for[r["q"]] for r in rest])
+    counts *= len(counts) / counts.sum()
+    return QualityModel(good, bad, _calibrate(np.array([r[2:] for r in rest]), np.array([r["q"] for r in rest], dtype=float), counts))
 
 
 def score_quality(docs: DataFrame, model: QualityModel | None) -> DataFrame:
