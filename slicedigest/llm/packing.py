@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from slicedigest.llm.batches import map_rows
-from slicedigest.llm.encode import default_ranks, encoder
+from slicedigest.llm.encode import added_tokens, default_ranks, encoder
 
 END_ID = 1
 OPEN_WINDOWS = 1024
@@ -129,7 +129,7 @@ def pack_documents(docs: DataFrame, size: int = 2048, ranks_path: str | None = N
     def run(batches: Iterable[dict]) -> Iterator[tuple]:
         from pyspark import TaskContext
 
-        bpe, end = encoder(path), int(end_id).to_bytes(4, "little")
+        bpe, end = encoder(path, added_tokens(path)), int(end_id).to_bytes(4, "little")
         base, levels, made, row = TaskContext.get().partitionId() << 40, Levels(size), 0, 0
 
         def emit(window: list) -> Iterator[tuple]:

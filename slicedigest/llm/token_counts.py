@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from slicedigest.llm.batches import map_rows
-from slicedigest.llm.encode import default_ranks, encoder
+from slicedigest.llm.encode import added_tokens, default_ranks, encoder
 
 RULES = ("start", "most", "share")
 SCHEMA = "doc_id bigint, section int, start bigint, end bigint, tokens double, crossing bigint, doc_tokens bigint"
@@ -80,7 +80,7 @@ def section_tokens(docs: DataFrame, rule: str = "most", ranks_path: str | None =
         columns.append(F.expr(f"transform(`{spans}`, x -> struct(cast(x.start as bigint) as start, cast(x.end as bigint) as end))").alias("spans"))
 
     def run(batches: Iterable[dict]) -> Iterator[tuple]:
-        bpe = encoder(path)
+        bpe = encoder(path, added_tokens(path))
         for batch in batches:
             given = batch.get("spans") or [None] * len(batch["text"])
             for doc, text, own in zip(batch["doc_id"], batch["text"], given, strict=True):
