@@ -230,16 +230,15 @@ def prepared(text: str) -> Item:
 
 
 def consistent(item: Item, at: list[int], words: list[str], kinds: list[str], shift: int) -> bool:
-    """Whether slots were refilled by a rule: equal values stay equal and different ones different, per kind of slot."""
-    for slot in SLOTS:
-        forth: dict[str, str] = {}
-        back: dict[str, str] = {}
-        for i in at:
-            if item.kinds[i] == slot:
-                a, b = item.words[i], words[i + shift]
-                if forth.setdefault(a, b) != b or back.setdefault(b, a) != a:
-                    return False
-    return True
+    """Whether slots were refilled by a rule: per kind of slot, all but one of the values become one value each.
+
+    Different values may become equal, and one value may become several, as equal numbers may have different roles.
+    """
+    became: dict[tuple[str, str], set[str]] = {}
+    for i in at:
+        if item.kinds[i] in SLOTS:
+            became.setdefault((item.kinds[i], item.words[i]), set()).add(words[i + shift])
+    return sum(len(refills) > 1 for refills in became.values()) <= 1
 
 
 def find_item(item: Item, hashes: np.ndarray, kinds: list[str], words: list[str]) -> tuple[int, int, int, int] | None:
