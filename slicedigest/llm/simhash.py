@@ -38,7 +38,12 @@ def fingerprint(text: str, shingle: int = SHINGLE) -> int:
     k = min(shingle, len(words))
     digest = xxhash.xxh64_intdigest
     hashes = [digest(joined[a:b], SEED) for a, b in zip(starts[: len(words) - k + 1].tolist(), ends[k - 1 :].tolist(), strict=True)]
-    bits = np.unpackbits(np.array(hashes, dtype=">u8").view(np.uint8).reshape(-1, 8), axis=1)
+    return majority_bits(np.array(hashes, dtype=np.uint64))
+
+
+def majority_bits(hashes: np.ndarray) -> int:
+    """The 64 bits that are set in over half of the hashes."""
+    bits = np.unpackbits(hashes.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)
     return int.from_bytes(np.packbits(2 * bits.sum(axis=0, dtype=np.int64) > len(hashes)).tobytes(), "big")
 
 

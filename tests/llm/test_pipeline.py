@@ -8,10 +8,10 @@ import pytest
 sys.path.insert(0, str(Path(__file__).parent))
 sys.path.insert(0, str(Path(__file__).parents[2]))
 import edge_tables  # noqa: E402
+from test_whole_stages import plain_components  # noqa: E402
 
 import corpus_pipeline  # noqa: E402
 from slicedigest.llm.quality import fit_quality, score_quality  # noqa: E402
-from slicedigest.llm.simhash import fingerprint  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 
@@ -31,20 +31,8 @@ def test_stages_in_order_and_their_effect(spark, tmp_path):
         if name == "quality":
             assert set(rows) == kept
         if name == "near_duplicate":
-            fps = {d: fingerprint(texts[d] or "") for d in kept}
-            owner = {d: d for d in kept}
-
-            def root(d, owner=owner):
-                while owner[d] != d:
-                    d = owner[d]
-                return d
-
-            for a in sorted(kept):
-                for b in sorted(kept):
-                    if a < b and (fps[a] ^ fps[b]).bit_count() <= 4:
-                        one, two = root(a), root(b)
-                        owner[max(one, two)] = min(one, two)
-            kept = {d for d in kept if root(d) == d}
+            ids = sorted(kept)
+            kept = {ids[i] for i, first in enumerate(plain_components([texts[d] or "" for d in ids])) if first == i}
             assert set(rows) == kept
         if name == "decontamination":
             items = [r["text"] for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
@@ -63,6 +51,6 @@ def test_stages_on_odd_tables(spark, stage):
     docs = edge_tables.documents(spark)
     assert stage(spark, docs, SF).columns == docs.columns
     rows = stage(spark, docs, SF).collect()
-    assert rows and all(r["fp"] == "x" for r in rows)
+    assert rows and all(r[c] == "x" for r in rows for c in edge_tables.CLASHING)
     assert stage(spark, edge_tables.empty(docs), SF).collect() == []
     assert corpus_pipeline.packing(spark, docs, SF).count() > len(edge_tables.TEXTS)
