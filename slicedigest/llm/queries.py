@@ -10,13 +10,16 @@ from pyspark.sql import functions as F
 
 from slicedigest.llm.decontaminate import contaminated
 from slicedigest.llm.knn import top_k
+from slicedigest.llm.multi_index import near_duplicate_vectors
 from slicedigest.llm.packing import pack_documents
+from slicedigest.llm.prefix_trie import prefix_trie
 from slicedigest.llm.quality import fit_quality, score_quality
 from slicedigest.llm.secret_ledger import RULES, scan_paths, span_count, span_text
 from slicedigest.llm.sharding import shuffle_into_shards
 from slicedigest.llm.simhash import near_duplicates
 from slicedigest.llm.site_style import main_text
 from slicedigest.llm.token_counts import section_tokens
+from slicedigest.llm.token_links import token_links
 from slicedigest.llm.warc import read_archives, resolve_revisits, write_archives
 from slicedigest.runtime import use_checkpoint_dir
 
@@ -90,6 +93,18 @@ def op10_segment_popcount_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return near_duplicates(_table(spark, sf, "documents"))
 
 
+def op11_inverted_multi_index(spark: SparkSession, sf: str) -> DataFrame:
+    return near_duplicate_vectors(_table(spark, sf, "embeddings"))
+
+
+def op12_token_byte_links(spark: SparkSession, sf: str) -> DataFrame:
+    return token_links(_table(spark, sf, "documents"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf: str) -> DataFrame:
+    return prefix_trie(_table(spark, sf, "conversations"))
+
+
 OP3_SQL = """
 WITH usable AS MATERIALIZED (
     SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v FROM embeddings
@@ -132,6 +147,34 @@ SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_acc
 FROM t LEFT JOIN joined USING (doc_id)
 """
 
+_CRC = """list_reduce([4294967295::UBIGINT] || list_transform(range(1, length(c::VARCHAR) + 1), lambda i: ascii(substr(c::VARCHAR, i, 1))::UBIGINT),
+    lambda a, b: list_reduce([xor(a, b)] || [0::UBIGINT, 0, 0, 0, 0, 0, 0, 0], lambda x, y: xor(x >> 1, CASE WHEN x & 1 = 1 THEN 3988292384::UBIGINT ELSE 0 END)))"""
+OP13_SQL = f"""
+WITH numbered AS (
+    SELECT conv_id AS c, {{'r': coalesce(role, ''), 't': coalesce(text, '')}} AS turn,
+           row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos
+    FROM conversations WHERE conv_id IS NOT NULL),
+lists AS (SELECT c, list(turn ORDER BY pos) AS own, (xor({_CRC}, 4294967295::UBIGINT) % 6)::BIGINT AS h FROM numbered GROUP BY c),
+rebuilt AS (
+    SELECT l.c, list_concat(coalesce(b.own, [])[1:l.h], l.own[l.h + 1:]) AS turns
+    FROM lists l LEFT JOIN lists b ON b.c = l.c - l.c % 100),
+places AS (SELECT c, turns, unnest(range(0, len(turns) + 1)) AS depth FROM rebuilt),
+nodes AS (
+    SELECT turns[1:depth] AS path, depth, min(c) AS conv_id, count(*) AS n_convs,
+           coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (len(turns) = depth), '') AS ends
+    FROM places GROUP BY ALL),
+kids AS (SELECT path[1:depth - 1] AS path, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY 1),
+valued AS (
+    SELECT n.*, coalesce(k.n_children, 0) AS n_children,
+           CASE WHEN depth = 0 THEN 0 ELSE (n_convs - 1) * length(n.path[depth].t) END AS saved
+    FROM nodes n LEFT JOIN kids k ON k.path = n.path),
+spread AS (SELECT unnest(range(0, depth + 1)) AS above, path, saved, n_children FROM valued),
+sums AS (
+    SELECT path[1:above] AS path, sum(saved)::BIGINT AS saved_tokens, count(*) FILTER (n_children = 0) AS n_leaves FROM spread GROUP BY 1)
+SELECT v.conv_id, v.depth, p.conv_id AS parent_conv_id, v.n_convs, v.n_children, s.n_leaves, s.saved_tokens, sha256(v.ends) AS ends_sha256
+FROM valued v JOIN sums s ON s.path = v.path LEFT JOIN nodes p ON v.depth > 0 AND p.path = v.path[1:v.depth - 1]
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -145,6 +188,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_compression_quality,
         op9_blob_ledger_secrets,
         op10_segment_popcount_simhash,
+        op11_inverted_multi_index,
+        op12_token_byte_links,
+        op13_prefix_trie,
     )
 }
-ORACLES = {"op3_voronoi_top_k": OP3_SQL, "op5_zstd_warc": OP5_SQL, "op9_blob_ledger_secrets": OP9_SQL}
+ORACLES = {"op3_voronoi_top_k": OP3_SQL, "op5_zstd_warc": OP5_SQL, "op9_blob_ledger_secrets": OP9_SQL, "op13_prefix_trie": OP13_SQL}
