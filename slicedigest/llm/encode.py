@@ -80,6 +80,11 @@ class Encoder:
         self._split = re.compile(f"({longest_first})").split if added else None
         self._added = {token: array("I", [rank]).tobytes() for token, rank in added}
 
+    @property
+    def plain(self):
+        """The vocabulary itself, without added tokens."""
+        return self._bpe
+
     def ids(self, text: str) -> bytes:
         """The text's ids as little-endian unsigned 32-bit integers."""
         if self._split and any(token in text for token in self._added):

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import hashlib
-from array import array
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -14,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from slicedigest.llm.batches import map_rows
-from slicedigest.llm.encode import MEMO_CHARS, MEMO_ENTRIES, Encoder, default_ranks, encoder
+from slicedigest.llm.encode import MEMO_CHARS, MEMO_ENTRIES, default_ranks, encoder
 from slicedigest.runtime import materialise
 
 SLICE = 4_000_000
@@ -112,38 +111,25 @@ def align(ends_a: np.ndarray, ends_b: np.ndarray) -> Alignment:
     return Alignment(groups_a, groups_b, overlap, groups_a.times(groups_b.transpose()))
 
 
-class _Words(dict):
-    """What a word is encoded to, made when first asked for."""
-
-    def __init__(self, encode):
-        super().__init__()
-        self.encode = encode
-
-    def __missing__(self, word: str) -> bytes | None:
-        made = self.encode(word)
-        if len(word) <= MEMO_CHARS:
-            if len(self) >= MEMO_ENTRIES:
-                self.clear()
-            self[word] = made
-        return made
-
-
 class _Pair:
     """Both tokenizers of a worker."""
 
     def __init__(self, ranks_path: str, pieces_path: str):
         import sentencepiece
 
-        self.a = encoder(ranks_path)
+        made = encoder(ranks_path)
+        self.a, self.bytes_a = made.plain, made.byte_lengths
         self.b = sentencepiece.SentencePieceProcessor(model_file=pieces_path)
         count = self.b.get_piece_size()
         self.pieces = [self._piece(i) for i in range(count)]
         self.lengths_b = np.array([len(p) for p in self.pieces], dtype=np.int64)
         self.apart = not any("▁" in self.b.id_to_piece(i).lstrip("▁") for i in range(count))
-        self.words = _Words(self._encoded)
-        # ids as text, followed by what may come next: a comma, a bar, a semicolon or nothing
-        most = max(count, len(self.a.byte_lengths))
-        self.marked = [f"{i}{mark}" for mark in (",", "|", ";", "") for i in range(most)]
+        self.words: dict[str, tuple | None] = {}
+        self.sizes_a, self.lengths = self.bytes_a.tolist(), self.lengths_b.tolist()
+        self.silent = 0 in self.lengths
+        # ids as text, followed by what may come next: a comma, a bar or a semicolon
+        most = max(count, len(self.bytes_a))
+        self.marked = [f"{i}{mark}" for mark in (",", "|", ";") for i in range(most)]
         self.most = most
 
     def _piece(self, i: int) -> bytes:
@@ -151,42 +137,68 @@ class _Pair:
             return bytes([int(self.b.id_to_piece(i)[1:-1], 16)])
         return b"" if self.b.is_control(i) else self.b.id_to_piece(i).replace("▁", " ").encode()
 
-    def ids(self, text: str) -> tuple[np.ndarray, np.ndarray] | None:
-        """The ids of both; None if the text is empty or one of them does not give its bytes back."""
-        b = self._pieces_of(text) if text else None
-        if b is None:
-            return None
-        a = np.frombuffer(spaced_ids(self.a, text), dtype="<u4").astype(np.int64)
-        if int(self.a.byte_lengths[a].sum()) != len(text.encode()) + 1:
-            return None
-        b = np.frombuffer(b, dtype="<u4").astype(np.int64)
-        return a, b[self.lengths_b[b] > 0]
-
-    def _pieces_of(self, text: str) -> bytes | None:
-        """Ids as little-endian 32-bit bytes, word by word if single spaces part the words: no piece goes on behind a space."""
-        if not self.apart or " ".join(text.split()) != text.replace("\n", " "):
-            return self._encoded(text)
-        try:
-            return b"".join(map(self.words.__getitem__, text.split(" ")))
-        except TypeError:  # a word that is not given back
-            return None
-
-    def _encoded(self, text: str) -> bytes | None:
-        ids = self.b.encode(text, num_threads=1)
-        if b"".join(map(self.pieces.__getitem__, ids)) != (" " + text).encode():
-            return None
-        return array("I", ids).tobytes()
-
-    def groups_text(self, a: np.ndarray, b: np.ndarray, made: Alignment) -> str:
-        """``a1,a2|b1;a3|b2,b3``: each group's ids of the first tokenizer, then of the second."""
+    def encoded(self, texts: list[str]) -> list[tuple[list[int], list[int]] | None]:
+        """The ids of both for each text; None if one of them does not give its bytes back."""
+        spaced = [" " + t for t in texts]
+        one, piece, size, out = self.a.encode_ordinary, self.pieces.__getitem__, self.sizes_a.__getitem__, []
+        for text, b in zip(spaced, self.b.encode(texts, num_threads=1), strict=True):
+            a, whole = one(text), text.encode()
+            fine = b"".join(map(piece, b)) == whole and sum(map(size, a)) == len(whole)
+            out.append((a, [x for x in b if self.lengths[x]] if self.silent else b) if fine else None)
+        return out
+
+    def words_of(self, text: str) -> list[str]:
+        """The parts of a text at whose ends tokens of both end: its words if single spaces part them, else all of it.
+
+        No token goes on behind a space, so such parts encode and align apart from each other.
+        """
+        return text.split(" ") if self.apart and " ".join(text.split()) == text.replace("\n", " ") else [text]
+
+    def learn(self, texts: list[str]) -> list[list[str]]:
+        """The words of each text, those not seen before aligned together and kept."""
+        if len(self.words) >= MEMO_ENTRIES:
+            self.words.clear()
+        found = [self.words_of(t) if t else [] for t in texts]
+        fresh = list({w: None for words in found for w in words if w not in self.words})
+        self.words.update(zip(fresh, self._aligned(self.encoded(fresh)), strict=True))
+        return found
+
+    def forget(self, found: list[list[str]]) -> None:
+        """Drop the long words of these texts, so that the table stays small."""
+        for words in found:
+            for w in words:
+                if len(w) > MEMO_CHARS:
+                    self.words.pop(w, None)
+
+    def _aligned(self, ids: list[tuple[list[int], list[int]] | None]) -> list[tuple | None]:
+        """Counts of tokens, groups, links and overlaps, the groups as text, and the linked id pairs of each word.
+
+        Words are aligned as if they followed each other in one text: the matrices then have one block for each of them.
+        """
+        good = [x for x in ids if x is not None]
+        if not good:
+            return ids
+        n_a, n_b = (np.array([len(x[k]) for x in good]) for k in (0, 1))
+        a, b = (np.array([i for x in good for i in x[k]], dtype=np.int64) for k in (0, 1))
+        made = align(np.cumsum(self.bytes_a[a]), np.cumsum(self.lengths_b[b]))
+        word_of = np.repeat(np.arange(len(good)), n_a)
+        pairs = (a[made.shared.row_numbers()] << 32 | b[made.shared.indices]).astype("<i8")
+        groups = np.diff(np.concatenate([[-1], made.groups_a.indices[np.cumsum(n_a) - 1]]))
+        links, overlaps = (np.bincount(word_of[m.row_numbers()], minlength=len(good)) for m in (made.shared, made.overlap))
         group = np.concatenate([made.groups_a.indices, made.groups_b.indices])
         side = np.repeat([0, 1], [len(a), len(b)])
         order = np.argsort(2 * group + side, kind="stable")
-        ids, part = np.concatenate([a, b])[order], (2 * group + side)[order]
-        last = np.concatenate([part[1:] != part[:-1], [True]])
-        mark = np.where(last, 1 + side[order], 0)
-        mark[-1] = 3
-        return "".join(map(self.marked.__getitem__, (mark * self.most + ids).tolist()))
+        token, part = np.concatenate([a, b])[order], (2 * group + side)[order]
+        mark = np.where(np.concatenate([part[1:] != part[:-1], [True]]), 1 + side[order], 0)
+        texts = list(map(self.marked.__getitem__, (mark * self.most + token).tolist()))
+        ends, pair_ends = np.cumsum(n_a + n_b).tolist(), np.cumsum(links).tolist()
+        counts = [x.tobytes() for x in np.stack([n_a, n_b, groups, links, overlaps], axis=1).astype("<i8")]
+        out, at, pair_at = [], 0, 0
+        for count, end, pair_end in zip(counts, ends, pair_ends, strict=True):
+            out.append((count, "".join(texts[at:end])[:-1], pairs[pair_at:pair_end].tobytes()))
+            at, pair_at = end, pair_end
+        rows = iter(out)
+        return [next(rows) if x is not None else None for x in ids]
 
 
 @lru_cache(maxsize=2)
@@ -194,14 +206,6 @@ def _pair(ranks_path: str, pieces_path: str) -> _Pair:
     return _Pair(ranks_path, pieces_path)
 
 
-def spaced_ids(enc: Encoder, text: str) -> bytes:
-    """Ids of a space and the text; word by word where its white space allows it (see `encode.Encoder`)."""
-    if " ".join(text.split()) != text.replace("\n", " "):
-        return enc.ids(" " + text)
-    first, feed, rest = text.partition("\n")
-    return b"".join(map(enc._spaced.__getitem__, first.split(" "))) + (enc._feed + enc.ids(rest) if feed else b"")
-
-
 def token_links(docs: DataFrame, ranks_path: str | None = None, pieces_path: str | None = None) -> DataFrame:
     """One row per document with the links between its tokens under a byte-level (A) and a piece vocabulary (B).
 
@@ -212,7 +216,7 @@ def token_links(docs: DataFrame, ranks_path: str | None = None, pieces_path: str
     the pieces do not give back, have no tokens: zeros and an empty string. Rows that repeat count as documents each; a null
     ``doc_id`` is kept; an empty table gives no rows; other columns are ignored.
 
-    A task aligns one text at a time and keeps its different id pairs with their multiplicity, compressed, so nothing is
+    A task aligns a batch's new words together and keeps each text's different id pairs with their multiplicity, compressed, so nothing is
     encoded twice. Documents per pair are added up in tasks before they are shuffled. The counts then go to the links in slices
     of at most ``SLICE`` pairs, whole A ids each: sums over links add up over slices.
     """
@@ -221,18 +225,18 @@ def token_links(docs: DataFrame, ranks_path: str | None = None, pieces_path: str
     def aligned(batches: Iterable[dict]) -> Iterator[tuple]:
         both, packer = _pair(ranks_path, pieces_path), zstandard.ZstdCompressor(level=1)
         for batch in batches:
-            for doc, text in zip(batch["doc_id"], batch["text"], strict=True):
-                ids = both.ids(text or "")
-                if ids is None:
+            found = both.learn([t or "" for t in batch["text"]])
+            for doc, words in zip(batch["doc_id"], found, strict=True):
+                parts = [both.words[w] for w in words]
+                if not parts or None in parts:
                     yield doc, 0, 0, 0, 0, 0, "", None
                     continue
-                a, b = ids
-                made = align(np.cumsum(both.a.byte_lengths[a]), np.cumsum(both.lengths_b[b]))
-                pairs = a[made.shared.row_numbers()] << 32 | b[made.shared.indices]
+                counts = np.frombuffer(b"".join([p[0] for p in parts]), dtype="<i8").reshape(-1, 5).sum(axis=0).tolist()
+                pairs = np.frombuffer(b"".join([p[2] for p in parts]), dtype="<i8")
                 keys, times = np.unique(pairs, return_counts=True)
                 blob = packer.compress(np.diff(keys, prepend=0).astype("<i8").tobytes() + times.astype("<i8").tobytes())
-                digest = hashlib.sha256(both.groups_text(a, b, made).encode()).hexdigest()
-                yield doc, len(a), len(b), made.groups_a.columns, len(pairs), len(made.overlap.indices), digest, blob
+                yield doc, *counts, hashlib.sha256(";".join([p[1] for p in parts]).encode()).hexdigest(), blob
+            both.forget(found)
 
     schema = "doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, n_overlaps bigint, groups_sha256 string, links binary"
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text"))
