@@ -11,7 +11,7 @@ from checks.cells import ORDERS
 from checks.registry import query, table
 from slicedigest.functions.digests import ALGORITHM, VERSION
 from slicedigest.operators import report, select, verify
-from slicedigest.operators.digest import digest_by
+from slicedigest.operators.digest import blank_digests, digest_by
 from slicedigest.runtime import materialise, use_checkpoint_dir
 
 MONTH = "(year(o_orderdate) * 100 + month(o_orderdate))::VARCHAR"
@@ -124,6 +124,28 @@ def restore_trailing_rows(spark, sf):
     return digest_by(padded, {"workbook": F.col("workbook"), "sheet": F.col("sheet")}, ["conv_id", "turn", "role"]).select("workbook", "sheet", "rows", "digest", "row_digest")
 
 
+def _blank_sql(width: int, workbook: str, keys: str, source: str) -> str:
+    """Digests of 200 blank rows less one for every row: a blank row's lanes times their number."""
+    lanes = [[f"{sql.seed(sql.TAGS['null'], side)}::UBIGINT"] * width for side in (0, 1)]
+    of = lambda lane: f"sum({lane}::HUGEINT)::UHUGEINT * 199::UHUGEINT"
+    blank = "".join(f", {sql.row(lane, side)} AS r{side}" for side, lane in enumerate(lanes))
+    cells = [f"{width}::HUGEINT * {sql.seed(sql.TAGS['null'], side)}::HUGEINT" for side in (0, 1)]
+    whole = [f"({of(f'(r{side}::HUGEINT + {cells[side]})')})" for side in (0, 1)]
+    return f"""SELECT '{workbook}' AS workbook, sheet, count(*) * 199 AS rows, {sql.hex128(*whole)} AS digest, {sql.hex128(of('r0'), of('r1'))} AS row_digest
+      FROM (SELECT {keys} AS sheet FROM {source}), (SELECT 1{blank}) GROUP BY sheet"""
+
+
+@query(f"{_blank_sql(6, 'orders', 'o_orderpriority', 'orders')} UNION ALL {_blank_sql(11, 'lineitem', 'l_returnflag || l_linestatus', 'lineitem')}")
+def blank_rows_restored(spark, sf):
+    """Sheets that are short of 199 blank rows for each of theirs: millions of rows from one record per sheet."""
+    sheets = [("orders", F.col("o_orderpriority")), ("lineitem", F.concat("l_returnflag", "l_linestatus"))]
+    frames = [table(spark, sf, t).select(F.lit(t).alias("workbook"), k.alias("sheet")) for t, k in sheets]
+    found = frames[0].unionByName(frames[1]).groupBy("workbook", "sheet").agg(F.count("*").alias("rows"))
+    recorded = found.withColumn("rows", F.col("rows") * 200)
+    width = F.when(F.col("workbook") == "orders", len(table(spark, sf, "orders").columns)).otherwise(len(table(spark, sf, "lineitem").columns))
+    return blank_digests(verify.missing_rows(found, recorded), width).select("workbook", "sheet", "rows", "digest", "row_digest")
+
+
 @query(
     """WITH r AS (SELECT conv_id, count(*) AS expected, count_if(role = 'user') + CASE WHEN conv_id % 5 = 0 THEN count(*) ELSE 0 END AS found FROM conversations GROUP BY 1)
     SELECT (conv_id % 7)::VARCHAR AS workbook, conv_id::VARCHAR AS sheet, expected, found::BIGINT AS found, greatest(expected - found, 0)::BIGINT AS missing, found > expected AS too_many FROM r"""

@@ -128,10 +128,13 @@ ORDERS_COUNTS = "SELECT 'by_year' AS profile, 'orders' AS alias, 0 AS pos, 6 AS
 
 
 def _fragment_sql(limit, budget, columns="'orders' AS alias, workbook, sheet, kind, period_label, d.rows, digest, row_digest", **options):
-    placed = """SELECT o.*, p.workbook, p.sheet FROM (SELECT *, row_number() OVER (ORDER BY year(o_orderdate), month(o_orderdate), o_totalprice DESC, ordinal) - 1 AS pos
-      FROM (SELECT *, row_number() OVER () AS ordinal FROM orders)) o JOIN plan p ON o.pos >= p.start AND o.pos < p.start + p.rows"""
+    # A position's sheet is the last one that starts at or before it; sheets without rows start where the next one does.
+    placed = """SELECT o.*, p.workbook, p.sheet FROM numbered o ASOF JOIN filled p ON o.pos >= p.start"""
     digests = sql.digest_select(as_cells(ORDERS), "workbook, sheet", "workbook, sheet", f"({placed})")
-    return f"""{plan_ctes(ORDERS_COUNTS, limit, budget, **options)}, d AS ({digests})
+    return f"""{plan_ctes(ORDERS_COUNTS, limit, budget, **options)},
+      numbered AS MATERIALIZED (SELECT *, row_number() OVER (ORDER BY year(o_orderdate), month(o_orderdate), o_totalprice DESC, ordinal) - 1 AS pos
+        FROM (SELECT *, row_number() OVER () AS ordinal FROM orders)),
+      filled AS MATERIALIZED (SELECT workbook, sheet, start FROM plan WHERE rows > 0), d AS MATERIALIZED ({digests})
       SELECT {columns} FROM plan JOIN d USING (workbook, sheet)"""
 
 

@@ -52,17 +52,21 @@ def assign_groups(rows: DataFrame, plan: DataFrame, key: str, order: Sequence[Co
     ``plan`` holds the source's sheets, materialised; ``key`` is the row key column; ``order`` ends in something unique.
     A row no group covers keeps a null group, so a hole in the plan shows instead of losing rows.
     """
+    fitting, ranked = split_groups(rows, plan, key, order, grain, not plan.where(F.col("parts") > 1).isEmpty())
+    return fitting if ranked is None else fitting.unionByName(ranked)
+
+
+def split_groups(rows: DataFrame, plan: DataFrame, key: str, order: Sequence[Column], grain: str, cut: bool) -> tuple[DataFrame, DataFrame | None]:
+    """Return what `assign_groups` does in two frames: rows of groups that are one sheet, and of those ``cut`` by rows."""
     keys = group_keys(plan, grain).withColumnRenamed("key", "__covered")
-    cut = not plan.where(F.col("parts") > 1).isEmpty()
     found = rows.join(broadcast_if_small(keys), F.col(key).eqNullSafe(F.col("__covered")), "left").drop("__covered")
-    whole = F.coalesce(F.col("parts"), F.lit(1)) == 1
     kept = [*rows.columns, "group_no"]
-    fitting = found.where(whole).select(*kept, F.lit(0).alias("part")) if cut else found.select(*kept, F.lit(0).alias("part"))
     if not cut:
-        return fitting
+        return found.select(*kept, F.lit(0).alias("part")), None
+    whole = F.coalesce(F.col("parts"), F.lit(1)) == 1
     ranked = with_positions(found.where(~whole), ["group_no"], order, "__position")
     part = part_of(F.col("__position"), F.col("group_rows"), F.col("parts").cast("bigint"))
-    return fitting.unionByName(ranked.select(*kept, part.alias("part")))
+    return found.where(whole).select(*kept, F.lit(0).alias("part")), ranked.select(*kept, part.alias("part"))
 
 
 def assign_slices(rows: DataFrame, plan: DataFrame, order: Sequence[Column], max_rows: int, across_workbooks: bool = False) -> DataFrame:

@@ -107,24 +107,90 @@ def digest_frame(df: DataFrame, columns: Sequence[str] | None = None, kinds: dic
     return digest_by(df, {}, columns or df.columns, kinds)
 
 
+def digest_cube(
+    df: DataFrame,
+    columns: Sequence[str],
+    keys: dict[str, Column],
+    least: dict[str, Column] | None = None,
+    kinds: dict[str, str] | None = None,
+) -> DataFrame:
+    """Return per key ``rows``, the digest of its rows as limb sums that still add up, and the least of other columns.
+
+    Sums per key can be added along any grouping of the keys (`digest_of_cube`), so one scan serves every digest of whole keys:
+    of sheets, of workbooks and of the table. Each task's sums are carried back to 32 bits before they meet, so no number of
+    rows overflows them.
+    """
+    least = least or {}
+    limbs = row_limbs(df, columns, {**keys, **least}, kinds).withColumn("__task", F.spark_partition_id())
+    names, smallest = list(keys), [F.min(c).alias(c) for c in least]
+    sums = [F.expr(f"{c} AS {p}{n}") for p in CUBE for n, c in enumerate(_carried(p))]
+    partial = limbs.groupBy(*names, "__task").agg(F.count("*").alias("rows"), *smallest, *_sums(CUBE)).select(*names, "rows", *least, *sums)
+    total = partial.groupBy(*names).agg(F.sum("rows").alias("rows"), *smallest, *_sums(CUBE))
+    return total.select(*names, "rows", *least, *sums)
+
+
+CUBE = ("__f", "__r")
+"""Prefixes of the limbs of a cube: of all cells and the row, and of the row alone."""
+
+
+def digest_of_cube(cube: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Return ``rows`` and both digests per key, added up from the cells of a `digest_cube`; exact for 2^31 cells a key."""
+    total = cube.groupBy(*keys).agg(F.coalesce(F.sum("rows"), F.lit(0).cast("bigint")).alias("rows"), *_sums(CUBE))
+    return _identity(total.select(*keys, "rows", _hex("__f", "digest"), _hex("__r", "row_digest")), "dataframe")
+
+
+def blank_digests(sheets: DataFrame, width: Column | int, count: str = "missing") -> DataFrame:
+    """Return each row's digest of ``count`` all-null rows of ``width`` columns, without making the rows.
+
+    A null has one digest whatever its type, so a blank row's limbs follow from its width alone and are multiplied by the count,
+    which must stay below 2^31. ``width`` may be a column; its different values are collected, one per shape of a source.
+    """
+    if isinstance(width, int):
+        widths, chosen = [width], None
+    else:
+        sheets = sheets.withColumn("__width", width)
+        widths, chosen = [r["__width"] for r in sheets.select("__width").distinct().orderBy("__width").collect()], "__width"
+    columns = []
+    for prefix, of in (("__f", _blank_frame), ("__r", _blank_row)):
+        for limb in range(LIMBS):
+            if chosen is None:
+                value = of(widths[0])[limb]
+            else:
+                value = "CASE " + " ".join(f"WHEN {chosen} = {w} THEN {of(w)[limb]}" for w in widths) + " END" if widths else "0L"
+            columns.append(F.expr(f"({value}) * `{count}` AS {prefix}{limb}"))
+    kept = [c for c in sheets.columns if c not in ("__width",)]
+    scaled = sheets.select(*kept, *columns)
+    return _identity(scaled.select(*kept, F.col(count).alias("rows"), _hex("__f", "digest"), _hex("__r", "row_digest")), "dataframe")
+
+
+def _blank_row(width: int) -> list[str]:
+    hi, lo = cell_lanes("NULL", "null")
+    return limbs_of(*row_lanes([hi] * width, [lo] * width))
+
+
+def _blank_frame(width: int) -> list[str]:
+    cell = limbs_of(*cell_lanes("NULL", "null"))
+    return [f"({width}L * {c} + {r})" for c, r in zip(cell, _blank_row(width), strict=True)]
+
+
 BLOCK = 8
 """Columns summed side by side, so that a row becomes one record per so many columns and not one per column."""
 
 
-def digest_all(df: DataFrame, columns: Sequence[str] | None = None, kinds: dict[str, str] | None = None) -> DataFrame:
-    """Return the digests of every column and of the whole table from one pass.
+def _cell_totals(df: DataFrame, columns: Sequence[str], kinds: dict[str, str] | None, with_row: bool) -> DataFrame:
+    """Return per position the values, nulls and carried limb sums ``__c0..3`` of each column, from one pass.
 
-    A row of ``scope`` ``column`` per column with its position, value and null counts, and one of ``dataframe`` with the row
-    count, the frame digest and ``row_digest``. The row's own hash is summed like one more column, and the frame digest is the
-    sum of all of them.
+    ``with_row`` adds the row's own hash at the position behind the last column.
     """
-    columns = list(columns or df.columns)
     width = len(columns)
     nil = [named(c).isNull().cast("bigint") for c in columns]
     hashed, _ = _lanes(df, columns, nil, kinds)
-    row = row_lanes([f"__hi{n}" for n in range(width)], [f"__lo{n}" for n in range(width)])
-    hashed = hashed.select("*", *[F.expr(f"{text} AS __{side}{width}") for text, side in zip(row, ("hi", "lo"))], F.lit(0).cast("bigint").alias(f"__key{width}"))
-    cells = [f"struct(__key{n} AS nil, __hi{n} AS hi, __lo{n} AS lo)" for n in range(width + 1)]
+    places = width
+    if with_row:
+        row = row_lanes([f"__hi{n}" for n in range(width)], [f"__lo{n}" for n in range(width)])
+        hashed = hashed.select("*", *[F.expr(f"{text} AS __{side}{width}") for text, side in zip(row, ("hi", "lo"))], F.lit(0).cast("bigint").alias(f"__key{width}"))
+        places += 1
+    cells = [f"struct(__key{n} AS nil, __hi{n} AS hi, __lo{n} AS lo)" for n in range(places)]
     cells += ["struct(0L AS nil, 0L AS hi, 0L AS lo)"] * (-len(cells) % BLOCK)
     blocks = [f"struct({', '.join(f'{c} AS c{i}' for i, c in enumerate(cells[n : n + BLOCK]))})" for n in range(0, len(cells), BLOCK)]
     block = hashed.select(F.expr(f"posexplode(array({', '.join(blocks)}))").alias("block", "b"))
@@ -139,18 +205,32 @@ def digest_all(df: DataFrame, columns: Sequence[str] | None = None, kinds: dict[
     carried = lambda i: ", ".join(f"{c} AS l{n}" for n, c in enumerate(_carried(f"__c{i}_")))
     spread = F.expr(f"posexplode(array({', '.join(f'struct(__n{i} AS nil, {carried(i)})' for i in range(BLOCK))})) AS (place, c)")
     cell = partial.select("block", "values", spread).withColumn("position", (F.col("block") * BLOCK + F.col("place")).cast("int"))
-    cell = cell.where(F.col("position") <= width).select("position", "values", "c.*")
-    names = F.array(*[F.lit(c) for c in columns])
-    is_row = F.col("position") == width
+    cell = cell.where(F.col("position") < places).select("position", "values", "c.*")
     no_row = F.expr("struct(0L AS values, 0L AS nil, " + ", ".join(f"0L AS l{n}" for n in range(LIMBS)) + ")")
     # An empty table has no block: its columns and its row digest to zero all the same.
-    zero = df.sparkSession.range(width + 1).select(F.col("id").cast("int").alias("position"), no_row.alias("z")).select("position", "z.*")
+    zero = df.sparkSession.range(places).select(F.col("id").cast("int").alias("position"), no_row.alias("z")).select("position", "z.*")
     total = cell.unionByName(zero).groupBy("position").agg(F.sum("values").alias("values"), F.sum("nil").alias("nil"), *_sums(["l"]))
-    total = total.select("position", "values", "nil", *[F.expr(f"{c} AS __c{n}") for n, c in enumerate(_carried("l"))])
-    per_column = total.where(~is_row).select(
+    return total.select("position", "values", "nil", *[F.expr(f"{c} AS __c{n}") for n, c in enumerate(_carried("l"))])
+
+
+def _per_column(total: DataFrame, columns: Sequence[str]) -> DataFrame:
+    names = F.array(*[F.lit(c) for c in columns])
+    return total.where(F.col("position") < len(columns)).select(
         F.lit("column").alias("scope"), "position", F.element_at(names, F.col("position") + 1).alias("column"),
         F.col("values").alias("value_count"), F.col("nil").alias("null_count"), _hex("__c", "digest"), F.lit(None).cast("string").alias("row_digest"),
     )
+
+
+def digest_all(df: DataFrame, columns: Sequence[str] | None = None, kinds: dict[str, str] | None = None) -> DataFrame:
+    """Return the digests of every column and of the whole table from one pass.
+
+    A row of ``scope`` ``column`` per column with its position, value and null counts, and one of ``dataframe`` with the row
+    count, the frame digest and ``row_digest``. The row's own hash is summed like one more column, and the frame digest is the
+    sum of all of them.
+    """
+    columns = list(columns or df.columns)
+    width = len(columns)
+    total = _cell_totals(df, columns, kinds, True)
     whole = total.agg(
         F.max("values").alias("values"),
         *[F.expr(f"sum(__c{n}) AS __f{n}") for n in range(LIMBS)],
@@ -159,12 +239,13 @@ def digest_all(df: DataFrame, columns: Sequence[str] | None = None, kinds: dict[
         F.lit("dataframe").alias("scope"), F.lit(None).cast("int").alias("position"), F.lit(None).cast("string").alias("column"),
         F.col("values").alias("value_count"), F.lit(None).cast("bigint").alias("null_count"), _hex("__f", "digest"), _hex("__r", "row_digest"),
     )
-    return per_column.unionByName(whole).withColumns({"algorithm": F.lit(ALGORITHM), "version": F.lit(VERSION)})
+    return _per_column(total, columns).unionByName(whole).withColumns({"algorithm": F.lit(ALGORITHM), "version": F.lit(VERSION)})
 
 
 def digest_columns(df: DataFrame, columns: Sequence[str] | None = None, kinds: dict[str, str] | None = None) -> DataFrame:
-    """Return one row per column: position, name, value and null counts, digest; all from one pass."""
-    found = digest_all(df, columns, kinds).where(F.col("scope") == "column")
+    """Return one row per column: position, name, value and null counts, digest; all from one pass that hashes no rows."""
+    columns = list(columns or df.columns)
+    found = _per_column(_cell_totals(df, columns, kinds, False), columns).withColumns({"algorithm": F.lit(ALGORITHM), "version": F.lit(VERSION)})
     return found.select("position", "column", "value_count", "null_count", "digest", "algorithm", "version", "scope")
 
 

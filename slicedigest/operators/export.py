@@ -14,14 +14,14 @@ from slicedigest.functions.columns import free_name, named
 from slicedigest.functions.digests import ALGORITHM, VERSION
 from slicedigest.functions.kinds import kinds_of
 from slicedigest.functions.names import column_problem
-from slicedigest.operators.assign import assign_groups, assign_slices, with_sheet
+from slicedigest.operators.assign import assign_slices, group_keys, split_groups, with_sheet
 from slicedigest.operators.bucket import bucket_key, refused_row
 from slicedigest.operators.convert import cell_rule
-from slicedigest.operators.digest import digest_by, digest_frame
+from slicedigest.operators.digest import digest_by, digest_cube, digest_of_cube
 from slicedigest.operators.order import FILE, ROW, sort_column
 from slicedigest.options import DateColumn, Profile, Sheet
 from slicedigest.plans.profile import plan_inputs, plan_profiles, plan_refusals, possible_refusals, profile_options
-from slicedigest.runtime import materialise
+from slicedigest.runtime import broadcast_if_small, materialise
 
 
 EXACT_CELLS = 1 << 30
@@ -64,11 +64,14 @@ class OrderKey:
 class Arranged:
     """Converted columns with, beside them, the key and sort values of the unconverted ones.
 
-    ``counting`` is the narrow view the plan is made from: the key, and the row's refusal if it has one.
+    ``counting`` is the narrow view the plan is made from: the key, and the row's refusal if it has one. ``digesting`` has the
+    converted columns too, with the names of key and refusal in ``marks``.
     """
 
     frame: DataFrame
     counting: DataFrame
+    digesting: DataFrame
+    marks: tuple[str, str]
     columns: list[str]
     key: str | None
     sorts: list[OrderKey]
@@ -103,12 +106,12 @@ def arrange(source: SourceTable, sheet: Sheet, profile: Profile) -> Arranged:
 
     key = None
     sorts: list[OrderKey] = []
-    counting = df.select(F.lit(None).cast("int").alias("key"), F.lit(None).cast("string").alias("refused"))
+    cells = list(out)
+    bucket, refused = F.lit(None).cast("int"), F.lit(None).cast("string")
     if rule.calendar:
         spec = source.date_columns[sheet.partition_column]
         bucket = bucket_key(df, sheet.partition_column, spec, rule.grain)
         refused = refused_row(df, sheet.partition_column, spec, rule.null_dates, F.struct(*[named(c) for c in source.ordinal]))
-        counting = df.select(bucket.alias("key"), refused.alias("refused"))
         key = helper("__key", bucket)
         sorts.append(OrderKey(key, Column.desc_nulls_last if rule.period_order == "descending" else Column.asc_nulls_last))
     for entry in sheet.sort:
@@ -117,26 +120,38 @@ def arrange(source: SourceTable, sheet: Sheet, profile: Profile) -> Arranged:
             value = chronology(value, df.schema[entry.column].dataType, source.date_columns[entry.column])
         sorts.append(OrderKey(helper("__sort", value), partial(sort_column, key=entry)))
     sorts += [OrderKey(helper("__ordinal", named(c)), Column.asc) for c in source.ordinal]
-    return Arranged(df.select(*out), counting, source.columns, key, sorts, rule.grain)
+    marks = free_name(source.columns, "__bucket"), free_name(source.columns, "__refused")
+    counting = df.select(bucket.alias("key"), refused.alias("refused"))
+    digesting = df.select(*cells, bucket.alias(marks[0]), refused.alias(marks[1]))
+    return Arranged(df.select(*out), counting, digesting, marks, source.columns, key, sorts, rule.grain)
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
-def count_sources(profile: Profile, arranged: dict[str, Arranged]) -> DataFrame:
+def count_sources(profile: Profile, arranged: dict[str, Arranged], digests: bool = False) -> DataFrame:
     """Return ``profile, alias, key, rows, refused`` for every source, materialised: all the plan needs of the rows.
 
-    ``refused`` is the earliest row that stops the export, as JSON. Such a row has no key, so a source shows one at most.
+    ``refused`` is the earliest row that stops the export, as JSON. Such a row has no key, so a source shows one at most. With
+    ``digests`` the same scan sums up what the rows of each key hash to (`digest_cube`).
     """
     frames = []
     for alias, a in arranged.items():
-        counted = a.counting.groupBy("key").agg(F.count("*").alias("rows"), F.min("refused").alias("refused"))
+        if digests:
+            key, refusal = (named(m) for m in a.marks)
+            counted = digest_cube(a.digesting, a.columns, {"key": key}, {"refused": refusal})
+        else:
+            counted = a.counting.groupBy("key").agg(F.count("*").alias("rows"), F.min("refused").alias("refused"))
         refused = F.col("refused") if a.key is None else F.to_json("refused")
-        frames.append(counted.select(F.lit(profile.name).alias("profile"), F.lit(alias).alias("alias"), "key", "rows", refused.alias("refused")))
+        kept = [c for c in counted.columns if c not in ("key", "rows", "refused")]
+        frames.append(counted.select(F.lit(profile.name).alias("profile"), F.lit(alias).alias("alias"), "key", "rows", refused.alias("refused"), *kept))
     return materialise(_union(frames))
 
 
+COUNTS = ["profile", "alias", "key", "rows", "refused"]
+
+
 def source_shapes(counts: DataFrame, sources: dict[str, SourceTable]) -> DataFrame:
     """Return ``alias, stem, columns, rows``; a source without rows keeps its line."""
     spark = counts.sparkSession
@@ -145,15 +160,17 @@ def source_shapes(counts: DataFrame, sources: dict[str, SourceTable]) -> DataFra
     return known.join(rows, "alias", "left").select("alias", "stem", "columns", F.coalesce("rows", F.lit(0).cast("bigint")).alias("rows"))
 
 
-def make_plan(profile: Profile, arranged: dict[str, Arranged], sources: dict[str, SourceTable]) -> tuple[DataFrame, DataFrame, DataFrame]:
+def make_plan(
+    profile: Profile, arranged: dict[str, Arranged], sources: dict[str, SourceTable], digests: bool = False
+) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Return the counts, the plan inputs and the named plan, all materialised and none of them row-sized."""
-    counts = count_sources(profile, arranged)
+    counts = count_sources(profile, arranged, digests)
     spark = counts.sparkSession
     used = {sheet.source: sources[sheet.source] for sheet in profile.sheets}
     inputs = materialise(plan_inputs(profile_options(spark, [profile]), source_shapes(counts, used)))
     rule = profile.partitioning
     across = {"calendar"} if rule.calendar else {rule.balance_across}
-    return counts, inputs, materialise(plan_profiles(inputs, counts, profile.naming, across))
+    return counts, inputs, materialise(plan_profiles(inputs, counts.select(COUNTS), profile.naming, across))
 
 
 def preview(profile: Profile, sources: dict[str, SourceTable]) -> DataFrame:
@@ -185,16 +202,50 @@ def _refuse(rows: DataFrame, text: Column) -> None:
         raise ExportRefused(shown if count <= SHOWN else f"{shown}; {count} in all")
 
 
-def place_rows(profile: Profile, alias: str, arranged: Arranged, plan: DataFrame) -> DataFrame:
+@dataclass(frozen=True)
+class Placed:
+    """A source's rows with their sheet, those among them whose sheet holds only some rows of its keys, and for the other
+    sheets the cube's keys that they hold: ``workbook, sheet, key``, without ``key`` where one sheet holds all."""
+
+    rows: DataFrame
+    cut: DataFrame | None
+    whole: DataFrame | None
+
+
+def place_rows(profile: Profile, alias: str, arranged: Arranged, plan: DataFrame) -> Placed:
     """Return one source's arranged rows with ``workbook, sheet, sheet_index``."""
     mine = plan.where(F.col("alias") == alias)
-    single = not mine.where(F.col("kind") == "single").isEmpty()
-    if profile.partitioning.calendar and not single:
-        assigned = assign_groups(arranged.frame, mine, arranged.key, arranged.order, arranged.grain)
-    else:
-        books = not profile.partitioning.calendar and not single and profile.partitioning.balance_across == "workbooks"
-        assigned = assign_slices(arranged.frame, mine, arranged.order, profile.limits.rows, books)
-    return with_sheet(assigned, mine)
+    facts = mine.agg(F.count("*").alias("sheets"), F.bool_or(F.col("kind") == "single").alias("single"), F.max("parts").alias("parts")).first()
+    if profile.partitioning.calendar and not facts["single"]:
+        fitting, ranked = split_groups(arranged.frame, mine, arranged.key, arranged.order, arranged.grain, (facts["parts"] or 1) > 1)
+        keys = group_keys(mine, arranged.grain).where("parts = 1").select("key", "group_no")
+        whole = keys.join(mine.where("part = 0").select("group_no", "workbook", "sheet"), "group_no").select("workbook", "sheet", "key")
+        rows = with_sheet(fitting, mine)
+        if ranked is None:
+            return Placed(rows, None, whole)
+        cut = with_sheet(ranked, mine)
+        return Placed(rows.unionByName(cut), cut, whole)
+    books = not profile.partitioning.calendar and not facts["single"] and profile.partitioning.balance_across == "workbooks"
+    rows = with_sheet(assign_slices(arranged.frame, mine, arranged.order, profile.limits.rows, books), mine)
+    if facts["sheets"] == 1:
+        return Placed(rows, None, mine.select("workbook", "sheet"))
+    return Placed(rows, rows, None)
+
+
+def fragment_digests(alias: str, arranged: Arranged, placed: Placed, cube: DataFrame, bounded: bool) -> DataFrame:
+    """Return the digest of every sheet of one source: from the cube's sums where sheets hold whole keys, else from its rows."""
+    sheet, found = ["workbook", "sheet"], []
+    if placed.whole is not None:
+        mine = cube.where(F.col("alias") == alias)
+        if "key" in placed.whole.columns:
+            keys = placed.whole.withColumnRenamed("key", "__covered")
+            held = mine.join(broadcast_if_small(keys), F.col("key").eqNullSafe(F.col("__covered")))
+        else:
+            held = mine.crossJoin(F.broadcast(placed.whole))  # one row
+        found.append(digest_of_cube(held, sheet))
+    if placed.cut is not None:
+        found.append(digest_by(placed.cut, {c: F.col(c) for c in sheet}, arranged.columns, bounded=bounded))
+    return _union(found).withColumn("alias", F.lit(alias))
 
 
 @dataclass(frozen=True)
@@ -212,22 +263,26 @@ class Export:
 def export(profile: Profile, sources: dict[str, SourceTable], check: bool = True) -> Export:
     """Plan a profile, give every row its sheet, and digest every sheet and every whole source.
 
-    The whole-source digest is taken from the source in a pass of its own; it is not the sum of the fragments, because
-    that sum is what it is there to check.
+    One scan counts the rows of each calendar key and sums up what they hash to. Sheets of whole keys add these sums up along
+    the plan, so no row is hashed again for them; rows are read once more only where a key is cut into several sheets. The
+    digest of a whole source adds up all of its keys, planned or not: keys that the plan misses or takes twice show as a
+    difference to the sum of the fragments.
     """
     arranged = {s.source: arrange(sources[s.source], s, profile) for s in profile.sheets}
-    counts, inputs, plan = make_plan(profile, arranged, sources)
+    counts, inputs, plan = make_plan(profile, arranged, sources, digests=True)
     if check:
         check_refusals(profile, inputs, counts, plan)
     placed = {alias: place_rows(profile, alias, a, plan) for alias, a in arranged.items()}
     bounded = profile.limits.cells <= EXACT_CELLS
-    digests = [
-        digest_by(rows, {"workbook": F.col("workbook"), "sheet": F.col("sheet")}, arranged[alias].columns, bounded=bounded).withColumn("alias", F.lit(alias))
-        for alias, rows in placed.items()
-    ]
-    wholes = [digest_frame(a.frame, a.columns).withColumn("alias", F.lit(alias)) for alias, a in arranged.items()]
+    digests = [fragment_digests(alias, arranged[alias], p, counts, bounded) for alias, p in placed.items()]
     fragments = materialise(record_fragments(plan, _union(digests), arranged))
-    return Export(profile, plan, fragments, _union(wholes), placed, arranged)
+    return Export(profile, plan, fragments, whole_digests(counts, list(arranged)), {a: p.rows for a, p in placed.items()}, arranged)
+
+
+def whole_digests(cube: DataFrame, aliases: list[str]) -> DataFrame:
+    """Return ``alias, rows, digest`` and so on of every source; one without rows hashes to zero."""
+    known = cube.sparkSession.createDataFrame([(a,) for a in aliases], "alias string")
+    return digest_of_cube(known.join(cube, "alias", "left"), ["alias"])
 
 
 def record_fragments(plan: DataFrame, digests: DataFrame, arranged: dict[str, Arranged]) -> DataFrame:

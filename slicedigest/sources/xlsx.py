@@ -27,9 +27,9 @@ from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSource
 
 from slicedigest.functions.columns import named
 from slicedigest.functions.digests import ALGORITHM, LIMBS, VERSION, carry, to_hex
-from slicedigest.operators.digest import combine, row_limbs
+from slicedigest.operators.digest import blank_digests, combine, row_limbs
 from slicedigest.operators.export import Export
-from slicedigest.operators.verify import blank_rows, missing_rows, read_back_digests
+from slicedigest.operators.verify import missing_rows
 from slicedigest.runtime import broadcast_if_small, materialise
 
 SCHEMA = "workbook string, sheet string, row bigint, cells array<string>"
@@ -504,11 +504,13 @@ def read_back_sheets(cells: DataFrame, schema: T.StructType | dict[str, T.Struct
     seen = materialise(seen.select(*key, "header", "dropped", "rows", "broken", whole("f").alias("digest"), whole("r").alias("row_digest")))
     there = seen.where(F.col("header").isNotNull())
     short = missing_rows(there, manifest.join(there.select(*key), key, "left_semi"))  # an absent sheet is not padded
-    blanks = []
-    for alias, one in schemas.items():
-        own = short if alias is None else short.join(manifest.where(F.col("alias") == alias).select(*key), key, "left_semi")
-        blanks.append(read_back_digests(blank_rows(own, one), one.names))
-    blank = reduce(DataFrame.unionByName, blanks)
+    widths = {alias: len(one.fields) for alias, one in schemas.items()}
+    if len(set(widths.values())) == 1:
+        blank = blank_digests(short.where("missing > 0"), next(iter(widths.values())))
+    else:
+        owned = short.where("missing > 0").join(manifest.select(*key, "alias"), key)
+        width = F.create_map(*[F.lit(x) for pair in widths.items() for x in pair])[F.col("alias")]
+        blank = blank_digests(owned, width)
     facts = [F.col(c) for c in ("algorithm", "version", "scope")]
     read = there.select(
         *key, "rows", "digest", "row_digest", F.lit(ALGORITHM).alias("algorithm"), F.lit(VERSION).alias("version"), F.lit("dataframe").alias("scope")
