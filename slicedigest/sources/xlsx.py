@@ -12,9 +12,12 @@ import json
 import re
 import uuid
 import zipfile
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterable, Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
+from itertools import groupby
 from xml.etree import ElementTree
 from xml.sax.saxutils import escape, quoteattr
 
@@ -23,7 +26,16 @@ import pyarrow.fs
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
+from pyspark.sql.datasource import (
+    DataSource,
+    DataSourceArrowWriter,
+    DataSourceReader,
+    EqualTo,
+    Filter,
+    In,
+    InputPartition,
+    WriterCommitMessage,
+)
 
 from slicedigest.functions.columns import named
 from slicedigest.functions.digests import ALGORITHM, LIMBS, VERSION, carry, to_hex
@@ -149,21 +161,41 @@ def rich_text(item: ElementTree.Element | None) -> str:
     return load_text("".join(parts))
 
 
-def shared_texts(archive: zipfile.ZipFile) -> list[str]:
-    """Return the shared texts of a workbook that has them, forgetting each element once read."""
-    if "xl/sharedStrings.xml" not in archive.namelist():
-        return []
-    texts, item_tag, root = [], f"{{{MAIN}}}si", None
-    for event, element in ElementTree.iterparse(archive.open("xl/sharedStrings.xml"), ("start", "end")):
-        if root is None:
-            root = element
-        elif event == "end" and element.tag == item_tag:
-            texts.append(rich_text(element))
-            root.clear()
-    return texts
+class SharedTexts:
+    """The shared texts of a workbook, read when the first of them is asked for.
+
+    They are kept as one run of bytes with their ends beside it, so a text costs its bytes and eight more.
+    """
 
+    def __init__(self, archive: zipfile.ZipFile) -> None:
+        self.archive, self.ends, self.held = archive, None, bytearray()
 
-def read_rows(stream, shared: list[str]) -> Iterator[tuple[int, list[str | None]]]:
+    def _load(self) -> None:
+        self.ends = array("Q", [0])
+        if "xl/sharedStrings.xml" not in self.archive.namelist():
+            return
+        item_tag, root = f"{{{MAIN}}}si", None
+        with self.archive.open("xl/sharedStrings.xml") as stream:
+            for event, element in ElementTree.iterparse(stream, ("start", "end")):
+                if root is None:
+                    root = element
+                elif event == "end" and element.tag == item_tag:
+                    self.held += rich_text(element).encode("utf-8", "surrogatepass")
+                    self.ends.append(len(self.held))
+                    root.clear()
+
+    def __len__(self) -> int:
+        if self.ends is None:
+            self._load()
+        return len(self.ends) - 1
+
+    def __getitem__(self, n: int) -> str:
+        if not 0 <= n < len(self):
+            raise IndexError(f"shared text {n} of {len(self)}")
+        return self.held[self.ends[n] : self.ends[n + 1]].decode("utf-8", "surrogatepass")
+
+
+def read_rows(stream, shared: Sequence[str]) -> Iterator[tuple[int, list[str | None]]]:
     """Yield ``(row from zero, cells)`` of one sheet, header included, forgetting each row once given.
 
     Rows and columns must ascend and stay inside the format's limits.
@@ -222,8 +254,10 @@ def _filesystem(path: str) -> tuple[pa.fs.FileSystem, str]:
 
 
 @dataclass
-class BookPartition(InputPartition):
-    path: str
+class SheetsPartition(InputPartition):
+    """Sheets that one task reads, as ``(path, sheet, archive member)``; a workbook that cannot be opened has neither."""
+
+    sheets: list[tuple[str, str | None, str | None]]
 
 
 @dataclass
@@ -231,63 +265,109 @@ class Written(WriterCommitMessage):
     names: list[str]
 
 
+SPLIT_BYTES = 1 << 20
+"""Compressed sheets a task reads together; a larger sheet has a task of its own."""
+LEAST_TASKS = 64
+"""Tasks that a read is split into before small sheets are put together."""
+OPENED = 16
+"""Workbooks whose directories are read at once when a read is planned."""
+
+
 class XlsxReader(DataSourceReader):
-    """One task per workbook, opened nowhere else.
+    """Plans by sheet: the directories of the workbooks say which sheets there are and how large.
 
     A sheet that cannot be read ends in a row with null row and cells, and the next one is read; where that holds for the whole
-    workbook, the sheet is null too. ``sheets`` limits what is parsed to the named ones.
+    workbook, the sheet is null too. ``books`` and ``sheets`` limit what is opened to the named ones; None means all.
     """
 
-    def __init__(self, path: str, sheets: frozenset[str] = frozenset()) -> None:
-        self.path, self.sheets = path, sheets
+    def __init__(self, path: str, sheets: frozenset[str] | None = None) -> None:
+        self.path, self.books, self.sheets = path, None, sheets
 
-    def partitions(self) -> list[BookPartition]:
+    def partitions(self) -> list[SheetsPartition]:
         fs, root = _filesystem(self.path)
         info = fs.get_file_info(root)
         found = [info] if info.is_file else fs.get_file_info(pa.fs.FileSelector(root, recursive=False))
-        books = sorted(i.path for i in found if i.is_file and i.base_name.endswith(".xlsx"))
-        return [BookPartition(path) for path in books] or [BookPartition("")]
+        books = sorted(i.path for i in found if i.is_file and i.base_name.endswith(".xlsx") and (self.books is None or i.base_name in self.books))
 
-    def read(self, partition: BookPartition) -> Iterator[pa.RecordBatch]:
-        if not partition.path:
-            return
+        def listed(path: str) -> list[tuple[int, tuple[str, str | None, str | None]]]:
+            with fs.open_input_file(path) as file:
+                # A damaged file can fail in any way; only a store that does not answer is worth another attempt.
+                try:
+                    archive = zipfile.ZipFile(file)
+                    parts = sheet_parts(archive)
+                    sizes = {i.filename: i.compress_size for i in archive.infolist()}
+                except (ConnectionError, TimeoutError):
+                    raise
+                except Exception:
+                    return [(0, (path, None, None))]
+                return [(sizes.get(member, 0), (path, sheet, member)) for sheet, member in parts.items() if self.sheets is None or sheet in self.sheets]
+
+        with ThreadPoolExecutor(OPENED) as pool:
+            every = [one for of_book in pool.map(listed, books) for one in of_book]
+        limit = min(SPLIT_BYTES, sum(size for size, _ in every) // LEAST_TASKS)
+        out, filled = [], 0
+        for size, sheet in every:
+            if not out or filled + size > limit:
+                out.append(SheetsPartition([]))
+                filled = 0
+            out[-1].sheets.append(sheet)
+            filled += size
+        return out or [SheetsPartition([])]
+
+    def read(self, partition: SheetsPartition) -> Iterator[pa.RecordBatch]:
         fs, _ = _filesystem(self.path)
-        book = partition.path.rsplit("/", 1)[-1]
         schema = pa.schema([("workbook", pa.string()), ("sheet", pa.string()), ("row", pa.int64()), ("cells", pa.list_(pa.string()))])
 
-        def made(sheet: str | None, rows: list[tuple[int | None, list[str | None] | None]]) -> pa.RecordBatch:
+        def made(book: str, sheet: str | None, rows: list[tuple[int | None, list[str | None] | None]]) -> pa.RecordBatch:
             columns = [[book] * len(rows), [sheet] * len(rows), [n for n, _ in rows], [c for _, c in rows]]
             return pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(columns, schema)], schema=schema)
 
-        def rows(archive: zipfile.ZipFile, sheet: str, member: str, shared: list[str]) -> Iterator[pa.RecordBatch]:
+        def rows(archive: zipfile.ZipFile, book: str, sheet: str, member: str, shared: SharedTexts) -> Iterator[pa.RecordBatch]:
             batch = []
             for row in read_rows(archive.open(member), shared):
                 batch.append(row)
                 if len(batch) == BATCH:
-                    yield made(sheet, batch)
+                    yield made(book, sheet, batch)
                     batch = []
             if batch:
-                yield made(sheet, batch)
-
-        with fs.open_input_file(partition.path) as file:
-            # A damaged file can fail in any way; only a store that does not answer is worth another attempt.
-            try:
-                archive = zipfile.ZipFile(file)
-                shared, parts = shared_texts(archive), sheet_parts(archive)
-            except (ConnectionError, TimeoutError):
-                raise
-            except Exception:
-                yield made(None, [(None, None)])
-                return
-            for sheet, member in parts.items():
-                if self.sheets and sheet not in self.sheets:
-                    continue
-                try:
-                    yield from rows(archive, sheet, member, shared)
-                except (ConnectionError, TimeoutError):
-                    raise
-                except Exception:
-                    yield made(sheet, [(None, None)])
+                yield made(book, sheet, batch)
+
+        for path, sheets in groupby(partition.sheets, key=lambda s: s[0]):
+            book = path.rsplit("/", 1)[-1]
+            with fs.open_input_file(path) as file:
+                archive = shared = None
+                for _, sheet, member in sheets:
+                    try:
+                        if sheet is not None:
+                            if archive is None:
+                                archive = zipfile.ZipFile(file)
+                                shared = SharedTexts(archive)
+                            yield from rows(archive, book, sheet, member, shared)
+                        else:
+                            yield made(book, None, [(None, None)])
+                    except (ConnectionError, TimeoutError):
+                        raise
+                    except Exception:
+                        yield made(book, sheet, [(None, None)])
+
+
+class FilteringXlsxReader(XlsxReader):
+    """Takes over filters that name workbooks or sheets, so that no other workbook is opened and no other sheet parsed."""
+
+    def pushFilters(self, filters: list[Filter]) -> Iterable[Filter]:
+        for f in filters:
+            names = None
+            if isinstance(f, EqualTo):
+                names = {f.value}
+            elif isinstance(f, In):
+                names = set(f.value)
+            if names is None or f.attribute not in (("workbook",), ("sheet",)):
+                yield f
+            elif f.attribute == ("workbook",):
+                self.books = names if self.books is None else self.books & names
+            else:
+                self.sheets = names if self.sheets is None else self.sheets & names
+                yield f  # a workbook that cannot be opened still gives a row, without a sheet
 
 
 class XlsxWriter(DataSourceArrowWriter):
@@ -369,7 +449,8 @@ class XlsxDataSource(DataSource):
 
     def reader(self, schema: T.StructType) -> XlsxReader:
         wanted = self.options.get("sheets")
-        return XlsxReader(self.options["path"], frozenset(json.loads(wanted)) if wanted else frozenset())
+        kind = FilteringXlsxReader if self.options.get("pushdown") == "true" else XlsxReader
+        return kind(self.options["path"], frozenset(json.loads(wanted)) if wanted else None)
 
     def writer(self, schema: T.StructType, overwrite: bool) -> XlsxWriter:
         return XlsxWriter(self.options["path"])
@@ -451,10 +532,16 @@ def write_workbooks(export: Export, path: str) -> None:
     workbook_rows(export).write.format("xlsx").mode("append").save(full_path(spark, path))
 
 
+PUSHDOWN = "spark.sql.python.filterPushdown.enabled"
+
+
 def read_workbooks(spark: SparkSession, path: str, sheets: list[str] | None = None) -> DataFrame:
-    """Return ``workbook, sheet, row, cells`` of every sheet below a folder, or of those named; row zero is the header as written."""
+    """Return ``workbook, sheet, row, cells`` of every sheet below a folder, or of those named; row zero is the header as written.
+
+    Where the session has ``spark.sql.python.filterPushdown.enabled``, filters on ``workbook`` and ``sheet`` decide what is opened.
+    """
     register(spark)
-    reader = spark.read.format("xlsx")
+    reader = spark.read.format("xlsx").option("pushdown", spark.conf.get(PUSHDOWN, "false"))
     if sheets:
         reader = reader.option("sheets", json.dumps(sheets))
     return reader.load(full_path(spark, path))

@@ -8,6 +8,7 @@ import zipfile
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import EqualTo, GreaterThan, In
 from pyspark.sql import types as T
 
 from checks.rows import ORDER_DATES, _orders_profile
@@ -24,6 +25,7 @@ from slicedigest.plans.groups import greedy_runs
 from slicedigest.runtime import broadcast_if_small
 from slicedigest.sources import records
 from slicedigest.sources.parquet import read_source
+from slicedigest.sources import xlsx
 from slicedigest.sources.xlsx import full_path, read_back_sheets, read_rows, read_workbooks, rich_text, workbook_rows, write_workbooks
 
 SF = "/root/testdata/sf0.001"
@@ -106,6 +108,58 @@ def test_only_named_sheets_are_read(spark, written):
     assert {r["sheet"] for r in read_workbooks(spark, str(folder), [name]).select("sheet").distinct().collect()} == {name}
 
 
+def opened(reader):
+    return [s for p in reader.partitions() for s in p.sheets]
+
+
+def test_reads_are_planned_by_sheet(spark, written, monkeypatch):
+    made, folder, _ = written
+    planned = {(r["workbook"], r["sheet"]) for r in made.plan.select("workbook", "sheet").collect()}
+    every = opened(xlsx.XlsxReader(str(folder)))
+    assert {(path.rsplit("/", 1)[-1], sheet) for path, sheet, _ in every} == planned and len(every) == len(planned)
+    monkeypatch.setattr(xlsx, "SPLIT_BYTES", 0)
+    assert len(xlsx.XlsxReader(str(folder)).partitions()) == len(planned)
+    monkeypatch.setattr(xlsx, "SPLIT_BYTES", 1 << 30)
+    monkeypatch.setattr(xlsx, "LEAST_TASKS", 1)
+    assert len(xlsx.XlsxReader(str(folder)).partitions()) == 1
+
+
+def test_filters_decide_what_is_opened(spark, written):
+    made, folder, _ = written
+    book, sheet = made.plan.select("workbook", "sheet").orderBy("workbook", "sheet").first()
+    reader = xlsx.FilteringXlsxReader(str(folder))
+    row = GreaterThan(("row",), 0)
+    assert list(reader.pushFilters([EqualTo(("workbook",), book), In(("sheet",), (sheet, "none")), row])) == [In(("sheet",), (sheet, "none")), row]
+    assert [(path.rsplit("/", 1)[-1], name) for path, name, _ in opened(reader)] == [(book, sheet)]
+    wanted = (F.col("workbook") == book) & (F.col("sheet") == sheet)
+    plain = read_workbooks(spark, str(folder)).where(wanted).collect()
+    spark.conf.set(xlsx.PUSHDOWN, "true")
+    try:
+        found = read_workbooks(spark, str(folder)).where(wanted)
+        assert sorted(found.collect()) == sorted(plain) != []
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert not re.search(r"workbook#\d+ = ", plan) and re.search(r"sheet#\d+ = ", plan)
+        assert found.rdd.getNumPartitions() == 1
+    finally:
+        spark.conf.unset(xlsx.PUSHDOWN)
+
+
+def test_shared_texts_are_read_when_first_asked_for(tmp_path):
+    texts = ["", "plain", "é \U0001d11e", "x" * 1000] * 500
+    items = "".join(f"<si><t>{t}</t></si>" for t in texts)
+    with zipfile.ZipFile(tmp_path / "a.zip", "w") as archive:
+        archive.writestr("xl/sharedStrings.xml", f'<sst xmlns="{xlsx.MAIN}">{items}</sst>')
+    shared = xlsx.SharedTexts(zipfile.ZipFile(tmp_path / "a.zip"))
+    assert shared.ends is None
+    assert [shared[i] for i in range(len(shared))] == texts
+    for bad in (-1, len(texts)):
+        with pytest.raises(IndexError):
+            shared[bad]
+    with zipfile.ZipFile(tmp_path / "b.zip", "w") as archive:
+        archive.writestr("other", "")
+    assert len(xlsx.SharedTexts(zipfile.ZipFile(tmp_path / "b.zip"))) == 0
+
+
 def plain_next_fit(runs, budget):
     book, used, out = 1, 0, []
     for count, cost in runs:
