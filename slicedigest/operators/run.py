@@ -76,6 +76,12 @@ def refresh_descriptions(spark: SparkSession, sources: dict[str, Source], folder
     return whole
 
 
+def resolved(profile: Profile, sources: dict[str, Source]) -> dict:
+    """Return all that decides what a profile publishes: its own options, and the paths and date columns of its sources."""
+    kinds = {s.source: {c: type(d).__name__ for c, d in sources[s.source].date_columns.items()} for s in profile.sheets}
+    return {"profile": asdict(profile), "sources": {s.source: asdict(sources[s.source]) for s in profile.sheets}, "date_kinds": kinds}
+
+
 def run(
     spark: SparkSession,
     profiles: list[Profile],
@@ -100,7 +106,7 @@ def run(
     receipts = empty
     for name in kept:
         receipts = receipts.unionByName(records.read_records(spark, f"{folder}/{name}.receipt", records.RECEIPT)[0])
-    hashes = {p.name: config_hash(asdict(p)) for p in profiles}
+    hashes = {p.name: config_hash(resolved(p, sources)) for p in profiles}
     options = [(p.name, None, hashes[p.name], p.name in forced) for p in profiles]
     current = spark.createDataFrame(options, "profile string, config_modified timestamp, config_hash string, forced boolean")
     selection = materialise(stale_profiles(members, signals, receipts, current))

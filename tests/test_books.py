@@ -17,7 +17,8 @@ from slicedigest.functions.names import column_problem
 from slicedigest.operators.describe import describe_many, stored_schema
 from slicedigest.operators.digest import digest_all, digest_columns, digest_frame
 from slicedigest.operators.export import ExportRefused, export
-from slicedigest.operators.run import Source, run
+from slicedigest.operators.run import Source, resolved, run
+from slicedigest.operators.select import config_hash
 from slicedigest.operators.verify import verify_fragments
 from slicedigest.options import DateColumn, Limits, Partitioning, Profile, Sheet
 from slicedigest.plans.allocate import next_fit
@@ -260,3 +261,11 @@ def test_a_run_whose_check_fails_leaves_its_report_only(spark, tmp_path):
     assert spark.read.json(f"{tmp_path}/reports/by_year").count() == 2
     changed = run(spark, [_orders_profile(400, 5000)], sources, str(tmp_path))
     assert changed.selection.first()["reasons"] == ["resolved-config-hash"] and changed.published == ("by_year",)
+
+
+def test_a_changed_date_column_changes_the_fingerprint():
+    profile = Profile("p", (Sheet("orders", "o_orderdate"),), Limits(), Partitioning())
+    of = lambda column, path="a": config_hash(resolved(profile, {"orders": Source(path, {"o_orderdate": column}), "other": Source(path)}))
+    same = of(DateColumn.datetime())
+    assert same == of(DateColumn.datetime()) and len(same) == 64
+    assert len({same, of(DateColumn.datetime(), "b"), of(DateColumn.datetime("UTC")), of(DateColumn.date())}) == 4
