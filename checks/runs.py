@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from dataclasses import replace
 
 from pyspark.sql import functions as F
 
@@ -14,9 +15,11 @@ from checks.rows import FAN_IN, ORDER_DATES, ORDERS_COUNTS, _fan_in, _orders_pro
 from slicedigest.operators.describe import describe_many, stored_schema
 from slicedigest.operators.digest import digest_all
 from slicedigest.operators.export import export
-from slicedigest.operators.run import Source, run
+from slicedigest.operators.report import latest_reports
+from slicedigest.operators.run import REPORT, Source, run
 from slicedigest.operators.select import stale_sources
 from slicedigest.operators.verify import verify_manifest
+from slicedigest.options import DateColumn, Sheet
 from slicedigest.runtime import materialise, use_checkpoint_dir
 from slicedigest.sources import records
 from slicedigest.sources.xlsx import read_back_sheets, read_workbooks, write_workbooks
@@ -90,6 +93,37 @@ def runs_of_orders(spark, sf):
     return out
 
 
+@query(
+    f"""{plan_ctes(ORDERS_COUNTS, 500, 5000)}, t AS (SELECT count(*) AS sheets, sum(rows)::BIGINT AS total_rows, count(DISTINCT workbook) AS workbooks FROM plan),
+    r (run, profile, reasons, outcome, error, exports) AS (VALUES
+      (1, 'by_year', 'no-receipt', 'published', NULL, 1), (1, 'gone', 'no-receipt,sidecar-missing-or-unreadable', 'failed', 'not there', 0), (1, 'taken', 'no-receipt', 'failed', 'files-without-receipt', 1),
+      (2, 'by_year', 'resolved-config-hash', 'published', NULL, 1), (2, 'gone', 'no-receipt,sidecar-missing-or-unreadable', 'failed', 'not there', 0), (2, 'taken', 'no-receipt', 'failed', 'files-without-receipt', 1),
+      (3, 'by_year', 'forced', 'planned', NULL, 1), (3, 'gone', 'no-receipt,sidecar-missing-or-unreadable', 'failed', 'not there', 0), (3, 'taken', 'no-receipt', 'failed', 'files-without-receipt', 1),
+      (4, 'by_year', 'forced', 'failed', 'foreign-receipt', 1), (4, 'gone', 'no-receipt,sidecar-missing-or-unreadable', 'failed', 'not there', 0), (4, 'taken', 'no-receipt', 'failed', 'files-without-receipt', 1))
+    SELECT r.*, CASE WHEN outcome <> 'failed' THEN total_rows END AS total_rows, CASE WHEN outcome <> 'failed' THEN sheets END AS sheets,
+      CASE WHEN outcome <> 'failed' THEN workbooks END AS workbooks FROM r, t"""
+)
+def runs_after_changes(spark, sf):
+    """A first run, one with another zone registered, a dry one, and one of another configuration; reports are read back."""
+    folder, zoned = _folder(spark, "changed-runs"), {"o_orderdate": DateColumn.datetime(wall_zone="Europe/Madrid")}
+    profiles = [replace(_orders_profile(500, 5000), name="by_year"), replace(_orders_profile(500, 5000), name="taken")]
+    profiles.append(replace(_orders_profile(500, 5000), name="gone", sheets=(Sheet("nowhere", "o_orderdate"),)))
+    records.mark(spark, f"{folder}/taken/notes.txt")
+    out = None
+    for n, dates, more in ((1, ORDER_DATES, {}), (2, zoned, {}), (3, zoned, {"dry_run": True}), (4, zoned, {"config_id": "another"})):
+        sources = {"orders": Source(f"{sf}/orders.parquet", dates), "nowhere": Source(f"{folder}/nowhere.parquet", dates)}
+        done = run(spark, profiles, sources, folder, frozenset({"by_year"} if n > 2 else ()), **more)
+        written = latest_reports(spark.read.schema(REPORT).json([f"{folder}/reports/{p.name}" for p in profiles]))
+        left = [(p.name, len(records.names_in(spark, f"{folder}/{p.name}"))) for p in profiles]
+        error = F.when(F.col("profile") == "gone", F.when(F.col("error").isNotNull(), "not there")).otherwise(F.col("error"))
+        rows = (done.reports if n == 3 else written).select(
+            F.lit(n).alias("run"), "profile", F.array_join("reasons", ",").alias("reasons"), "outcome", error.alias("error"), "total_rows", "sheets", "workbooks"
+        )
+        rows = materialise(rows.join(spark.createDataFrame(left, "profile string, exports int"), "profile"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 @query(
     f"""{plan_ctes(FAN_IN, 5000, 60000)} SELECT alias, count(*) AS sheets, 0 AS failed, sum(rows)::BIGINT AS rows_found, sum(rows)::BIGINT AS rows_expected, true AS rows_match, 'valid' AS reassembly, true AS valid
     FROM plan GROUP BY alias"""
