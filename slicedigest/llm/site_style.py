@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 from hashlib import blake2b
@@ -20,8 +21,6 @@ LEAST_PAGES = 4
 """Different pages a branch must have been seen on before its importance counts."""
 BROADCAST_BRANCHES = 500_000
 """Most unimportant branches of all sites that are sent to every executor; more meet the pages in a join by host."""
-DEPTH = 200
-"""Elements nested deeper are not opened: their text stays with the element around them."""
 
 # What an element is for, by its name or by the words in its class, id and role.
 HIDDEN = "head script style noscript template iframe object embed svg math canvas video audio map select option datalist button textarea".split()
@@ -41,11 +40,22 @@ NOISE_WORDS = (
     "contentinfo dialog paywall toolbar skip"
 ).split()
 MAIN_WORDS = "articlebody entry post story content main maincontent".split()
+# Inside an article only whole class names count, made of the words above (but for its own header) and these.
+OWN_WORDS = "header masthead banner".split()
+FILLER_WORDS = (
+    "area article articles bar block body bottom box button buttons center container content group inline inner item items label left link "
+    "links list message outer page panel post posts reader right row section site slot story text thread title top unit user wrap wrapper"
+).split()
+ID_WORDS = (
+    "ad ads advert adverts advertisement advertising adsense sponsored comments commentlist disqus respond newsletter cookie cookies consent "
+    "gdpr sidebar nav navbar paywall"
+).split()
 ARTICLE_NOISE = "comment comments reply teaser related promo sponsored advert".split()
 PLAIN = "p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd blockquote pre table tbody thead tr td th a b i em strong span u s sub sup code figure figcaption header".split()
 
 _HIDDEN, _FURNITURE, _VOID, _BLOCK = frozenset(HIDDEN), frozenset(FURNITURE), frozenset(VOID), frozenset(BLOCKS)
 _NOISE, _MAIN, _ARTICLE_NOISE, _PLAIN = frozenset(NOISE_WORDS), frozenset(MAIN_WORDS), frozenset(ARTICLE_NOISE), frozenset(PLAIN)
+_OWN, _FILLER, _ID = frozenset(OWN_WORDS), frozenset(FILLER_WORDS), frozenset(ID_WORDS)
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|\d+")
 _SPACE = re.compile(r"\s+")
 
@@ -58,7 +68,8 @@ class Node:
     tag: str
     words: frozenset[str] = frozenset()
     hidden: bool = False
-    holds_main: bool | None = None
+    misplaced: bool = False
+    holds_main: bool = False
     children: list[Node | str] = field(default_factory=list)
 
 
@@ -69,6 +80,12 @@ class _Builder(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.root = Node("#page", "#page")
         self.stack = [self.root]
+        self.open: Counter[str] = Counter()
+
+    def _cut(self, at: int) -> None:
+        for node in self.stack[at:]:
+            self.open[node.tag] -= 1
+        del self.stack[at:]
 
     def handle_starttag(self, tag, attrs):
         if tag in CLOSES_P:
@@ -81,32 +98,58 @@ class _Builder(HTMLParser):
         look = f"{tag}.{values.get('class', '').strip().lower()}" if values.get("class") else tag
         words = frozenset(w.lower() for k in ("class", "id", "role", "itemprop") for w in _WORDS.findall(values.get(k, "")))
         unseen = "hidden" in values or "display:none" in values.get("style", "").replace(" ", "").lower()
-        node = Node(look, tag, words, unseen or tag in _HIDDEN)
+        misplaced = not words.isdisjoint(_NOISE) and _misplaced(values)
+        node = Node(look, tag, words, unseen or tag in _HIDDEN, misplaced)
         self.stack[-1].children.append(node)
-        if tag not in _VOID and len(self.stack) < DEPTH:
+        if not node.hidden and (tag == "main" or (tag == "article" and not words & _ARTICLE_NOISE)):
+            for above in reversed(self.stack):
+                if above.holds_main:
+                    break
+                above.holds_main = True
+                if above.hidden:
+                    break
+        if tag not in _VOID:
             self.stack.append(node)
+            self.open[tag] += 1
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
 
     def _close_within(self, tag: str, borders: tuple[str, ...]) -> None:
+        if not self.open[tag]:
+            return
         for i in range(len(self.stack) - 1, 0, -1):
             if self.stack[i].tag == tag:
-                del self.stack[i:]
+                self._cut(i)
                 return
             if self.stack[i].tag in borders or self.stack[i].tag in ("article", "div", "section", "body", "blockquote") and tag == "p":
                 return
 
     def handle_endtag(self, tag):
+        if not self.open[tag]:
+            return
         for i in range(len(self.stack) - 1, 0, -1):
             if self.stack[i].tag == tag:
-                del self.stack[i:]
+                self._cut(i)
                 return
 
     def handle_data(self, data):
         self.stack[-1].children.append(data)
 
 
+def _misplaced(values: dict[str, str]) -> bool:
+    """Whether a class, role or id says as a whole that the element does not belong to the article around it.
+
+    ``related-posts`` and ``ad-slot-2`` do, ``related-work``, ``article-header`` and the id ``discussion`` do not.
+    """
+    for key, told in (("class", _NOISE - _OWN), ("role", _NOISE - _OWN), ("id", _ID)):
+        for name in values.get(key, "").split():
+            words = [w.lower() for w in _WORDS.findall(name) if not w.isdigit()]
+            if any(w in told for w in words) and all(w in told or w in _FILLER for w in words):
+                return True
+    return False
+
+
 def parse_page(html: str) -> Node:
     """The page's tree. Cut off, nested or wrong markup never fails; a comment or declaration leaves nothing."""
     builder = _Builder()
@@ -118,24 +161,18 @@ def parse_page(html: str) -> Node:
 def furniture(node: Node, inside: bool) -> bool:
     """Whether what an element is for says that it is not the page's content.
 
-    An article's own header is content, and so is whatever wraps an article or main element.
+    An article's own header is content, and so is whatever wraps an article or main element. Inside an article a word of a name
+    is not enough, the name must say it as a whole (`_misplaced`).
     """
     if node.hidden:
         return True
-    if node.tag in ("html", "body", "main") or (node.tag != "article" and _holds_main(node)):
+    if node.tag in ("html", "body", "main") or (node.tag != "article" and node.holds_main):
         return False
     if node.tag == "article":
         return bool(node.words & _ARTICLE_NOISE)
-    return (node.tag in _FURNITURE and not (inside and node.tag == "header")) or bool(node.words & _NOISE)
-
-
-def _holds_main(node: Node) -> bool:
-    if node.holds_main is None:
-        node.holds_main = any(
-            not isinstance(c, str) and not c.hidden and (c.tag == "main" or (c.tag == "article" and not c.words & _ARTICLE_NOISE) or _holds_main(c))
-            for c in node.children
-        )
-    return node.holds_main
+    if inside:
+        return (node.tag in _FURNITURE and node.tag != "header") or node.misplaced
+    return node.tag in _FURNITURE or bool(node.words & _NOISE)
 
 
 def _digest(*parts: str | int) -> int:
@@ -143,12 +180,21 @@ def _digest(*parts: str | int) -> int:
     return int.from_bytes(blake2b(raw, digest_size=8).digest(), "big", signed=True)
 
 
-def branches(node: Node, path: int = 0) -> Iterator[tuple[int, Node]]:
+def _names_content(node: Node) -> bool:
+    return node.tag in ("article", "main") or "main" in node.words or bool(node.words & _MAIN)
+
+
+def branches(root: Node) -> Iterator[tuple[int, Node]]:
     """Every branch that may be content with its place in the site's tree: a digest of the looks from the root."""
-    yield path, node
-    for child in node.children:
-        if not isinstance(child, str) and not furniture(child, True):
-            yield from branches(child, _digest(path, child.look))
+    todo = [(0, root, False)]
+    while todo:
+        path, node, inside = todo.pop()
+        yield path, node
+        for child in reversed(node.children):
+            if not isinstance(child, str):
+                within = inside or _names_content(child)
+                if not furniture(child, within):
+                    todo.append((_digest(path, child.look), child, within))
 
 
 def page_facts(html: str) -> dict[tuple[int, str], int]:
@@ -225,29 +271,43 @@ def _render(root: Node, low: frozenset[int]) -> str:
     ):
         found = list(_outermost(root, 0, wanted, low))
         for path, node in found:
-            out.add(node, path, low, inside=True)
+            out.add(node, _templates(node, path, low, True), inside=True)
         if out.lines:
             return out.text()
-    out.add(root, 0, low, inside=False)
+    out.add(root, _templates(root, 0, low, False), inside=False)
     return out.text()
 
 
-def _template(node: Node, path: int, low: frozenset[int], inside: bool) -> bool:
-    """Whether the branch is low and so is all below it."""
-    if path not in low or (inside and node.look in _PLAIN):
-        return False
-    return all(isinstance(c, str) or furniture(c, inside) or _template(c, _digest(path, c.look), low, inside) for c in node.children)
-
-
-def _outermost(node: Node, path: int, wanted, low: frozenset[int]) -> Iterator[tuple[int, Node]]:
-    for child in node.children:
-        if isinstance(child, str) or furniture(child, False):
+def _templates(root: Node, path: int, low: frozenset[int], inside: bool) -> set[int]:
+    """Which elements below are low and so is all below them; plain ones inside an article never are."""
+    dropped: set[int] = set()
+    if not low:
+        return dropped
+    order, todo = [], [(root, path, -1)]
+    while todo:
+        node, path, above = todo.pop()
+        todo += [(c, _digest(path, c.look), len(order)) for c in node.children if not isinstance(c, str) and not furniture(c, inside)]
+        order.append((node, path, above))
+    whole = [True] * len(order)
+    for i in range(len(order) - 1, -1, -1):
+        node, path, above = order[i]
+        if whole[i] and path in low and not (inside and node.look in _PLAIN):
+            dropped.add(id(node))
+        elif above >= 0:
+            whole[above] = False
+    return dropped
+
+
+def _outermost(root: Node, path: int, wanted, low: frozenset[int]) -> Iterator[tuple[int, Node]]:
+    todo = [(path, root)]
+    while todo:
+        path, node = todo.pop()
+        if node is not root and wanted(node):
+            yield path, node
             continue
-        below = _digest(path, child.look)
-        if wanted(child):
-            yield below, child
-        else:
-            yield from _outermost(child, below, wanted, low)
+        for child in reversed(node.children):
+            if not isinstance(child, str) and not furniture(child, False):
+                todo.append((_digest(path, child.look) if low else 0, child))
 
 
 class _Lines:
@@ -263,20 +323,19 @@ class _Lines:
             self.lines.append(line)
         self.open = []
 
-    def add(self, node: Node, path: int, low: frozenset[int], inside: bool) -> None:
-        block = node.tag in _BLOCK
-        if block:
-            self.end()
-        for child in node.children:
-            if isinstance(child, str):
-                self.open.append(child)
-                continue
-            below = _digest(path, child.look)
-            if furniture(child, inside) or _template(child, below, low, inside):
-                continue
-            self.add(child, below, low, inside)
-        if block:
-            self.end()
+    def add(self, root: Node, dropped: set[int], inside: bool) -> None:
+        todo: list[Node | str | None] = [root]
+        while todo:
+            node = todo.pop()
+            if node is None:
+                self.end()
+            elif isinstance(node, str):
+                self.open.append(node)
+            else:
+                if node.tag in _BLOCK:
+                    self.end()
+                    todo.append(None)
+                todo += [c for c in reversed(node.children) if isinstance(c, str) or not (furniture(c, inside) or id(c) in dropped)]
 
     def text(self) -> str:
         self.end()
