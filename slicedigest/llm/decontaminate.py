@@ -20,8 +20,12 @@ LITERALS = 4
 """Fewest tokens of a window that are words, not placeholders."""
 COVER = 0.5
 """Least part of an item's windows that a document must hold."""
+LEAST_TOKENS = 4
+"""Tokens an item without a countable window must have; a shorter one says too little to be told from ordinary text."""
 WINDOW_LIMIT = 2_000_000
 """Most benchmark windows that are sent to every executor (16 bytes each); more meet the documents in a shuffled join."""
+TEXT_LIMIT = 64
+"""Most characters of benchmark texts that are sent, for each window of that limit."""
 
 # Spelled numbers, and units of measure and money.
 NUMBERS = "zero one two three four five six seven eight nine ten eleven twelve twenty thirty forty fifty hundred thousand million".split()
@@ -32,7 +36,9 @@ UNITS = (
     "months year years dollar dollars cent cents euro euros percent degree degrees"
 ).split()
 
-_TOKEN = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*|\d+(?:[.,:/]\d+)*|[$€£%°]|[.!?\n]")
+# Thai to Khmer, kana, Han and its extensions, whose words no space parts; each character is a token.
+UNSPACED = "\u0e01-\u0eff\u1000-\u109f\u1780-\u17ff\u3041-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+_TOKEN = re.compile(rf"(?![\d_])(?=\w)[{UNSPACED}]|[^\W\d_{UNSPACED}]+(?:['’][^\W\d_{UNSPACED}]+)*" r"|\d+(?:[.,:/]\d+)*|[$€£%°]|[.!?\n]")
 _ENDS = frozenset(".!?\n")
 _SYMBOLS = frozenset("$€£%°")
 _NUMBERS, _UNITS = frozenset(NUMBERS), frozenset(UNITS)
@@ -74,7 +80,7 @@ def template(text: str) -> tuple[list[str], list[str]]:
     return kinds, words
 
 
-_LETTER, _DIGIT, _SIGN, _END, _QUOTE, _POINT = 1, 2, 3, 4, 5, 6
+_LETTER, _DIGIT, _SIGN, _END, _QUOTE, _POINT, _SINGLE = 1, 2, 3, 4, 5, 6, 7
 _ODD = 0x9E3779B97F4A7C15
 
 
@@ -83,7 +89,7 @@ def _classes() -> np.ndarray:
     """What each code point is to `_TOKEN`."""
     found = np.zeros(0x110000, dtype=np.uint8)
     every = "".join(chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000)
-    for kind, pattern in ((_LETTER, r"[^\W\d_]"), (_DIGIT, r"\d"), (_SIGN, r"[$€£%°]"), (_END, r"[.!?\n]"), (_QUOTE, r"['’]"), (_POINT, r"[,:/]")):
+    for kind, pattern in ((_LETTER, r"[^\W\d_]"), (_SINGLE, rf"(?![\d_])(?=\w)[{UNSPACED}]"), (_DIGIT, r"\d"), (_SIGN, r"[$€£%°]"), (_END, r"[.!?\n]"), (_QUOTE, r"['’]"), (_POINT, r"[,:/]")):
         found[[ord(c) for c in re.findall(pattern, every)]] = kind
     return found
 
@@ -122,7 +128,7 @@ def _token_arrays(text: str) -> tuple[np.ndarray, ...]:
     point = ((here == _POINT) | (raw == ord("."))) & (before == _DIGIT) & (behind == _DIGIT)
     here[quote], here[point] = _LETTER, _DIGIT
     run = (here == _LETTER) | (here == _DIGIT)
-    starts = np.flatnonzero((run & (here != before)) | (here == _SIGN) | (here == _END))
+    starts = np.flatnonzero((run & (here != before)) | (here == _SIGN) | (here == _END) | (here == _SINGLE))
     ends = starts + 1
     ends[run[starts]] = np.flatnonzero(run & (here != behind)) + 1
     up, down = _POWERS.upto(len(raw) + 1)
@@ -162,9 +168,11 @@ def _found(values: np.ndarray, known: np.ndarray) -> np.ndarray:
     return known[np.minimum(np.searchsorted(known, values), len(known) - 1)] == values
 
 
-def window_hashes(texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+def all_hashes(texts: list[str], lengths: tuple[int, ...] = ()) -> list[tuple[np.ndarray, np.ndarray, dict[int, np.ndarray]]]:
     """For each text the hash of every window of its template, and whether the window holds enough words to count.
 
+    For other ``lengths`` of windows, those of whole short items, there are just the hashes.
+
     The same template as `template` makes, for the characters of many texts at once: a token's hash is a difference of running
     sums, and a window's hash is made of its tokens'.
     """
@@ -193,7 +201,20 @@ def window_hashes(texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
     good = WINDOW - (filled[WINDOW:] - filled[:-WINDOW]) >= LITERALS if n else np.zeros(0, dtype=bool)
     first = np.searchsorted(owner, np.arange(len(texts) + 1))
     last = np.maximum(first[:-1], first[1:] - WINDOW + 1)
-    return [(total[a:b].view(np.int64), good[a:b]) for a, b in zip(first[:-1].tolist(), last.tolist(), strict=True)]
+    out = [(total[a:b].view(np.int64), good[a:b], {}) for a, b in zip(first[:-1].tolist(), last.tolist(), strict=True)]
+    if lengths:
+        up, down = _POWERS.upto(len(h) + 2)
+        with np.errstate(over="ignore"):
+            sums = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(h * up[1 : len(h) + 1], dtype=np.uint64)])
+            for n in lengths:
+                whole = _mixed((sums[n:] - sums[:-n]) * down[: max(0, len(h) - n + 1)] + np.uint64(n)).view(np.int64)
+                for (_, _, more), a, b in zip(out, first[:-1].tolist(), first[1:].tolist(), strict=True):
+                    more[n] = whole[a : max(a, b - n + 1)]
+    return out
+
+
+def window_hashes(texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+    return [(hashes, good) for hashes, good, _ in all_hashes(texts)]
 
 
 def _in_parts(texts: list[str]) -> Iterator[list[str]]:
@@ -211,53 +232,69 @@ def _in_parts(texts: list[str]) -> Iterator[list[str]]:
 
 @dataclass
 class Item:
-    """A benchmark item's template, words, and places of its windows by hash."""
+    """A benchmark item's template, words, and places of its windows by hash.
+
+    An item without a countable window has one window, its whole template; with too few words it must come word by word.
+    """
 
     kinds: list[str]
     words: list[str]
     places: dict[int, list[int]]
     windows: int
+    length: int = WINDOW
+    whole: bool = False
+    verbatim: bool = False
 
 
 def prepared(text: str) -> Item:
     """Template, words and countable windows of an item's text."""
     kinds, words = template(text)
-    ((hashes, good),) = window_hashes([text])
+    ((hashes, good, _),) = all_hashes([text])
     places: dict[int, list[int]] = {}
     for i in np.flatnonzero(good):
         places.setdefault(int(hashes[i]), []).append(int(i))
+    n = len(kinds)
+    if not places and n >= LEAST_TOKENS:
+        ((_, _, whole),) = all_hashes([text], (n,))
+        return Item(kinds, words, {int(whole[n][0]): [0]}, 1, n, True, n - sum(k in SLOTS for k in kinds) < LITERALS)
     return Item(kinds, words, places, int(good.sum()))
 
 
 def consistent(item: Item, at: list[int], words: list[str], kinds: list[str], shift: int) -> bool:
     """Whether slots were refilled by a rule: per kind of slot, all but one of the values become one value each.
 
-    Different values may become equal, and one value may become several, as equal numbers may have different roles.
+    Different values may become equal, and one value may become several, as equal numbers may have different roles. An item
+    that is one window has no value to spare, and none to change if its words are too few.
     """
+    if item.verbatim:
+        return all(item.words[i] == words[i + shift] for i in at)
     became: dict[tuple[str, str], set[str]] = {}
     for i in at:
         if item.kinds[i] in SLOTS:
             became.setdefault((item.kinds[i], item.words[i]), set()).add(words[i + shift])
-    return sum(len(refills) > 1 for refills in became.values()) <= 1
+    return sum(len(refills) > 1 for refills in became.values()) <= (not item.whole)
 
 
-def find_item(item: Item, hashes: np.ndarray, kinds: list[str], words: list[str]) -> tuple[int, int, int, int] | None:
+def find_item(item: Item, hashes: np.ndarray, more: dict[int, np.ndarray], kinds: list[str], words: list[str]) -> tuple[int, int, int, int] | None:
     """The best place of an item in a document: windows held, changed slots, first and last token.
 
     Windows that sit at one shift belong together; shifts are tried from the one that holds most, and joined by those that
     hold windows the first lacks, at most an item's length away. A shift whose slots are filled inconsistently does not count.
     """
     by_shift: dict[int, set[int]] = {}
+    n = item.length
+    if item.whole:
+        hashes = more[n]
     for h, own in item.places.items():
         for p in np.flatnonzero(hashes == h):
             for i in own:
-                if kinds[p : p + WINDOW] == item.kinds[i : i + WINDOW]:
+                if kinds[p : p + n] == item.kinds[i : i + n]:
                     by_shift.setdefault(int(p) - i, set()).add(i)
     best = None
     order = sorted(by_shift, key=lambda s: (-len(by_shift[s]), s))
     usable = {}
     for s in order:
-        tokens = sorted({i + j for i in by_shift[s] for j in range(WINDOW)})
+        tokens = sorted({i + j for i in by_shift[s] for j in range(n)})
         if consistent(item, tokens, words, kinds, s):
             usable[s] = tokens
     for lead in usable:
@@ -276,9 +313,9 @@ def find_item(item: Item, hashes: np.ndarray, kinds: list[str], words: list[str]
 SCHEMA = "doc_id bigint, item_id bigint, windows bigint, item_windows bigint, changed_slots bigint, first_token bigint, last_token bigint"
 
 
-def _report(doc: int | None, found: Iterable[tuple[int, Item]], hashes: np.ndarray, kinds: list[str], words: list[str], cover: float) -> Iterator[tuple]:
+def _report(doc: int | None, found: Iterable[tuple[int, Item]], hashes: np.ndarray, more: dict, kinds: list[str], words: list[str], cover: float) -> Iterator[tuple]:
     for item_id, item in found:
-        place = find_item(item, hashes, kinds, words)
+        place = find_item(item, hashes, more, kinds, words)
         if place and place[0] >= cover * item.windows:
             yield doc, item_id, place[0], item.windows, *place[1:]
 
@@ -288,8 +325,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, cover: float = COVER, wi
 
     Texts become templates (`template`); the item's windows of eight template tokens, of which at least four are words, are
     looked up by hash among the document's and then compared token by token. A document holds an item if it has at least
-    ``cover`` of its windows at places that belong together and whose slots are filled consistently (`find_item`). Items
-    without a countable window cannot be found. Null and empty texts hold nothing; a null ``doc_id`` is reported as null, an
+    ``cover`` of its windows at places that belong together and whose slots are filled consistently (`find_item`). An
+    item without such a window is one window as long as its template, and its slots must be filled consistently throughout; if
+    it has less than four words, none may differ. Items of less than ``LEAST_TOKENS`` tokens are not looked for. In scripts
+    without spaces each character is a token. Null and empty texts hold nothing; a null ``doc_id`` is reported as null, an
     item without an id is left out; rows that repeat are reported each, items that repeat under one id once; other columns
     are ignored; empty tables give no rows.
 
@@ -306,21 +345,25 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, cover: float = COVER, wi
             for item_id, text in zip(batch["item_id"], batch["text"], strict=True):
                 item = prepared(text)
                 for h in item.places:
-                    yield item_id, h, item.windows
+                    yield item_id, h, item.windows, item.length if item.whole else None
 
-    held = map_rows(items, windows, "item_id bigint, h bigint, n bigint")
+    held = map_rows(items, windows, "item_id bigint, h bigint, n bigint, length int")
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").where("text IS NOT NULL")
-    if held.count() <= window_limit:
-        texts = [(r["item_id"], r["text"]) for r in items.collect()]  # no longer than their counted windows allow
+    looked_for = items.join(held.select("item_id").distinct(), "item_id", "left_semi")
+    chars = looked_for.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
+    if chars <= TEXT_LIMIT * window_limit and held.count() <= window_limit:
+        texts = [(r["item_id"], r["text"]) for r in looked_for.collect()]  # no longer than was counted
         return map_rows(rows, _scan(texts, cover), SCHEMA, rows=256)
 
+    lengths = tuple(sorted(r["length"] for r in held.select("length").distinct().where("length IS NOT NULL").collect()))
+
     def hashed(batches: Iterable[dict]) -> Iterator[tuple]:
         for batch in batches:
             keys = iter(batch["key"])
             for part in _in_parts(batch["text"]):
-                for hashes, good in window_hashes(part):
+                for hashes, good, more in all_hashes(part, lengths):
                     key = next(keys)
-                    for h in set(hashes[good].tolist()):
+                    for h in set(np.concatenate([hashes[good], *more.values()]).tolist()):
                         yield key, h
 
     keyed = rows.withColumn("key", F.xxhash64("text"))
@@ -335,7 +378,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, cover: float = COVER, wi
         for batch in batches:
             for doc, text, item_id, item_text in zip(*(batch[c] for c in ("doc_id", "text", "item_id", "item_text")), strict=True):
                 kinds, words = template(text)
-                yield from _report(doc, [(item_id, prepared(item_text))], window_hashes([text])[0][0], kinds, words, cover)
+                item = prepared(item_text)
+                hashes, _, more = all_hashes([text], (item.length,) if item.whole else ())[0]
+                yield from _report(doc, [(item_id, item)], hashes, more, kinds, words, cover)
 
     return map_rows(joined.select("doc_id", "text", "item_id", "item_text"), verify, SCHEMA, rows=256)
 
@@ -347,21 +392,23 @@ def _scan(texts: list[tuple[int, str]], cover: float):
         for i, item in items.items():
             for h, places in item.places.items():
                 owners.setdefault(h, []).extend([i] * len(places))  # once per window that has the hash
+        lengths = tuple(sorted({item.length for item in items.values() if item.whole}))
         known = np.array(sorted(owners), dtype=np.int64)
         mask = np.zeros(1 << 22, dtype=bool)  # a first look that costs less than the search
         mask[known & 0x3FFFFF] = True
         for batch in batches:
             docs = iter(batch["doc_id"])
             for part in _in_parts(batch["text"]):
-                for text, (hashes, good) in zip(part, window_hashes(part), strict=True):
+                for text, (hashes, good, more) in zip(part, all_hashes(part, lengths), strict=True):
                     doc = next(docs)
-                    maybe = hashes[mask[hashes & 0x3FFFFF] & good]
+                    every = [hashes[mask[hashes & 0x3FFFFF] & good], *(w[mask[w & 0x3FFFFF]] for w in more.values())]
+                    maybe = np.concatenate(every) if lengths else every[0]
                     hit = set(maybe[_found(maybe, known)].tolist())
                     held = Counter()
                     for h in hit:
                         held.update(owners[h])
                     found = [(i, items[i]) for i, n in sorted(held.items()) if n >= cover * items[i].windows]
                     if found:
-                        yield from _report(doc, found, hashes, *template(text), cover)
+                        yield from _report(doc, found, hashes, more, *template(text), cover)
 
     return run
