@@ -12,6 +12,7 @@ import json
 import re
 import uuid
 import zipfile
+import zlib
 from array import array
 from collections.abc import Iterable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
@@ -262,7 +263,9 @@ class SheetsPartition(InputPartition):
 
 @dataclass
 class Written(WriterCommitMessage):
-    names: list[str]
+    """What one attempt left below the staging folder: ``(path there, name, bytes, CRC-32)`` per workbook."""
+
+    books: list[tuple[str, str, int, int]]
 
 
 SPLIT_BYTES = 1 << 20
@@ -370,46 +373,88 @@ class FilteringXlsxReader(XlsxReader):
                 yield f  # a workbook that cannot be opened still gives a row, without a sheet
 
 
+PUBLISHED = "_published-"
+"""What the names of the lists of published workbooks begin with."""
+MOVES = 16
+"""Workbooks moved to their final names at once."""
+
+
 class XlsxWriter(DataSourceArrowWriter):
-    """Writes each workbook under a staging name and moves it to its place when it is whole, in the task that wrote it.
+    """Writes workbooks below a staging folder and publishes them when the job is through.
 
-    A task that runs again puts the same workbook in the same place. Whether all are there is for the receipt to say, which is
-    written last.
+    Each attempt of a task has a folder of its own and reports sizes and checksums of what it wrote. The commit takes the
+    attempts that Spark accepted, makes sure that their files are there at full length, moves them to their final names and
+    writes the list of them last. Attempts that failed or lost leave nothing outside the staging folder, which goes with the
+    commit or the abort; a job that fails leaves nothing at final names, and a commit that fails takes back what it moved.
     """
 
     def __init__(self, path: str) -> None:
         self.path = path
-        self.staging = f"_staging-{uuid.uuid4().hex}"
+        self.job = uuid.uuid4().hex
+        self.staging = f"_staging-{self.job}"
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
         fs, root = _filesystem(self.path)
-        folder = f"{root}/{self.staging}/{uuid.uuid4().hex}"
-        fs.create_dir(folder, recursive=True)
-        names: list[str] = []
-        book = sheet = stream = None
+        attempt = uuid.uuid4().hex
+        fs.create_dir(f"{root}/{self.staging}/{attempt}", recursive=True)
+        done: list[tuple[str, str, int, int]] = []
+        name = book = sheet = stream = None
 
         def finish() -> None:
             if book is not None:
                 book.close()
                 stream.close()
-                fs.move(f"{folder}/{names[-1]}", f"{root}/{names[-1]}")
+                done.append((f"{attempt}/{name}", name, stream.at, stream.crc))
 
         for batch in iterator:
             columns = batch.to_pydict()
-            for workbook, name, cells in zip(columns["workbook"], columns["sheet"], columns["cells"]):
-                if not names or workbook != names[-1]:
+            for workbook, title, cells in zip(columns["workbook"], columns["sheet"], columns["cells"]):
+                if workbook != name:
                     finish()
-                    names.append(workbook)
-                    stream = fs.open_output_stream(f"{folder}/{workbook}")
-                    book, sheet = WorkbookFile(_Seekless(stream)), None
-                if name != sheet:
-                    book.start(name)
-                    sheet = name
+                    name = workbook
+                    stream = _Seekless(fs.open_output_stream(f"{root}/{self.staging}/{attempt}/{name}"))
+                    book, sheet = WorkbookFile(stream), None
+                if title != sheet:
+                    book.start(title)
+                    sheet = title
                 book.add(cells)
         finish()
-        return Written(names)
+        return Written(done)
 
     def commit(self, messages: list[Written | None]) -> None:
+        fs, root = _filesystem(self.path)
+        books = sorted((b for m in messages if m is not None for b in m.books), key=lambda b: b[1])
+        twice = [a[1] for a, b in zip(books, books[1:]) if a[1] == b[1]]
+        if twice:
+            raise ValueError(f"workbooks written by two tasks: {twice[:5]}")
+        moved: list[str] = []
+
+        def check(book: tuple[str, str, int, int]) -> None:
+            size = fs.get_file_info(f"{root}/{self.staging}/{book[0]}").size
+            if size != book[2]:
+                raise OSError(f"{book[1]} has {size} bytes, {book[2]} were written")
+
+        def publish(book: tuple[str, str, int, int]) -> None:
+            final = f"{root}/{book[1]}"
+            new = fs.get_file_info(final).type == pa.fs.FileType.NotFound
+            fs.move(f"{root}/{self.staging}/{book[0]}", final)
+            if new:
+                moved.append(final)
+
+        try:
+            with ThreadPoolExecutor(MOVES) as pool:
+                list(pool.map(check, books))
+                list(pool.map(publish, books))
+            listed = f"{root}/{self.staging}/{PUBLISHED}{self.job}.json"
+            fs.create_dir(f"{root}/{self.staging}", recursive=True)
+            with fs.open_output_stream(listed) as out:
+                for _, name, size, crc in books:
+                    out.write((json.dumps({"workbook": name, "bytes": size, "crc32": crc}) + "\n").encode())
+            fs.move(listed, f"{root}/{PUBLISHED}{self.job}.json")
+        except BaseException:
+            for final in moved:
+                fs.delete_file(final)
+            raise
         self.abort(messages)
 
     def abort(self, messages: list[Written | None]) -> None:
@@ -419,15 +464,69 @@ class XlsxWriter(DataSourceArrowWriter):
             fs.delete_dir(staging)
 
 
+def published_workbooks(spark: SparkSession, path: str) -> DataFrame:
+    """Return per published workbook its recorded ``bytes`` and ``crc32``, and whether the file is ``whole``, ``changed`` or
+    ``missing``; a workbook that no list names is ``unlisted``.
+
+    Lists are read by Spark, files are summed up where they lie, each by one task in pieces. Of a workbook that was published
+    again, each listed state counts.
+    """
+    fs, root = _filesystem(full_path(spark, path))
+    names = [i.base_name for i in fs.get_file_info(pa.fs.FileSelector(root, allow_not_found=True)) if i.is_file]
+    lists = [f"{full_path(spark, path)}/{n}" for n in names if n.startswith(PUBLISHED)]
+    schema = "workbook string, bytes bigint, crc32 bigint"
+    recorded = spark.createDataFrame([], schema)
+    for one in lists:  # read by name: Spark itself passes over names that begin so
+        listed = spark.createDataFrame([(one,)], "list string").mapInArrow(_lines_of(full_path(spark, path)), schema)
+        recorded = recorded.unionByName(listed)
+    there = spark.createDataFrame([(n,) for n in names if n.endswith(".xlsx")], "workbook string")
+    found = there.repartition(max(1, min(len(names), 64)), "workbook").mapInArrow(_sums_of(full_path(spark, path)), schema)
+    found = found.select("workbook", F.struct("bytes", "crc32").alias("found"))
+    known = recorded.groupBy("workbook").agg(F.collect_set(F.struct("bytes", "crc32")).alias("states"), F.max("bytes").alias("bytes"), F.max("crc32").alias("crc32"))
+    state = F.expr(
+        "CASE WHEN states IS NULL THEN 'unlisted' WHEN found IS NULL THEN 'missing' WHEN array_contains(states, found) THEN 'whole' ELSE 'changed' END"
+    )
+    return known.join(found, "workbook", "full_outer").select("workbook", "bytes", "crc32", state.alias("state"))
+
+
+def _lines_of(path: str):
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, root = _filesystem(path)
+        for batch in batches:
+            for one in batch.column(0).to_pylist():
+                with fs.open_input_file(f"{root}/{one.rsplit('/', 1)[-1]}") as file:
+                    yield pa.RecordBatch.from_pylist([json.loads(line) for line in file.read().splitlines()], schema=_SUMS)
+
+    return run
+
+
+def _sums_of(path: str):
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, root = _filesystem(path)
+        for batch in batches:
+            for name in batch.column(0).to_pylist():
+                size = crc = 0
+                with fs.open_input_stream(f"{root}/{name}", compression=None) as file:
+                    while piece := file.read(1 << 20):
+                        size, crc = size + len(piece), zlib.crc32(piece, crc)
+                yield pa.RecordBatch.from_pylist([{"workbook": name, "bytes": size, "crc32": crc}], schema=_SUMS)
+
+    return run
+
+
+_SUMS = pa.schema([("workbook", pa.string()), ("bytes", pa.int64()), ("crc32", pa.int64())])
+
+
 class _Seekless:
     """An output stream that only goes forward, as object stores give them; the archive then needs no seeking."""
 
     def __init__(self, stream) -> None:
-        self.stream, self.at = stream, 0
+        self.stream, self.at, self.crc = stream, 0, 0
 
     def write(self, data) -> int:
         self.stream.write(data)
         self.at += len(data)
+        self.crc = zlib.crc32(data, self.crc)
         return len(data)
 
     def tell(self) -> int:
@@ -436,6 +535,9 @@ class _Seekless:
     def flush(self) -> None:
         self.stream.flush()
 
+    def close(self) -> None:
+        self.stream.close()
+
 
 class XlsxDataSource(DataSource):
     """``spark.read.format("xlsx").load(folder)`` and ``df.write.format("xlsx").mode("append").save(folder)``."""
