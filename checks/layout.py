@@ -70,27 +70,27 @@ def planned(spark, sf, limit, budget, undated=False, grain="month", **options):
     return plan.select(*PLAN_COLUMNS)
 
 
-@query(plan_select(order_counts_sql(), 60, 1200))
+@query(plan_select(order_counts_sql(), 60, 1200, whole=True))
 def plan_greedy_years(spark, sf):
     return planned(spark, sf, 60, 1200)
 
 
-@query(plan_select(order_counts_sql(undated=True), 100, 1500, base="year-month", descending=True))
+@query(plan_select(order_counts_sql(undated=True), 100, 1500, base="year-month", descending=True, whole=True))
 def plan_greedy_months_descending(spark, sf):
     return planned(spark, sf, 100, 1500, undated=True, base="year-month", descending=True)
 
 
-@query(plan_select(order_counts_sql(), 150, 1600, algorithm="calendar_periods"))
+@query(plan_select(order_counts_sql(), 150, 1600, algorithm="calendar_periods", whole=True))
 def plan_year_periods(spark, sf):
     return planned(spark, sf, 150, 1600, algorithm="calendar_periods")
 
 
-@query(plan_select(order_counts_sql(undated=True), 12, 200, base="year-month", algorithm="calendar_periods"))
+@query(plan_select(order_counts_sql(undated=True), 12, 200, base="year-month", algorithm="calendar_periods", whole=True))
 def plan_overflow_months(spark, sf):
     return planned(spark, sf, 12, 200, undated=True, base="year-month", algorithm="calendar_periods")
 
 
-@query(plan_select(order_counts_sql(grain="day"), 40, 700, base="year-month-day"))
+@query(plan_select(order_counts_sql(grain="day"), 40, 700, base="year-month-day", whole=True))
 def plan_greedy_days(spark, sf):
     return planned(spark, sf, 40, 700, grain="day", base="year-month-day")
 

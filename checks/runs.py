@@ -94,7 +94,7 @@ def runs_of_orders(spark, sf):
 
 
 @query(
-    f"""{plan_ctes(ORDERS_COUNTS, 500, 5000)}, t AS (SELECT count(*) AS sheets, sum(rows)::BIGINT AS total_rows, count(DISTINCT workbook) AS workbooks FROM plan),
+    f"""{plan_ctes(ORDERS_COUNTS, 500, 5000, whole=True)}, t AS (SELECT count(*) AS sheets, sum(rows)::BIGINT AS total_rows, count(DISTINCT workbook) AS workbooks FROM plan),
     r (run, profile, reasons, outcome, error, exports) AS (VALUES
       (1, 'by_year', 'no-receipt', 'published', NULL, 1), (1, 'gone', 'no-receipt,sidecar-missing-or-unreadable', 'failed', 'not there', 0), (1, 'taken', 'no-receipt', 'failed', 'files-without-receipt', 1),
       (2, 'by_year', 'resolved-config-hash', 'published', NULL, 1), (2, 'gone', 'no-receipt,sidecar-missing-or-unreadable', 'failed', 'not there', 0), (2, 'taken', 'no-receipt', 'failed', 'files-without-receipt', 1),
