@@ -157,7 +157,7 @@ def one_workbook_regions(spark, sf):
 
 
 @query(
-    f"""WITH s AS ({NATIONS}), k AS (SELECT unnest(range(1, 2000)) AS k),
+    f"""WITH s AS ({NATIONS}), k AS (SELECT unnest(range(1, (SELECT max(n) + 1 FROM s))) AS k),
     cost AS (SELECT profile, k, sum(cols * (ceil(n / k) + ceil(ceil(n / k) / 25))) AS cost FROM s, k GROUP BY ALL)
     SELECT profile, min(k) FILTER (WHERE cost <= 500)::BIGINT AS workbooks FROM cost GROUP BY profile"""
 )
@@ -189,7 +189,7 @@ def _balanced(spark, sf, limit, budget, across):
 
 
 @query(
-    f"""WITH s AS ({NATIONS}), k AS (SELECT unnest(range(1, 2000)) AS k),
+    f"""WITH s AS ({NATIONS}), k AS (SELECT unnest(range(1, (SELECT max(n) + 1 FROM s))) AS k),
     cost AS (SELECT profile, k, sum(cols * (ceil(n / k) + ceil(ceil(n / k) / 5))) AS cost FROM s, k GROUP BY ALL),
     pick AS (SELECT profile, min(k) AS k FROM cost WHERE cost <= 700 GROUP BY profile),
     b AS (SELECT *, unnest(range(k)) AS book FROM s JOIN pick USING (profile)),

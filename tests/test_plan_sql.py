@@ -2,10 +2,12 @@
 
 import duckdb
 
-from checks.layout import inputs_of
+from checks.layout import inputs_of, nation_shapes
 from checks.plan_sql import PLAN_COLUMNS, plan_select
+from checks.registry import ORACLES
 from run_checks import canonical
 from slicedigest.options import Naming
+from slicedigest.plans.capacity import minimum_workbooks
 from slicedigest.plans.profile import plan_profiles
 
 
@@ -17,3 +19,14 @@ def test_names_keep_every_digit_of_long_numbers(spark):
     counts = "SELECT 'p' AS profile, 'F' AS alias, 0 AS pos, 6 AS cols, 20240100 AS key, 1500::BIGINT AS rows"
     want = duckdb.sql(plan_select(counts, 1, 12, whole=True)).df()
     assert canonical(made) == canonical(want)
+
+
+def test_workbook_counts_are_not_limited(spark, tmp_path):
+    con = duckdb.connect()
+    con.execute("CREATE TABLE nation AS SELECT 0 AS n_nationkey, 0 AS n_regionkey")
+    con.execute("CREATE TABLE customer AS SELECT i::BIGINT AS c_custkey, 0 AS c_nationkey FROM range(250000) t(i)")
+    for t in ("nation", "customer"):
+        con.execute(f"COPY {t} TO '{tmp_path}/{t}.parquet' (FORMAT parquet)")
+    made = minimum_workbooks(nation_shapes(spark, str(tmp_path), 25, 500)).toPandas()
+    assert made["workbooks"][0] > 2000
+    assert canonical(made) == canonical(con.execute(ORACLES["balanced_workbook_counts"]).df())
