@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from slicedigest.functions.digests import TAGS
-from slicedigest.operators.digest import combine, compare_columns, digest_by, digest_columns, digest_frame
+from slicedigest.operators.digest import blank_digests, combine, compare_columns, digest_by, digest_columns, digest_frame
 from slicedigest.operators.xxh3 import digest_by_xxh3, digest_columns_xxh3
 
 SCHEMA = T.StructType(
@@ -200,3 +200,14 @@ def test_compare_columns_names_added_and_removed(spark):
     a, b = spark.range(3).select("id", F.lit(1).alias("x")), spark.range(3).select("id", F.lit(1).alias("y"))
     got = {r["column"]: r["change"] for r in compare_columns(digest_columns(a), digest_columns(b)).collect()}
     assert got == {"id": "same", "x": "removed", "y": "added"}
+
+
+def test_any_number_of_blank_rows(spark):
+    counts = [0, 1, 199, 2**31 // 12, 2**31, 3_582_000_000, 2**48 + 70_001]
+    sheets = spark.createDataFrame([(n, w) for n in counts for w in (6, 11)], "missing bigint, width int")
+    found = {(r["missing"], r["width"]): r for r in blank_digests(sheets, F.col("width")).collect()}
+    for (count, width), r in found.items():
+        for name in ("digest", "row_digest"):
+            assert int(r[name], 16) == count * int(found[1, width][name], 16) % 2**128
+    nothing = digest_by(spark.range(199).select(*[F.lit(None).cast("string").alias(f"c{n}") for n in range(6)]), {}, [f"c{n}" for n in range(6)]).first()
+    assert nothing["digest"] == found[199, 6]["digest"] and nothing["row_digest"] == found[199, 6]["row_digest"]
