@@ -4,6 +4,7 @@ import io
 import re
 import time
 import zipfile
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
@@ -54,6 +55,18 @@ def test_paths_with_and_without_a_scheme(spark, written):
     assert set(plain.values()) == {"valid"} and plain == verdicts(spark, made, f"file:{folder}", schema)
 
 
+def test_paths_that_executors_share(spark, tmp_path):
+    sc = spark.sparkContext
+    cluster = SimpleNamespace(_jvm=sc._jvm, _jsc=sc._jsc, master="spark://host:7077", getCheckpointDir=lambda: "/shared/ck")
+    session = SimpleNamespace(sparkContext=cluster, conf=SimpleNamespace(get=lambda name, default=None: "/shared/ck"))
+    assert full_path(session, "/shared/ck/books-1") == "file:///shared/ck/books-1"
+    for own in ("/tmp/books-1", "/shared/ck/../books-1", "/shared/ckbooks-1"):
+        with pytest.raises(ValueError, match="own disk"):
+            full_path(session, own)
+    sc._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.books.link./ck", f"file://{tmp_path}")
+    assert full_path(spark, "viewfs://books/ck/books-1/a") == f"file://{tmp_path}/books-1/a"
+
+
 def test_rows_move_once_on_their_way_to_a_workbook(spark, written):
     plan = workbook_rows(written[0])._jdf.queryExecution().executedPlan().toString()
     final = plan.split("== Initial Plan ==")[-1]
