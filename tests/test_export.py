@@ -7,15 +7,16 @@ import zipfile
 import pytest
 from pyspark.sql import functions as F
 
+from slicedigest.operators import export as export_module
 from slicedigest.operators.assign import partition_check
 from slicedigest.operators.digest import combine
 from slicedigest.operators.export import ExportRefused, SourceTable, export, preview
 from slicedigest.operators.order import with_positions
 from slicedigest.operators.verify import reassembly, verify_fragments, verify_manifest
 from slicedigest.options import DateColumn, Limits, Naming, Partitioning, Profile, Sheet, SortKey
-from slicedigest.runtime import use_checkpoint_dir
+from slicedigest.runtime import materialise, use_checkpoint_dir
 from slicedigest.sources import records
-from slicedigest.sources.parquet import read_parquet_sheets, write_parquet_sheets
+from slicedigest.sources.parquet import read_parquet_sheets, read_source, write_parquet_sheets
 from slicedigest.sources.xlsx import read_back_sheets, read_workbooks, written_headers, write_workbooks
 
 BOOKED = {"booked": DateColumn.date()}
@@ -181,3 +182,14 @@ def test_records_of_another_version_are_unreadable(spark):
     spark.createDataFrame([('{"schema_version": 99, "alias": "x"}',), ("not json",)], "value string").write.mode("append").text(folder)
     good, unreadable = records.read_records(spark, folder, records.SOURCES)
     assert [r["alias"] for r in good.collect()] == ["a"] and unreadable.count() == 2
+
+
+@pytest.mark.parametrize("digests", [False, True])
+def test_counting_sorts_no_rows(spark, monkeypatch, digests):
+    orders = read_source(spark, "/root/testdata/sf0.001/orders.parquet", {"o_orderdate": DateColumn.datetime()})
+    profile = Profile("p", (Sheet("orders", "o_orderdate"),), Limits(500, 5000), Partitioning())
+    plans = []
+    monkeypatch.setattr(export_module, "materialise", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or materialise(df))
+    counts = export_module.count_sources(profile, {"orders": export_module.arrange(orders, profile.sheets[0], profile)}, digests)
+    assert counts.where("refused IS NOT NULL").isEmpty() and counts.count() > 12
+    assert plans and not any("SortAggregate" in p or "Sort [" in p for p in plans)
