@@ -189,8 +189,8 @@ def near_copies(docs: DataFrame, similarity: float = SIMILARITY, shingle: int =
 
     Rows link whose sets of five-word shingles have a Jaccard similarity of at least ``similarity``; words are those of
     `simhash.fingerprint`. Texts of fewer words are one shingle, texts without words are copies of each other. Texts of equal
-    words meet as one class. Pairs come from the SimHash operator and from bands of least hashes, and every link is confirmed
-    on the whole sets.
+    words meet as one class. Pairs come from the SimHash operator, whose links need no band in common, and from bands of least
+    hashes; every link is confirmed on the whole sets.
 
     The first round tries what is most likely: SimHash links, and in the cells of some bands each text with its likeliest
     partner. Afterwards only cells that hold several components matter. In each, the texts outside its main component meet
@@ -214,7 +214,9 @@ def near_copies(docs: DataFrame, similarity: float = SIMILARITY, shingle: int =
     cells = classes.select("c", F.posexplode("cells").alias("band", "cell"))
     sizes = cells.groupBy("cell").agg(F.count("*").alias("n")).where("n > 1")
     members = materialise(cells.join(sizes, "cell"))
-    meeting = materialise(classes.join(members.select("c").distinct(), "c", "left_semi").select("c", "text_key", "fp", "sig"))
+    linked = materialise(_simhash_pairs(made.where("fp IS NOT NULL").select("c", "fp").distinct()))
+    met = members.select("c").unionByName(linked.select(F.explode(F.array("a", "b")).alias("c"))).distinct()
+    meeting = materialise(classes.join(met, "c", "left_semi").select("c", "text_key", "sig"))
 
     # the whole sets of the classes that meet another
     wanted = rows.select("text_key", "text").join(meeting.select("c", "text_key"), "text_key").dropDuplicates(["c"])
@@ -240,7 +242,7 @@ def near_copies(docs: DataFrame, similarity: float = SIMILARITY, shingle: int =
         both = both.where(F.least("k", "m") >= similarity * F.greatest("k", "m"))
         return materialise(map_rows(both.select("a", "b", "one", "two"), confirm, "a bigint, b bigint, ok boolean"))
 
-    tried = confirmed(_simhash_pairs(meeting).unionByName(_first_round(members, meeting)))
+    tried = confirmed(linked.unionByName(_first_round(members, meeting)))
     links = shortened(tried.where("ok").select("a", "b"), rounds=3)
     roots = partial_roots(links)
     placed = members.select("cell", "c").join(roots, members.c == roots.node, "left").select("cell", "c", F.coalesce("root", "c").alias("root"))
@@ -256,10 +258,10 @@ def near_copies(docs: DataFrame, similarity: float = SIMILARITY, shingle: int =
     return made.join(roots, made.c == roots.node, "left").select("doc_id", "text_key", F.coalesce("root", "c").alias("component"))
 
 
-def _simhash_pairs(meeting: DataFrame) -> DataFrame:
+def _simhash_pairs(classes: DataFrame) -> DataFrame:
     """Pairs of classes whose fingerprints the SimHash operator links, and each class with another of its fingerprint."""
-    firsts = materialise(meeting.groupBy("fp").agg(F.min("c").alias("first")))
-    same = meeting.join(firsts, "fp").select(F.col("c").alias("a"), F.col("first").alias("b"))
+    firsts = materialise(classes.groupBy("fp").agg(F.min("c").alias("first")))
+    same = classes.join(firsts, "fp").where("c <> first").select(F.col("c").alias("a"), F.col("first").alias("b"))
     found = links(firsts.select("fp")).distinct()
     one, two = (firsts.select(F.col("fp").alias(x), F.col("first").alias(f"first_{x}")) for x in "ab")
     return same.unionByName(found.join(one, "a").join(two, "b").select(F.col("first_a").alias("a"), F.col("first_b").alias("b")))

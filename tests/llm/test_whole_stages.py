@@ -13,6 +13,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 import corpus_pipeline  # noqa: E402
 from slicedigest.llm import shingle_copies  # noqa: E402
+from slicedigest.llm.simhash import DISTANCE, majority_bits  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 
@@ -115,3 +116,18 @@ def test_fewer_bits_never_miss_a_pair():
                 whole = [len(set(sets[i]) & set(s)) for s in sets]
                 assert all(c >= w for c, w in zip(common, whole, strict=True))
                 assert width < 8 or common.tolist() == whole
+
+
+def test_simhash_links_need_no_band_in_common(spark):
+    """A line that repeats makes fingerprints alike, while the sets, which count it once, share no band."""
+    line = "one two three four five six seven eight nine ten eleven twelve " * 60
+    texts = [line + " ".join(f"own{n}x{i}" for i in range(9)) for n in range(24)]
+    hashes = [shingle_copies._shingle_hashes(t, shingle_copies.SHINGLE)[1] for t in texts]
+    bands = [set(shingle_copies.band_cells(h)) for h in hashes]
+    bits = [majority_bits(h) for h in hashes]
+    apart = [(i, j) for i, j in combinations(range(24), 2) if not bands[i] & bands[j] and (bits[i] ^ bits[j]).bit_count() <= DISTANCE]
+    i, j = apart[0]
+    docs = spark.createDataFrame([(0, texts[i]), (1, texts[j]), (2, "another text of more than five words")], "doc_id bigint, text string")
+    for similarity, components in ((0.3, 2), (0.9, 3)):
+        found = shingle_copies.near_copies(docs, similarity=similarity)
+        assert found.select("component").distinct().count() == components
