@@ -67,6 +67,17 @@ def test_paths_that_executors_share(spark, tmp_path):
     assert full_path(spark, "viewfs://books/ck/books-1/a") == f"file://{tmp_path}/books-1/a"
 
 
+def test_plain_paths_where_a_view_is_the_default_file_system(spark, tmp_path):
+    sc = spark.sparkContext
+    conf = sc._jvm.org.apache.hadoop.conf.Configuration(sc._jsc.hadoopConfiguration())
+    conf.set("fs.defaultFS", "viewfs://plain/")
+    conf.set("fs.viewfs.mounttable.plain.link./ck", f"file://{tmp_path}")
+    jsc = SimpleNamespace(hadoopConfiguration=lambda: conf)
+    cluster = SimpleNamespace(_jvm=sc._jvm, _jsc=jsc, master="spark://host:7077", getCheckpointDir=lambda: "viewfs://plain/ck")
+    session = SimpleNamespace(sparkContext=cluster, conf=SimpleNamespace(get=lambda name, default=None: "/ck"))
+    assert full_path(session, "/ck/books-1/a") == full_path(session, "viewfs://plain/ck/books-1/a") == f"file://{tmp_path}/books-1/a"
+
+
 def test_rows_move_once_on_their_way_to_a_workbook(spark, written):
     plan = workbook_rows(written[0])._jdf.queryExecution().executedPlan().toString()
     final = plan.split("== Initial Plan ==")[-1]
