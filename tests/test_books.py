@@ -133,6 +133,38 @@ def test_only_named_sheets_are_read(spark, written):
     assert {r["sheet"] for r in read_workbooks(spark, str(folder), [name]).select("sheet").distinct().collect()} == {name}
 
 
+def test_workbooks_need_no_processes_beside_the_driver(spark, written, tmp_path, monkeypatch):
+    made, _, schema = written
+    monkeypatch.setattr(xlsx, "register", lambda _: pytest.fail("a Python data source keeps processes beside the driver"))
+    write_workbooks(made, str(tmp_path / "books"))
+    assert set(verdicts(spark, made, tmp_path / "books", schema).values()) == {"valid"}
+    assert not list((tmp_path / "books").glob("_staging-*"))
+
+
+def test_a_task_that_fails_publishes_nothing(written, tmp_path, monkeypatch):
+    made, rows = written[0], xlsx.workbook_rows
+    cells = F.when(F.col("row") == 0, F.col("cells")).otherwise(F.array(F.raise_error("no")))
+    monkeypatch.setattr(xlsx, "workbook_rows", lambda export: rows(export).withColumn("cells", cells))
+    with pytest.raises(Exception, match="no"):
+        write_workbooks(made, str(tmp_path))
+    assert not [p for p in tmp_path.rglob("*") if p.is_file()]
+
+
+def test_only_named_workbooks_are_opened(spark, written):
+    made, folder, _ = written
+    book, sheet = made.plan.select("workbook", "sheet").orderBy("workbook", "sheet").first()
+    reader = xlsx.XlsxReader(str(folder), frozenset([sheet]), frozenset([book]))
+    assert [(path.rsplit("/", 1)[-1], name) for path, name, _ in opened(reader)] == [(book, sheet)]
+    wanted = (F.col("workbook") == book) & (F.col("sheet") == sheet)
+    plain = sorted(read_workbooks(spark, str(folder)).where(wanted).collect())
+    assert sorted(read_workbooks(spark, str(folder), [sheet], [book]).collect()) == plain != []
+    spark.conf.set(xlsx.PUSHDOWN, "true")
+    try:
+        assert sorted(read_workbooks(spark, str(folder), [sheet], [book]).collect()) == plain
+    finally:
+        spark.conf.unset(xlsx.PUSHDOWN)
+
+
 def opened(reader):
     return [s for p in reader.partitions() for s in p.sheets]
 
