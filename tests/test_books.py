@@ -121,6 +121,31 @@ def test_rows_outside_the_format_are_refused(rows):
         list(read_rows(sheet_xml(rows), []))
 
 
+ODD_TEXTS = ["", " ", "a&b<c>d&amp;", "_x000A_ _x000a_ _xZZZZ_ __x0001_x0002_", "\ufffe\uffff", "ü 漢字 😀", "\r\n\t", *[f"a{chr(n)}b" for n in range(0x21)]]
+
+
+def test_spark_makes_the_xml_of_a_row(spark, written):
+    cells = [*["s" + t for t in ODD_TEXTS], "n1.0", "n-1.0E10", "d36046.25", None]
+    made = spark.createDataFrame([(n, c) for n, c in enumerate(cells)], "n int, cell string").orderBy("n").select(xlsx.cell_xml(F.col("cell")))
+    assert [r[0] for r in made.collect()] == [xlsx.cells_xml([c]) for c in cells]
+    rows = xlsx.xml_rows(written[0])
+    assert rows.columns == ["workbook", "sheet", "xml"]
+    want = [(r["workbook"], r["sheet"], xlsx.cells_xml(r["cells"])) for r in workbook_rows(written[0]).collect()]
+    assert sorted(map(tuple, rows.collect())) == sorted(want)
+
+
+@pytest.mark.parametrize("piece", [1, 7, 64, 1 << 16])
+def test_sheets_are_parsed_in_pieces(monkeypatch, piece):
+    monkeypatch.setattr(xlsx, "PIECE", piece)
+    rows = '<row r="2"><c r="B2" s="1"><v>1.5</v></c><c t="s"><v>0</v></c></row><!-- </row> --><row/><row r="9"><c t="inlineStr"><is><t>x&amp;y</t></is></c><c/></row>'
+    assert list(read_rows(sheet_xml(rows), ["one"])) == [(1, [None, "d1.5", "sone"]), (2, []), (8, ["sx&y", None])]
+    assert list(read_rows(sheet_xml(""), [])) == []
+    with pytest.raises(SyntaxError):
+        list(read_rows(sheet_xml("<row><c></row>"), []))
+    with pytest.raises(SyntaxError):
+        list(read_rows(io.BytesIO(sheet_xml("<row/>").getvalue()[:-3]), []))
+
+
 def test_phonetic_guides_are_not_content():
     rows = '<row><c t="inlineStr"><is><r><t>to</t></r><rPh sb="0" eb="1"><t>guide</t></rPh><r><t>kyo</t></r></is></c></row>'
     assert list(read_rows(sheet_xml(rows), [])) == [(0, ["stokyo"])]
