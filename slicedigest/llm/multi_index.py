@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import heapq
 import math
 from collections.abc import Iterable, Iterator
+from itertools import groupby, islice
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from slicedigest.llm.batches import map_rows
@@ -24,7 +24,9 @@ OCCUPANCY = 32
 ROWS_PER_CODE = 8
 """Sampled vectors per code at least, so that a codebook has no more codes than its sample can place."""
 BLOCK = 2048
-"""Vectors at home that one group holds; a fuller cell is dealt to several groups."""
+"""Vectors at home that one group holds; smaller cells share a group, a fuller one is dealt to several."""
+EMPTY = np.iinfo(np.int64).max
+"""The shelf of a cell that no vector has its home in."""
 SEED = 11
 
 
@@ -66,20 +68,18 @@ class Codebook:
         return home, beyond * beyond
 
 
+def reached(one: np.ndarray, two: np.ndarray, limit: float) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of codes whose halves' distances add up to ``limit`` at most, in ascending order of their sum."""
+    first, second = np.flatnonzero(one <= limit), np.flatnonzero(two <= limit)
+    cost = one[first][:, None] + two[second]
+    i, j = np.nonzero(cost <= limit)
+    order = np.argsort(cost[i, j], kind="stable")
+    return first[i[order]], second[j[order]]
+
+
 def multi_sequence(one: np.ndarray, two: np.ndarray, limit: float) -> Iterator[tuple[int, int]]:
     """Pairs of codes in ascending order of the sum of their halves' distances, up to ``limit``."""
-    first, second = np.argsort(one, kind="stable"), np.argsort(two, kind="stable")
-    a, b = one[first].tolist(), two[second].tolist()
-    heap = [(a[0] + b[0], 0, 0)]
-    while heap:
-        cost, i, j = heapq.heappop(heap)
-        if cost > limit:
-            return
-        yield int(first[i]), int(second[j])
-        if j + 1 < len(b):
-            heapq.heappush(heap, (a[i] + b[j + 1], i, j + 1))
-        if j == 0 and i + 1 < len(a):
-            heapq.heappush(heap, (a[i + 1] + b[0], i + 1, 0))
+    yield from zip(*[codes.tolist() for codes in reached(one, two, limit)], strict=True)
 
 
 class MultiIndex:
@@ -109,9 +109,12 @@ class MultiIndex:
         cost = np.sort(one[at, i] + two[at, j])
         return min(float(cost[min(len(cost) - 1, math.ceil(recall * len(cost)))]), 2 - 2 * cosine) + 1e-9
 
-    def code(self, one: int, two: int) -> int:
+    def code(self, one: int | np.ndarray, two: int | np.ndarray) -> int | np.ndarray:
         return one * len(self.halves[1].codes) + two
 
+    def cells(self) -> int:
+        return len(self.halves[0].codes) * len(self.halves[1].codes)
+
 
 def _units(batch: dict) -> np.ndarray:
     rows = np.array(batch, dtype=float)
@@ -119,18 +122,31 @@ def _units(batch: dict) -> np.ndarray:
     return rows / np.linalg.norm(rows, axis=1)[:, None]
 
 
-def _pairs_of_cell(home: list[tuple], visitors: Iterator[list[tuple]], cosine: float) -> Iterator[tuple]:
-    """``(class, None, rows linked)`` and links ``(class, class, 0)`` that span the components of one group.
+class _Classes:
+    """Classes that came to a task: ids, counts and vectors, and the cells that each is at home in or visits."""
+
+    def __init__(self, rows: list[tuple]):
+        ids, counts, vectors, cells = zip(*rows, strict=True)
+        self.ids, self.counts = np.array(ids, dtype=np.int64), np.array(counts, dtype=np.int64)
+        self.vectors = np.frombuffer(b"".join(vectors), dtype="<f8").reshape(len(rows), -1)
+        self.of_cell: dict[int, list[int]] = {}
+        for at, mine in enumerate(cells):
+            for cell in mine:
+                self.of_cell.setdefault(cell, []).append(at)
 
-    ``home`` are the vectors at home, which meet each other and every visitor once.
+
+class _Cell:
+    """The classes at home in one cell, how many rows each is linked with, and which of them are known to be connected.
+
+    Links ``(class, class, 0)`` that span the components come out as they are found, and ``(class, None, rows linked)``.
     """
-    own = np.frombuffer(b"".join(r[1] for r in home), dtype="<f8").reshape(len(home), -1)
-    ids, weight = np.array([r[0] for r in home], dtype=np.int64), np.array([r[2] for r in home], dtype=np.int64)
-    linked = np.zeros(len(home), dtype=np.int64)
-    label = np.arange(len(home))
-    chunks = [(home[i : i + BLOCK], i) for i in range(0, len(home), BLOCK)]
 
-    def spans(near: np.ndarray, start: int | None, names: np.ndarray) -> Iterator[tuple]:
+    def __init__(self, home: _Classes, at: list[int], cosine: float):
+        self.own, self.ids, self.weight, self.cosine = home.vectors[at], home.ids[at], home.counts[at], cosine
+        self.linked, self.label = np.zeros(len(at), dtype=np.int64), np.arange(len(at))
+
+    def _spans(self, near: np.ndarray, start: int | None, names: np.ndarray) -> Iterator[tuple]:
+        label = self.label
         for k in np.flatnonzero(near.any(axis=1)):
             others = np.flatnonzero(near[k])
             roots, places = np.unique(label[others], return_index=True)
@@ -138,27 +154,63 @@ def _pairs_of_cell(home: list[tuple], visitors: Iterator[list[tuple]], cosine: f
                 fresh = roots != label[start + k]
                 roots, places = roots[fresh], places[fresh]
             for p in places:
-                yield int(names[k]), int(ids[others[p]]), 0
+                yield int(names[k]), int(self.ids[others[p]]), 0
             if len(roots):
                 goal = label[start + k] if start is not None else roots[0]
                 label[np.isin(label, roots)] = goal
 
-    for rows, start in chunks:
-        near = np.triu(own[start : start + len(rows)] @ own.T >= cosine, start + 1)
-        linked[start : start + len(rows)] += (near * weight).sum(axis=1)
-        linked += (near * weight[start : start + len(rows), None]).sum(axis=0)
-        yield from spans(near, start, ids[start:])
-    for rows in visitors:
-        they = np.frombuffer(b"".join(r[1] for r in rows), dtype="<f8").reshape(len(rows), -1)
-        names, counts = np.array([r[0] for r in rows], dtype=np.int64), np.array([r[2] for r in rows], dtype=np.int64)
-        near = they @ own.T >= cosine
-        theirs = (near * weight).sum(axis=1)
-        linked += (near * counts[:, None]).sum(axis=0)
+    def meet_each_other(self) -> Iterator[tuple]:
+        for start in range(0, len(self.ids), BLOCK):
+            rows = slice(start, start + BLOCK)
+            near = np.triu(self.own[rows] @ self.own.T >= self.cosine, start + 1)
+            self.linked[rows] += near @ self.weight
+            self.linked += self.weight[rows] @ near
+            yield from self._spans(near, start, self.ids[rows])
+
+    def meet(self, visitors: _Classes, at: list[int]) -> Iterator[tuple]:
+        near = visitors.vectors[at] @ self.own.T >= self.cosine
+        if not near.any():
+            return
+        names = visitors.ids[at]
+        theirs = near @ self.weight
+        self.linked += visitors.counts[at] @ near
         for k in np.flatnonzero(theirs):
             yield int(names[k]), None, int(theirs[k])
-        yield from spans(near, None, names)
-    for k in np.flatnonzero(linked):
-        yield int(ids[k]), None, int(linked[k])
+        yield from self._spans(near, None, names)
+
+    def totals(self) -> Iterator[tuple]:
+        for k in np.flatnonzero(self.linked):
+            yield int(self.ids[k]), None, int(self.linked[k])
+
+
+def _pairs_of_shelf(home: list[tuple], visitors: Iterator[list[tuple]], cosine: float) -> Iterator[tuple]:
+    """``(class, None, rows linked)`` and links ``(class, class, 0)`` that span the components of one shelf.
+
+    ``home`` are the classes at home: those of one cell meet each other and every visitor of the cell once.
+    """
+    classes = _Classes(home)
+    cells = {cell: _Cell(classes, at, cosine) for cell, at in classes.of_cell.items()}
+    for cell in cells.values():
+        yield from cell.meet_each_other()
+    for rows in visitors:
+        coming = _Classes(rows)
+        for cell, at in coming.of_cell.items():
+            if cell in cells:  # a block of a full cell may hold nobody
+                yield from cells[cell].meet(coming, at)
+    for cell in cells.values():
+        yield from cell.totals()
+
+
+def _shelves(homes: DataFrame) -> DataFrame:
+    """``d, cell, shelf, blocks`` of every cell that classes are at home in.
+
+    Cells that follow each other share a shelf of about ``BLOCK`` classes, twice as many at most, so that a class that visits
+    several of them travels once. A cell of more has a shelf of its own, below zero, which is dealt to blocks.
+    """
+    held = homes.groupBy("d", "cell").agg(F.count("*").alias("k")).withColumn("blocks", F.ceil(F.col("k") / BLOCK).cast("int"))
+    until = F.sum(F.when(F.col("blocks") == 1, F.col("k")).otherwise(0)).over(Window.partitionBy("d").orderBy("cell"))
+    shelf = F.when(F.col("blocks") > 1, -1 - F.col("cell")).otherwise(F.floor((until - 1) / BLOCK))
+    return held.select("d", "cell", shelf.cast("bigint").alias("shelf"), "blocks")
 
 
 def near_duplicate_vectors(
@@ -173,9 +225,10 @@ def near_duplicate_vectors(
     kept. An empty table gives no rows; other columns are ignored.
 
     Equal vectors are one class with a count. Each class is at home in the cell of the product of both halves' codes and
-    visits, nearest first, the cells of higher number up to the limit of the traversal, so that two classes meet once at most.
+    visits the nearest cells, those of higher number up to the limit of the traversal, so that two classes meet once at most.
     A cell compares its own classes and visitors by matrix products and hands on sums and links that span its components,
-    never its pairs; a full cell is dealt to blocks, to each of which its visitors come. Nothing below ``cosine`` links.
+    never its pairs. Cells that follow each other share a shelf, to which a visitor of several of them travels once; a full
+    cell is dealt to blocks, to each of which its visitors come. Nothing below ``cosine`` links.
     """
     value = F.col(vector_col).cast("array<double>")
     finite = F.forall(value, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
@@ -204,67 +257,60 @@ def near_duplicate_vectors(
         for batch in batches:
             dims = np.array(batch["d"])
             for d in np.unique(dims):
-                at, own = np.flatnonzero(dims == d), index[d]
+                at, own, shelf_of = np.flatnonzero(dims == d), index[d], held[d]
                 units = np.frombuffer(b"".join(batch["v"][i] for i in at), dtype="<f8").reshape(len(at), -1)
                 (_, one), (_, two) = own.margins(units)
                 for k, i in enumerate(at):
-                    for pair in multi_sequence(one[k], two[k], own.limit):
-                        if (cell := own.code(*pair)) > batch["cell"][i]:
-                            yield batch["c"][i], batch["n"][i], int(d), cell, batch["v"][i]
+                    cells = np.sort(own.code(*reached(one[k], two[k], own.limit)))
+                    cells = cells[(cells > batch["cell"][i]) & (shelf_of[cells] != EMPTY)]
+                    shelves = shelf_of[cells]
+                    ends = [*np.flatnonzero(shelves[1:] != shelves[:-1]) + 1, len(cells)]
+                    start = 0
+                    for end in ends if len(cells) else ():
+                        yield batch["c"][i], batch["n"][i], int(d), int(shelves[start]), cells[start:end].tolist(), batch["v"][i]
+                        start = end
 
     schema = "c bigint, n bigint, d int, cell bigint, v binary"
     homes = materialise(map_rows(classes.select("c", "n", "v"), placed, schema, rows=512))
-    visits = map_rows(homes, visited, schema, rows=512)
-    full = homes.groupBy("d", "cell").agg(F.count("*").alias("k")).where(F.col("k") > BLOCK)
-    full = broadcast_if_small(materialise(full.select("d", "cell", F.ceil(F.col("k") / BLOCK).cast("int").alias("blocks"))))
-    known = homes.select("d", "cell").distinct()
+    shelves = materialise(_shelves(homes))
+    held = {d: np.full(own.cells(), EMPTY) for d, own in index.items()}  # as many numbers as there are cells
+    listed = shelves.select("d", "cell", "shelf").toArrow()
+    dims, cells, numbers = (listed.column(c).to_numpy() for c in listed.column_names)
+    for d, shelf_of in held.items():
+        shelf_of[cells[dims == d]] = numbers[dims == d]
+    visits = map_rows(homes, visited, "c bigint, n bigint, d int, shelf bigint, cells array<bigint>, v binary", rows=512)
     block = F.pmod(F.xxhash64("c"), F.col("blocks")).cast("int")
-    at_home = homes.join(full, ["d", "cell"], "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
-    at_home = at_home.withColumn("block", block)
+    at_home = homes.join(broadcast_if_small(shelves), ["d", "cell"]).withColumn("block", block).withColumn("cells", F.array("cell"))
     # of two vectors at home in different blocks, the one of the lower block visits the other's
     between = at_home.where("block + 1 < blocks").withColumn("to", F.explode(F.sequence(F.col("block") + 1, F.col("blocks") - 1)))
-    coming = visits.join(known, ["d", "cell"], "left_semi").join(full, ["d", "cell"], "left")
+    full = broadcast_if_small(materialise(shelves.where("blocks > 1").select("d", "shelf", "blocks")))
+    coming = visits.join(full, ["d", "shelf"], "left")
     coming = coming.withColumn("to", F.explode(F.sequence(F.lit(0), F.coalesce("blocks", F.lit(1)) - 1)))
-    columns = ["d", "cell", "block", "visiting", "c", "n", "v"]
+    columns = ["d", "shelf", "block", "visiting", "c", "n", "v", "cells"]
     groups = at_home.withColumn("visiting", F.lit(False)).select(columns)
     for frame in (between, coming):
         groups = groups.unionByName(frame.withColumn("block", F.col("to")).withColumn("visiting", F.lit(True)).select(columns))
-    groups = groups.repartition("d", "cell", "block").sortWithinPartitions("d", "cell", "block", "visiting", "c")
+    groups = groups.repartition("d", "shelf", "block").sortWithinPartitions("d", "shelf", "block", "visiting", "c")
 
     def compared(batches: Iterable[dict]) -> Iterator[tuple]:
         lines = (row for batch in batches for row in zip(*[batch[c] for c in columns], strict=True))
-        ahead = next(lines, None)
-        while ahead is not None:
-            key, home = ahead[:3], []
-            while ahead is not None and ahead[:3] == key and not ahead[3]:
-                home.append((ahead[4], ahead[6], ahead[5]))
-                ahead = next(lines, None)
-
-            def visitors(key=key):
-                nonlocal ahead
-                some = []
-                while ahead is not None and ahead[:3] == key:
-                    some.append((ahead[4], ahead[6], ahead[5]))
-                    ahead = next(lines, None)
-                    if len(some) == BLOCK:
-                        yield some
-                        some = []
-                if some:
-                    yield some
-
-            if home:
-                yield from _pairs_of_cell(home, visitors(), cosine)
-            else:  # a block that no vector has its home in
-                for _ in visitors():
-                    pass
+        for _, rows in groupby(lines, key=lambda row: row[:3]):
+            sides = groupby(rows, key=lambda row: row[3])
+            visiting, first = next(sides)
+            if visiting:  # a block that no vector has its home in
+                continue
+            home = [row[4:] for row in first]
+            coming = (row[4:] for _, rest in sides for row in rest)
+            yield from _pairs_of_shelf(home, iter(lambda: list(islice(coming, BLOCK)), []), cosine)
 
     found = materialise(map_rows(groups, compared, "c bigint, other bigint, k bigint"))
     roots = component_roots(found.where("other IS NOT NULL").select(F.col("c").alias("a"), F.col("other").alias("b")))
     counts = found.where("other IS NULL").groupBy("c").agg(F.sum("k").alias("k"))
-    of_class = classes.join(counts, "c", "left").join(roots, classes.c == roots.node, "left")
-    of_class = of_class.select("v", "n", "first", F.coalesce("k", F.lit(0)).alias("k"), F.coalesce("root", "c").alias("root"))
-    least = of_class.groupBy("root").agg(F.min("first").alias("component_id"))
-    of_class = of_class.join(least, "root").select("v", (F.col("k") + F.col("n") - 1).alias("n_links"), "component_id", F.lit(True).alias("known"))
+    facts = classes.select("c", "n", "first").join(counts, "c", "left").join(roots, F.col("c") == F.col("node"), "left")
+    facts = facts.select("c", "n", "first", F.coalesce("k", F.lit(0)).alias("k"), F.coalesce("root", "c").alias("root"))
+    least = facts.groupBy("root").agg(F.min("first").alias("component_id"))
+    facts = facts.join(least, "root").select("c", (F.col("k") + F.col("n") - 1).alias("n_links"), "component_id", F.lit(True).alias("known"))
+    of_class = classes.select("c", "v").join(facts, "c").drop("c")  # vectors take part in no join before
     made = rows.join(of_class, "v", "left")
     component = F.when(F.col("known"), F.col("component_id")).otherwise(F.col("vec_id"))
     return made.select(
