@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from slicedigest.llm.batches import map_rows
+from slicedigest.llm.batches import map_rows, small_batches
 from slicedigest.runtime import materialise
 
 PIVOTS = 64
@@ -19,6 +20,12 @@ BLOCK = 4_096
 """Candidates searched at once."""
 GROUP = 1_024
 """Queries that share a group of cells, unless one cell has more."""
+ASKED = 256
+"""Queries that one matrix product takes."""
+VECTORS = pa.list_(pa.float64())
+CELLS = pa.schema([("id", pa.int64()), ("v", VECTORS), ("d", pa.int32()), ("query", pa.bool_()), ("cell", pa.int32()), ("far", pa.float64())])
+ROUTED = pa.schema([("id", pa.int64()), ("v", VECTORS), ("part", pa.int32()), ("block", pa.int32()), ("query", pa.bool_())])
+FOUND = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
 
 
 def quantised(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", scale: int = 1024) -> DataFrame:
@@ -51,6 +58,45 @@ class _Cells:
         return cell, np.linalg.norm(at - pivots[cell], axis=1)
 
 
+def _matrix(vectors: pa.ListArray, width: int) -> np.ndarray:
+    return vectors.flatten().to_numpy().reshape(len(vectors), width)
+
+
+def _by_dimension(batch: pa.RecordBatch) -> Iterator[tuple[int, pa.RecordBatch, np.ndarray]]:
+    """The rows of each dimension, and their vectors as a matrix."""
+    lengths = batch.column("v").value_lengths().to_numpy()
+    for d in np.unique(lengths).tolist():
+        some = batch.filter(pa.array(lengths == d))
+        yield d, some, _matrix(some.column("v"), d)
+
+
+def _picked(rows: pa.RecordBatch, at: np.ndarray, schema: pa.Schema, **more: np.ndarray | float) -> pa.RecordBatch:
+    """Ids and vectors of the rows ``at``, with ``more`` columns: an array, or one value for all."""
+    some = rows.select(["id", "v"]).take(pa.array(at))
+    columns = [some.column("id"), some.column("v").cast(VECTORS)]
+    columns += [pa.array(np.broadcast_to(more[f.name], len(at)), type=f.type) for f in schema if f.name in more]
+    return pa.RecordBatch.from_arrays(columns, schema=schema)
+
+
+def _sides(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and vectors, all of one dimension."""
+    vectors = rows["v"].combine_chunks()
+    return rows["id"].to_numpy(), _matrix(vectors, len(vectors[0]) if len(vectors) else 0)
+
+
+def _best(asked: np.ndarray, queries: np.ndarray, ids: np.ndarray, table: np.ndarray, k: int) -> pa.Table:
+    """Each query's ``k`` highest scores among the candidates, ties to the smaller id, the query itself left out."""
+    scores = queries @ table.T  # whole numbers below 2^53, so exact
+    scores[asked[:, None] == ids] = -np.inf
+    least = np.partition(scores, -k, axis=1)[:, -k] if len(ids) > k else np.full(len(asked), -np.inf)
+    q, c = np.nonzero((scores >= least[:, None]) & (scores > -np.inf))
+    order = np.lexsort((ids[c], -scores[q, c], q))
+    q, c = q[order], c[order]
+    kept = np.arange(len(q)) - np.searchsorted(q, q) < k
+    q, c = q[kept], c[kept]
+    return pa.table([asked[q], ids[c], scores[q, c].astype(np.int64)], schema=FOUND)
+
+
 def _slack(x: np.ndarray | float) -> np.ndarray | float:
     """Room for rounding: bounds are doubles, scores are exact integers."""
     return 1e-6 * (1 + np.abs(x))
@@ -83,23 +129,16 @@ def top_k(vectors: DataFrame, k: int = 10, query_every: int = 100, id_col: str =
     for d, rows in picked.items():
         space.pivots[d] = space.lifted(np.array([r["v"] for r in rows], dtype=float).reshape(len(rows), d), False)
 
-    def assign(batches: Iterable[dict]) -> Iterator[tuple]:
+    def assign(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = np.array(batch["id"], dtype=np.int64)
-            lengths = np.array([len(v) for v in batch["v"]])
-            for d in np.unique(lengths):
-                at = np.flatnonzero(lengths == d)
-                rows = np.array([batch["v"][i] for i in at], dtype=float).reshape(len(at), d)
-                cell, far = space.nearest(rows, False)
-                for j, i in enumerate(at):
-                    yield int(ids[i]), int(d), False, int(cell[j]), float(far[j]), rows[j].tolist()
-                asked = np.flatnonzero(ids[at] % query_every == 0)
-                if len(asked):
-                    cell, far = space.nearest(rows[asked], True)
-                    for j, a in enumerate(asked):
-                        yield int(ids[at[a]]), int(d), True, int(cell[j]), float(far[j]), rows[a].tolist()
-
-    cells = materialise(map_rows(base, assign, "id bigint, d int, query boolean, cell int, far double, v array<double>", rows=512))
+            for d, some, rows in _by_dimension(batch):
+                asked = np.flatnonzero(some.column("id").to_numpy() % query_every == 0)
+                for at, query in ((np.arange(len(rows)), False), (asked, True)):
+                    cell, far = space.nearest(rows[at], query)
+                    yield _picked(some, at, CELLS, d=d, query=query, cell=cell, far=far)
+
+    small_batches(spark)
+    cells = materialise(base.mapInArrow(assign, "id bigint, v array<double>, d int, query boolean, cell int, far double"))
     bounds = cells.where("query").groupBy("d", "cell").agg(F.max("far").alias("far"), F.count("*").alias("n")).collect()
 
     def closest(batches: Iterable[dict]) -> Iterator[tuple]:
@@ -135,48 +174,35 @@ def top_k(vectors: DataFrame, k: int = 10, query_every: int = 100, id_col: str =
     count = sum(r["n"] for r in shape)
     blocks = max(1, -(-count // BLOCK))
 
-    def route(batches: Iterable[dict]) -> Iterator[tuple]:
+    def route(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted: dict[int, list] = {}
         for (d, cell), limit in reach.items():
             wanted.setdefault(d, []).append((cell, limit + farthest[d, cell] + _slack(limit), groups[d, cell]))
         for batch in batches:
-            lengths = np.array(batch["d"])
-            for d in np.unique(lengths):
-                at = [int(i) for i in np.flatnonzero(lengths == d)]
-                rows = space.lifted(np.array([batch["v"][i] for i in at], dtype=float).reshape(len(at), d), False)
+            for d, some, rows in _by_dimension(batch):
+                query, cell = (some.column(c).to_numpy(zero_copy_only=False) for c in ("query", "cell"))
+                asked, offered = np.flatnonzero(query), np.flatnonzero(~query)
+                part = np.array([groups[d, c] for c in cell[asked].tolist()], dtype=np.int64)
+                every = np.tile(np.arange(blocks), len(asked))
+                yield _picked(some, asked.repeat(blocks), ROUTED, part=part.repeat(blocks), block=every, query=True)
+                lifted = space.lifted(rows[offered], False)
                 to: dict[int, np.ndarray] = {}
-                for cell, limit, group in wanted.get(int(d), ()):
-                    near = np.linalg.norm(rows - space.pivots[d][cell], axis=1) <= limit
+                for c, limit, group in wanted.get(d, ()):
+                    near = np.linalg.norm(lifted - space.pivots[d][c], axis=1) <= limit
                     to[group] = to.get(group, False) | near
-                for j, i in enumerate(at):
-                    own, v = batch["id"][i], batch["v"][i]
-                    if batch["query"][i]:
-                        for block in range(blocks):
-                            yield groups[int(d), batch["cell"][i]], block, True, own, v
-                        continue
-                    for group, near in to.items():
-                        if near[j]:
-                            yield group, (own * 0x9E3779B97F4A7C15 >> 20) % blocks, False, own, v
-
-    def solve(rows: pd.DataFrame) -> pd.DataFrame:
-        asked = rows[rows["query"]].sort_values("id")
-        data = rows[~rows["query"]].sort_values("id")
-        if asked.empty or data.empty:
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype("int64")
-        ids = data["id"].to_numpy(np.int64)
-        table = np.array(data["v"].tolist(), dtype=float).reshape(len(ids), -1)
-        out: dict[str, list] = {"query_id": [], "vec_id": [], "score": []}
-        for query, v in zip(asked["id"].to_numpy(np.int64), asked["v"], strict=True):
-            scores = table @ np.asarray(v, dtype=float)  # whole numbers below 2^53, so exact
-            scores[ids == query] = -np.inf
-            top = np.argsort(-scores, kind="stable")[:k]  # ids ascend, so ties keep the smaller first
-            top = top[scores[top] > -np.inf]
-            out["query_id"].append(np.full(len(top), query))
-            out["vec_id"].append(ids[top])
-            out["score"].append(scores[top].astype(np.int64))
-        return pd.DataFrame({c: np.concatenate(x).astype(np.int64) for c, x in out.items()})
-
-    routed = map_rows(cells, route, "part int, block int, query boolean, id bigint, v array<double>", rows=512)
-    found = routed.groupBy("part", "block").applyInPandas(solve, "query_id bigint, vec_id bigint, score bigint").distinct()
+                for group, near in to.items():
+                    at = offered[near]
+                    own = some.column("id").to_numpy()[at].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+                    yield _picked(some, at, ROUTED, part=group, block=(own >> np.uint64(20)) % np.uint64(blocks), query=False)
+
+    def solve(rows: pa.Table) -> pa.Table:
+        (asked, queries), (ids, table) = (_sides(rows.filter(pc.equal(rows["query"], side))) for side in (True, False))
+        starts = range(0, len(asked) if len(ids) else 0, ASKED)
+        return pa.concat_tables(
+            [FOUND.empty_table(), *[_best(asked[i : i + ASKED], queries[i : i + ASKED], ids, table, k) for i in starts]]
+        )
+
+    routed = cells.mapInArrow(route, "id bigint, v array<double>, part int, block int, query boolean")
+    found = routed.groupBy("part", "block").applyInArrow(solve, "query_id bigint, vec_id bigint, score bigint").distinct()
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

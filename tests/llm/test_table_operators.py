@@ -15,6 +15,7 @@ sys.path.insert(0, str(Path(__file__).parent))
 import edge_tables  # noqa: E402
 
 from slicedigest.llm.decontaminate import SLOTS, contaminated, template, window_hashes  # noqa: E402
+from slicedigest.llm import knn  # noqa: E402
 from slicedigest.llm.knn import top_k  # noqa: E402
 from slicedigest.llm.sharding import communication_matrix, part_count, shard_sizes, shuffle_into_shards  # noqa: E402
 from slicedigest.llm.site_style import branch_importance, extract, main_text  # noqa: E402
@@ -160,6 +161,26 @@ def plain_top_k(rows, k=10):
     return out
 
 
+@pytest.mark.parametrize("k", [1, 3, 40, 60])
+def test_one_product_finds_the_best_of_many_queries(k):
+    rng = np.random.default_rng(8)
+    ids, table = np.arange(5, 45), rng.integers(-2, 3, (40, 4)).astype(float)
+    asked, queries = np.array([7, 100, 3]), rng.integers(-2, 3, (3, 4)).astype(float)
+    queries[1] = 0  # every candidate ties
+    want = []
+    for query, vector in zip(asked, queries):
+        best = sorted((-int(v @ vector), int(i)) for i, v in zip(ids, table) if i != query)[:k]
+        want += [(int(query), i, -score) for score, i in best]
+    found = knn._best(asked, queries, ids, table, k)
+    assert sorted(zip(*found.to_pydict().values())) == sorted(want)
+
+
+def test_top_k_of_vectors_without_components(spark):
+    rows = [(i, []) for i in range(12)] + [(100, [1.0, 2.0]), (101, [0.5, 0.25])]
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    assert {tuple(r) for r in top_k(frame, 3).collect()} == plain_top_k(rows, 3)
+
+
 def test_top_k_is_exact(spark):
     rng = np.random.default_rng(2)
     rows = [(i, rng.normal(size=8).astype(np.float32).tolist()) for i in range(700)]
