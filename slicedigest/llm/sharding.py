@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from slicedigest.runtime import materialise
+
 SEED = 20_240_607
 PART_ROWS = 2_000
 """Rows a part of the input should have, as long as there are at most ``PARTS`` of them."""
@@ -68,35 +70,30 @@ def shuffle_into_shards(df: DataFrame, shards: int, key: list[str], seed: int =
     and share a part. The driver draws from the parts' sizes how many rows each part sends to each shard. Each part is put in
     hashed order and sends its rows on by these counts; each shard is put in an order that an independent hash gives, block by
     block of that hash's range, which numbers its slots from 0 without gaps. Everything follows from keys and seed, so a task
-    that runs again gives the same rows. Driver and plan hold ``parts * shards`` counts, never rows. Columns named ``shard``
-    or ``slot`` are replaced; null keys are values like others; an empty table gives no rows.
+    that runs again gives the same rows. Shards and slots are found for the hashes alone and meet the rows by their place in
+    their part, so a row moves once. Driver and plan hold ``parts * shards`` counts, never rows. Columns named ``shard`` or
+    ``slot`` are replaced; null keys are values like others; an empty table gives no rows.
     """
     names = [c for c in df.columns if c not in ("shard", "slot")]
     ids = [F.col(f"`{c}`") for c in key]
     parts = part_count(df.count())
     blocks = math.ceil(parts / shards)
-    in_part = F.pmod(_hashed("part", seed, ids), F.lit(parts)).cast("int")
-    counted = {r["_part"]: r["count"] for r in df.select(in_part.alias("_part")).groupBy("_part").count().collect()}
+    in_part = F.pmod(_hashed("part", seed, ids), F.lit(parts)).cast("int").alias("_part")
+    in_block = F.pmod(_hashed("block", seed, ids), F.lit(blocks)).cast("int").alias("_block")
+    orders = _hashed("local", seed, ids).alias("_local"), _hashed("order", seed, ids).alias("_order")
+    place = F.row_number().over(Window.partitionBy("_part").orderBy("_local", "_order"))
+
+    hashes = materialise(df.select(in_part, in_block, *orders))
+    counted = {r["_part"]: r["count"] for r in hashes.groupBy("_part").count().collect()}
     sizes = np.array([counted.get(p, 0) for p in range(parts)], dtype=np.int64)
     matrix = communication_matrix(sizes, shard_sizes(int(sizes.sum()), shards), seed)
     until = df.sparkSession.createDataFrame(
         [(p, np.cumsum(row).tolist()) for p, row in enumerate(matrix)], "_part int, _until array<bigint>"
     )
+    shard = F.size(F.filter("_until", lambda x: x < F.col("_place")))
+    dealt = materialise(hashes.withColumn("_place", place).join(until, "_part").withColumn("_shard", shard).drop("_until"))
 
-    def dealt(*carried: Column) -> DataFrame:
-        """Rows with their shard and their block in it, and what they carry along."""
-        tagged = df.select(
-            *carried,
-            in_part.alias("_part"),
-            _hashed("local", seed, ids).alias("_local"),
-            _hashed("order", seed, ids).alias("_order"),
-            F.pmod(_hashed("block", seed, ids), F.lit(blocks)).cast("int").alias("_block"),
-        )
-        place = F.row_number().over(Window.partitionBy("_part").orderBy("_local", "_order"))
-        ranked = tagged.withColumn("_place", place).join(until, "_part")
-        return ranked.withColumn("_shard", F.size(F.filter("_until", lambda x: x < F.col("_place"))))
-
-    held = {(r["_shard"], r["_block"]): r["count"] for r in dealt().groupBy("_shard", "_block").count().collect()}
+    held = {(r["_shard"], r["_block"]): r["count"] for r in dealt.groupBy("_shard", "_block").count().collect()}
     first, offsets = 0, []
     for shard in range(shards):
         first = 0
@@ -105,8 +102,15 @@ def shuffle_into_shards(df: DataFrame, shards: int, key: list[str], seed: int =
             first += held.get((shard, block), 0)
     starts = df.sparkSession.createDataFrame(offsets, "_shard int, _block int, _first bigint")
     inner = F.row_number().over(Window.partitionBy("_shard", "_block").orderBy("_order", "_local"))
+    slot = (F.col("_first") + F.col("_inner") - 1).alias("slot")
+    placed = dealt.withColumn("_inner", inner).join(F.broadcast(starts) if len(offsets) <= 100_000 else starts, ["_shard", "_block"])
+    # per part the shard and slot of each place, in runs of bounded length
+    after = F.expr(f"(_place - 1) div {LARGEST_PART_ROWS} * {LARGEST_PART_ROWS}")
+    targets = placed.select("_part", after.alias("_after"), F.struct("_place", F.col("_shard").alias("shard"), slot).alias("_to"))
+    targets = targets.groupBy("_part", "_after").agg(F.array_sort(F.collect_list("_to")).alias("_targets"))
+
     row = F.struct(*[F.col(f"`{c}`") for c in names]).alias("_row")  # no name in it can clash with those used here
-    placed = dealt(row).withColumn("_inner", inner)
-    return placed.join(F.broadcast(starts) if len(offsets) <= 100_000 else starts, ["_shard", "_block"]).select(
-        "_row.*", F.col("_shard").alias("shard"), (F.col("_first") + F.col("_inner") - 1).alias("slot")
-    )
+    rows = df.select(row, in_part, *orders).withColumn("_place", place).select("_row", "_part", "_place")
+    here = (rows["_part"] == targets["_part"]) & (F.col("_place") > F.col("_after")) & (F.col("_place") <= F.col("_after") + LARGEST_PART_ROWS)
+    to = F.get("_targets", (F.col("_place") - F.col("_after") - 1).cast("int"))
+    return rows.join(targets, here).select("_row.*", to["shard"].alias("shard"), to["slot"].alias("slot"))

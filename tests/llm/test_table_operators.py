@@ -15,7 +15,7 @@ sys.path.insert(0, str(Path(__file__).parent))
 import edge_tables  # noqa: E402
 
 from slicedigest.llm.decontaminate import SLOTS, contaminated, template, window_hashes  # noqa: E402
-from slicedigest.llm import knn  # noqa: E402
+from slicedigest.llm import knn, sharding  # noqa: E402
 from slicedigest.llm.knn import top_k  # noqa: E402
 from slicedigest.llm.sharding import communication_matrix, part_count, shard_sizes, shuffle_into_shards  # noqa: E402
 from slicedigest.llm.site_style import branch_importance, extract, main_text  # noqa: E402
@@ -193,6 +193,30 @@ def test_top_k_is_exact(spark):
     assert top_k(frame.where("vec_id % 100 <> 0")).collect() == []
 
 
+def test_rows_move_once_on_their_way_to_shards(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    lines = shuffle_into_shards(docs, 3, ["doc_id", "text"])._jdf.queryExecution().executedPlan().toString().splitlines()
+    (at,) = [n for n, line in enumerate(lines) if "FileScan" in line]
+    depth, above = lines[at].index("- "), []
+    for line in reversed(lines[:at]):
+        if "- " in line and line.index("- ") < depth:
+            depth = line.index("- ")
+            above.append(line[depth + 2 :].split()[0])
+    assert above.count("Exchange") == 1 and "Window" in above
+
+
+def test_rows_of_one_key_in_runs_of_bounded_length(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "LARGEST_PART_ROWS", 7)
+    rows = spark.createDataFrame([(1, n) for n in range(50)] + [(n, n) for n in range(100, 130)] + [(None, 0)], "id bigint, other int")
+    found = shuffle_into_shards(rows, 4, ["id"]).collect()
+    assert sorted((r["id"] or 0, r["other"]) for r in found) == sorted((r["id"] or 0, r["other"]) for r in rows.collect())
+    slots = defaultdict(list)
+    for r in found:
+        slots[r["shard"]].append(r["slot"])
+    assert sorted(len(s) for s in slots.values()) == [20, 20, 20, 21]
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+
+
 def test_communication_matrix_has_exact_sums():
     rng = np.random.default_rng(4)
     for _ in range(50):
