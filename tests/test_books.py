@@ -146,6 +146,50 @@ def test_sheets_are_parsed_in_pieces(monkeypatch, piece):
         list(read_rows(io.BytesIO(sheet_xml("<row/>").getvalue()[:-3]), []))
 
 
+def sheet_written(rows):
+    stream = io.BytesIO()
+    book = xlsx.WorkbookFile(stream)
+    book.start("s")
+    for cells in rows:
+        book.add(xlsx.cells_xml(cells))
+    book.close()
+    return zipfile.ZipFile(stream).read("xl/worksheets/sheet1.xml")
+
+
+WRITTEN_ROWS = [["sa", "sb"], ["n1.0", None, "d36046.25"], ["s" + t for t in ODD_TEXTS], [], ["n-1.0E10"], ["s<row r=\"2\">", "s</row>"], ["n2.0"]]
+
+
+@pytest.mark.parametrize("piece", [1, 7, 1 << 16])
+def test_sheets_as_written_are_read_without_the_parser(monkeypatch, piece):
+    monkeypatch.setattr(xlsx, "PIECE", piece)
+    data = sheet_written(WRITTEN_ROWS)
+    with monkeypatch.context() as m:
+        m.setattr(xlsx, "_parsed_rows", lambda *_: pytest.fail("parsed"))
+        assert list(read_rows(io.BytesIO(data), [])) == list(enumerate(WRITTEN_ROWS))
+    assert list(xlsx._parsed_rows(io.BytesIO(data), [])) == list(enumerate(WRITTEN_ROWS))
+
+
+CHANGES = [
+    ('<row r="5">', '<row r="5" spans="1:1">'), ('<row r="5">', '<row r="4">'), ('<row r="5">', '<row r="05">'), ('<row r="5">', '<row r="x">'),
+    ("-1.0E10", "\r\n-1"), ("-1.0E10", "<!-- </row> -->7"), ("-1.0E10", "<![CDATA[</row>]]>"), ("-1.0E10", "&#55;"), ("-1.0E10", "]]>"),
+    ("-1.0E10", ""), ("-1.0E10", "\x01"), ("<c><v>-1.0E10", '<c s="2"><v>-1.0E10'), ("<c><v>-1.0E10", '<c t="s"><v>0'), ("<c/>", "<c></c>"),
+    ("</sheetData>", '</sheetData><mergeCells count="0"/>'), ("</sheetData>", ""), ("</worksheet>", "</worksheet>x"), ('<row r="5">', "<row>"),
+]
+
+
+@pytest.mark.parametrize("old, new", CHANGES)
+def test_sheets_in_other_forms_are_read_as_the_parser_does(old, new):
+    data = sheet_written(WRITTEN_ROWS).decode().replace(old, new, 1).encode()
+
+    def seen(read):
+        try:
+            return list(read(io.BytesIO(data), ["shared"]))
+        except (SyntaxError, ValueError) as error:
+            return type(error)
+
+    assert seen(read_rows) == seen(xlsx._parsed_rows)
+
+
 def test_phonetic_guides_are_not_content():
     rows = '<row><c t="inlineStr"><is><r><t>to</t></r><rPh sb="0" eb="1"><t>guide</t></rPh><r><t>kyo</t></r></is></c></row>'
     assert list(read_rows(sheet_xml(rows), [])) == [(0, ["stokyo"])]
