@@ -20,11 +20,13 @@ def small_batches(spark: SparkSession, rows: int = ROWS_PER_BATCH) -> None:
         spark.conf.set(name, str(rows))
 
 
-def map_rows(df: DataFrame, fn: Callable[[Iterable[dict]], Iterator[tuple]], schema: str, rows: int = 4096) -> DataFrame:
+def map_rows(
+    df: DataFrame, fn: Callable[[Iterable[dict]], Iterator[tuple]], schema: str, rows: int = 4096, arrow: bool = False
+) -> DataFrame:
     """Run ``fn`` once per partition over its rows' columns, one list per column and batch, and stream out its tuples.
 
-    ``fn`` gets an iterator of ``{column: list}`` and yields tuples in the order of ``schema``; at most ``rows`` of them are
-    held before they leave as a batch.
+    ``fn`` gets an iterator of ``{column: list}``, or of the Arrow batches themselves with ``arrow``, and yields tuples in the
+    order of ``schema``; at most ``rows`` of them are held before they leave as a batch.
     """
     spark = df.sparkSession
     small_batches(spark)
@@ -39,7 +41,7 @@ def map_rows(df: DataFrame, fn: Callable[[Iterable[dict]], Iterator[tuple]], sch
                 yield {name: batch.column(i).to_pylist() for i, name in enumerate(batch.schema.names)}
 
         held: list[tuple] = []
-        for row in fn(lists()):
+        for row in fn(batches if arrow else lists()):
             held.append(row)
             if len(held) >= rows:
                 yield _batch(held, out)

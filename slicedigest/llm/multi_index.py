@@ -7,10 +7,11 @@ from collections.abc import Iterable, Iterator
 from itertools import groupby, islice
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from slicedigest.llm.batches import map_rows
+from slicedigest.llm.batches import ROWS_PER_BATCH, map_rows
 from slicedigest.llm.components import component_roots
 from slicedigest.runtime import broadcast_if_small, materialise
 
@@ -25,6 +26,10 @@ ROWS_PER_CODE = 8
 """Sampled vectors per code at least, so that a codebook has no more codes than its sample can place."""
 BLOCK = 2048
 """Vectors at home that one group holds; smaller cells share a group, a fuller one is dealt to several."""
+SHELF = 8192
+"""Vectors at home in the cells that share a group, twice as many at most."""
+SHELF_BYTES = 4 << 20
+"""Bytes of them beyond which a group of more than ``BLOCK`` takes fewer."""
 EMPTY = np.iinfo(np.int64).max
 """The shelf of a cell that no vector has its home in."""
 SEED = 11
@@ -125,14 +130,15 @@ def _units(batch: dict) -> np.ndarray:
 class _Classes:
     """Classes that came to a task: ids, counts and vectors, and the cells that each is at home in or visits."""
 
-    def __init__(self, rows: list[tuple]):
-        ids, counts, vectors, cells = zip(*rows, strict=True)
-        self.ids, self.counts = np.array(ids, dtype=np.int64), np.array(counts, dtype=np.int64)
-        self.vectors = np.frombuffer(b"".join(vectors), dtype="<f8").reshape(len(rows), -1)
-        self.of_cell: dict[int, list[int]] = {}
-        for at, mine in enumerate(cells):
-            for cell in mine:
-                self.of_cell.setdefault(cell, []).append(at)
+    def __init__(self, batches: list[pa.RecordBatch]):
+        rows = pa.Table.from_batches(batches)
+        self.ids, self.counts = rows["c"].to_numpy(), rows["n"].to_numpy()
+        self.vectors = np.frombuffer(b"".join(rows["v"].to_pylist()), dtype="<f8").reshape(len(rows), -1)
+        cells = rows["cells"].combine_chunks()
+        order = np.argsort(cells.flatten().to_numpy(), kind="stable")
+        numbers, starts = np.unique(cells.flatten().to_numpy()[order], return_index=True)
+        owners = np.repeat(np.arange(len(rows)), cells.value_lengths().to_numpy())[order]
+        self.of_cell: dict[int, np.ndarray] = dict(zip(numbers.tolist(), np.split(owners, starts[1:]), strict=True))
 
 
 class _Cell:
@@ -141,7 +147,7 @@ class _Cell:
     Links ``(class, class, 0)`` that span the components come out as they are found, and ``(class, None, rows linked)``.
     """
 
-    def __init__(self, home: _Classes, at: list[int], cosine: float):
+    def __init__(self, home: _Classes, at: np.ndarray, cosine: float):
         self.own, self.ids, self.weight, self.cosine = home.vectors[at], home.ids[at], home.counts[at], cosine
         self.linked, self.label = np.zeros(len(at), dtype=np.int64), np.arange(len(at))
 
@@ -167,7 +173,7 @@ class _Cell:
             self.linked += self.weight[rows] @ near
             yield from self._spans(near, start, self.ids[rows])
 
-    def meet(self, visitors: _Classes, at: list[int]) -> Iterator[tuple]:
+    def meet(self, visitors: _Classes, at: np.ndarray) -> Iterator[tuple]:
         near = visitors.vectors[at] @ self.own.T >= self.cosine
         if not near.any():
             return
@@ -183,7 +189,7 @@ class _Cell:
             yield int(self.ids[k]), None, int(self.linked[k])
 
 
-def _pairs_of_shelf(home: list[tuple], visitors: Iterator[list[tuple]], cosine: float) -> Iterator[tuple]:
+def _pairs_of_shelf(home: list[pa.RecordBatch], visitors: Iterator[list[pa.RecordBatch]], cosine: float) -> Iterator[tuple]:
     """``(class, None, rows linked)`` and links ``(class, class, 0)`` that span the components of one shelf.
 
     ``home`` are the classes at home: those of one cell meet each other and every visitor of the cell once.
@@ -201,15 +207,25 @@ def _pairs_of_shelf(home: list[tuple], visitors: Iterator[list[tuple]], cosine:
         yield from cell.totals()
 
 
+def _runs(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[tuple, pa.RecordBatch]]:
+    """Rows that follow each other in one group, at home or visiting, with ``(d, shelf, block, visiting)``."""
+    for batch in batches:
+        keys = np.column_stack([batch.column(c).to_numpy(zero_copy_only=False) for c in ("d", "shelf", "block", "visiting")])
+        starts = np.flatnonzero(np.r_[batch.num_rows > 0, (keys[1:] != keys[:-1]).any(axis=1)])
+        for start, end in zip(starts, [*starts[1:], len(keys)], strict=False):
+            yield tuple(keys[start].tolist()), batch.slice(start, end - start)
+
+
 def _shelves(homes: DataFrame) -> DataFrame:
     """``d, cell, shelf, blocks`` of every cell that classes are at home in.
 
-    Cells that follow each other share a shelf of about ``BLOCK`` classes, twice as many at most, so that a class that visits
-    several of them travels once. A cell of more has a shelf of its own, below zero, which is dealt to blocks.
+    Cells that follow each other share a shelf of about ``SHELF`` classes, so that a class that visits several of them travels
+    once. A cell of more than ``BLOCK`` has a shelf of its own, below zero, which is dealt to blocks.
     """
     held = homes.groupBy("d", "cell").agg(F.count("*").alias("k")).withColumn("blocks", F.ceil(F.col("k") / BLOCK).cast("int"))
     until = F.sum(F.when(F.col("blocks") == 1, F.col("k")).otherwise(0)).over(Window.partitionBy("d").orderBy("cell"))
-    shelf = F.when(F.col("blocks") > 1, -1 - F.col("cell")).otherwise(F.floor((until - 1) / BLOCK))
+    size = F.greatest(F.lit(BLOCK), F.least(F.lit(SHELF), F.floor(F.lit(SHELF_BYTES) / (8 * F.col("d")))))
+    shelf = F.when(F.col("blocks") > 1, -1 - F.col("cell")).otherwise(F.floor((until - 1) / size))
     return held.select("d", "cell", shelf.cast("bigint").alias("shelf"), "blocks")
 
 
@@ -292,18 +308,18 @@ def near_duplicate_vectors(
         groups = groups.unionByName(frame.withColumn("block", F.col("to")).withColumn("visiting", F.lit(True)).select(columns))
     groups = groups.repartition("d", "shelf", "block").sortWithinPartitions("d", "shelf", "block", "visiting", "c")
 
-    def compared(batches: Iterable[dict]) -> Iterator[tuple]:
-        lines = (row for batch in batches for row in zip(*[batch[c] for c in columns], strict=True))
-        for _, rows in groupby(lines, key=lambda row: row[:3]):
-            sides = groupby(rows, key=lambda row: row[3])
+    def compared(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
+        for _, runs in groupby(_runs(batches), key=lambda run: run[0][:3]):
+            sides = groupby(runs, key=lambda run: run[0][3])
             visiting, first = next(sides)
             if visiting:  # a block that no vector has its home in
                 continue
-            home = [row[4:] for row in first]
-            coming = (row[4:] for _, rest in sides for row in rest)
-            yield from _pairs_of_shelf(home, iter(lambda: list(islice(coming, BLOCK)), []), cosine)
+            home = [rows for _, rows in first]
+            coming = (rows for _, rest in sides for _, rows in rest)
+            at_once = max(1, BLOCK // ROWS_PER_BATCH)
+            yield from _pairs_of_shelf(home, iter(lambda: list(islice(coming, at_once)), []), cosine)
 
-    found = materialise(map_rows(groups, compared, "c bigint, other bigint, k bigint"))
+    found = materialise(map_rows(groups, compared, "c bigint, other bigint, k bigint", arrow=True))
     roots = component_roots(found.where("other IS NOT NULL").select(F.col("c").alias("a"), F.col("other").alias("b")))
     counts = found.where("other IS NULL").groupBy("c").agg(F.sum("k").alias("k"))
     facts = classes.select("c", "n", "first").join(counts, "c", "left").join(roots, F.col("c") == F.col("node"), "left")

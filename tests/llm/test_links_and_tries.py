@@ -7,6 +7,7 @@ from collections import Counter
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 sys.path.insert(0, str(Path(__file__).parent))
@@ -106,6 +107,7 @@ def test_recall_of_the_traversal_at_the_least_cosine():
 
 def test_neighbouring_cells_share_a_shelf(spark, monkeypatch):
     monkeypatch.setattr(multi_index, "BLOCK", 10)
+    monkeypatch.setattr(multi_index, "SHELF", 10)
     sizes = {(2, 0): 4, (2, 3): 6, (2, 4): 5, (2, 7): 25, (2, 8): 9, (2, 9): 1, (5, 1): 10}
     rows = [(d, cell) for (d, cell), k in sizes.items() for _ in range(k)]
     found = {(r["d"], r["cell"]): (r["shelf"], r["blocks"]) for r in multi_index._shelves(spark.createDataFrame(rows, "d int, cell bigint")).collect()}
@@ -121,9 +123,11 @@ def test_visitors_of_several_cells_come_to_a_shelf_once():
     vectors = rng.standard_normal((12, 6))
     vectors[6:] = vectors[:6] + 0.01 * rng.standard_normal((6, 6))
     vectors /= np.linalg.norm(vectors, axis=1)[:, None]
-    row = lambda i, cells: (i, 1, vectors[i].astype("<f8").tobytes(), cells)
-    home = [row(i, [i % 3]) for i in range(6)]
-    visitors = [[row(6, [0, 1]), row(7, [0, 2])], [row(8, [2, 9]), row(11, [2])]]
+    def rows(cells):
+        return pa.RecordBatch.from_pylist([{"c": i, "n": 1, "v": vectors[i].astype("<f8").tobytes(), "cells": mine} for i, mine in cells.items()])
+
+    home = [rows({i: [i % 3] for i in range(4)}), rows({i: [i % 3] for i in range(4, 6)})]
+    visitors = [[rows({6: [0, 1], 7: [0, 2]})], [rows({8: [2, 9]}), rows({11: [2]})]]
     found = list(multi_index._pairs_of_shelf(home, iter(visitors), 0.95))
     assert {(min(a, b), max(a, b)) for a, b, _ in found if b is not None} == {(0, 6), (2, 8), (5, 11)}
     assert sorted(a for a, b, k in found if b is None and k == 1) == [0, 2, 5, 6, 8, 11]
